@@ -22,4 +22,7 @@ FINAL: dict[str, str] = {
     "compound_sequence": "SELECT * FROM compound_sequence",
     "pit_stop_numbers": "SELECT * FROM pit_stop_numbers",
     "fct_pit_strategy": "SELECT * FROM fct_pit_strategy",
+    "telemetry_asof": "SELECT session_key, driver_number, sample_id, lap_number FROM telemetry_asof",
+    "telemetry_lap_agg": "SELECT * FROM telemetry_lap_agg",
+    "gear_changes": "SELECT session_key, driver_number, lap_number, gear_changes FROM telemetry_lap_agg",
 }

@@ -15,9 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.operators import telemetry
 from pitwall.plans import enrich, marts
 from pitwall.plans.staging import build_staging
-from pitwall.sources import fixtures
+from pitwall.sources import fixtures, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +86,25 @@ def q_fct_pit_strategy(spark, sf_dir):
     return marts.fct_pit_strategy(s, enrich.int_laps_enriched(s))
 
 
+def _telemetry_inputs(spark, sf_dir):
+    samples = landing.typed_car_data(fixtures.car_data_samples(spark, sf_dir))
+    starts = landing.typed_lap_starts(fixtures.lap_starts(spark, sf_dir))
+    return samples, starts
+
+
+def q_telemetry_asof(spark, sf_dir):
+    assigned = telemetry.assign_laps(*_telemetry_inputs(spark, sf_dir))
+    return assigned.select("session_key", "driver_number", "sample_id", "lap_number")
+
+
+def q_telemetry_lap_agg(spark, sf_dir):
+    return telemetry.car_data_lap_agg(*_telemetry_inputs(spark, sf_dir))
+
+
+def q_gear_changes(spark, sf_dir):
+    return q_telemetry_lap_agg(spark, sf_dir).select(*telemetry.LAP_KEYS, "gear_changes")
+
+
 QUERIES: dict[str, Query] = {
     **{n: _staging_query(n) for n in (
         "stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
@@ -102,6 +122,9 @@ QUERIES: dict[str, Query] = {
     "compound_sequence": q_compound_sequence,
     "pit_stop_numbers": q_pit_stop_numbers,
     "fct_pit_strategy": q_fct_pit_strategy,
+    "telemetry_asof": q_telemetry_asof,
+    "telemetry_lap_agg": q_telemetry_lap_agg,
+    "gear_changes": q_gear_changes,
 }
 
 _PIT_SUMS = ("total_stop_time_secs", "total_pit_lane_time_secs")

@@ -120,7 +120,7 @@ def stg_session_results(results: DataFrame, lenient: bool = False) -> DataFrame:
     ``lenient=False`` (the reference behaviour) unparsable gap text fails the job."""
     gap = col("gap_to_leader")
     lapped = gap.like("+%LAP%")
-    to_num = (lambda c: F.try_cast(c, "double")) if lenient else (lambda c: c.cast("double"))
+    to_num = (lambda c: c.try_cast("double")) if lenient else (lambda c: c.cast("double"))
     gap_secs = (F.when(gap == "0", F.lit(0.0))
                  .when(lapped, F.lit(None).cast("double"))
                  .when(gap.isNull(), F.lit(None).cast("double"))
