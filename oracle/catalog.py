@@ -25,4 +25,7 @@ FINAL: dict[str, str] = {
     "telemetry_asof": "SELECT session_key, driver_number, sample_id, lap_number FROM telemetry_asof",
     "telemetry_lap_agg": "SELECT * FROM telemetry_lap_agg",
     "gear_changes": "SELECT session_key, driver_number, lap_number, gear_changes FROM telemetry_lap_agg",
+    "scd_drivers_replay": "SELECT * FROM scd_drivers_replay",
+    "scd_drivers_increment": "SELECT * FROM scd_drivers_increment",
+    "dim_drivers": "SELECT * FROM dim_drivers",
 }

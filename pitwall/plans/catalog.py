@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.operators import telemetry
-from pitwall.plans import enrich, marts
+from pitwall.plans import enrich, marts, snapshots
 from pitwall.plans.staging import build_staging
 from pitwall.sources import fixtures, landing
 
@@ -105,6 +105,24 @@ def q_gear_changes(spark, sf_dir):
     return q_telemetry_lap_agg(spark, sf_dir).select(*telemetry.LAP_KEYS, "gear_changes")
 
 
+SCD_CUTOFF_SESSION = 200001          # first snapshot round: races before 2000
+SCD_RUN_TS = "2002-06-01 00:00:00"   # second round's run time
+
+
+def q_scd_drivers_replay(spark, sf_dir):
+    return snapshots.scd_drivers_replay(_stg(spark, sf_dir))
+
+
+def q_scd_drivers_increment(spark, sf_dir):
+    stg = _stg(spark, sf_dir)
+    first = snapshots.scd_drivers_replay(stg, max_session_key=SCD_CUTOFF_SESSION)
+    return snapshots.scd_drivers_increment(first, stg["stg_drivers"], SCD_RUN_TS)
+
+
+def q_dim_drivers(spark, sf_dir):
+    return snapshots.dim_drivers(q_scd_drivers_replay(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     **{n: _staging_query(n) for n in (
         "stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
@@ -125,6 +143,9 @@ QUERIES: dict[str, Query] = {
     "telemetry_asof": q_telemetry_asof,
     "telemetry_lap_agg": q_telemetry_lap_agg,
     "gear_changes": q_gear_changes,
+    "scd_drivers_replay": q_scd_drivers_replay,
+    "scd_drivers_increment": q_scd_drivers_increment,
+    "dim_drivers": q_dim_drivers,
 }
 
 _PIT_SUMS = ("total_stop_time_secs", "total_pit_lane_time_secs")
