@@ -28,4 +28,14 @@ FINAL: dict[str, str] = {
     "scd_drivers_replay": "SELECT * FROM scd_drivers_replay",
     "scd_drivers_increment": "SELECT * FROM scd_drivers_increment",
     "dim_drivers": "SELECT * FROM dim_drivers",
+    "insert_absent": "SELECT * FROM insert_absent",
+    "schema_conform": "SELECT * FROM schema_conform",
+    "load_counts": "SELECT * FROM load_counts",
+    "worklist_calendar": "SELECT * FROM worklist_calendar",
+    "worklist_next": "SELECT * FROM worklist_next",
+    "worklist_ready": "SELECT * FROM worklist_ready",
+    "worklist_backfill": "SELECT * FROM worklist_backfill",
+    "lap_presentation": "SELECT * FROM lap_presentation",
+    "race_rounds": "SELECT * FROM race_rounds",
+    "dq_report": "SELECT * FROM dq_report",
 }

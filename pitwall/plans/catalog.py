@@ -15,10 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators import telemetry
-from pitwall.plans import enrich, marts, snapshots
+from pitwall.operators import ingest, telemetry
+from pitwall.plans import enrich, marts, reports, snapshots, worklist
 from pitwall.plans.staging import build_staging
-from pitwall.sources import fixtures, landing
+from pitwall.sources import fixtures, landing, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,80 @@ def q_dim_drivers(spark, sf_dir):
     return snapshots.dim_drivers(q_scd_drivers_replay(spark, sf_dir))
 
 
+LAP_KEYS = ["session_key", "driver_number", "lap_number"]
+
+
+def q_insert_absent(spark, sf_dir):
+    """Re-loading the lap feed into a table that holds the even sessions already; every
+    third session is sent twice (the later copy has other times and must lose)."""
+    laps = fixtures.raw_tables(spark, sf_dir)["laps"]
+    target = laps.filter(F.col("session_key") % 2 == 0)
+    resent = (laps.filter(F.col("session_key") % 3 == 0)
+                  .withColumn("lap_duration", F.col("lap_duration") + 1)
+                  .withColumn("_loaded_at", F.timestamp_add("DAY", F.lit(1), F.col("_loaded_at"))))
+    return ingest.append_absent(laps.unionByName(resent), target, LAP_KEYS, ["_loaded_at"])
+
+
+def q_schema_conform(spark, sf_dir):
+    """Two partial lap feeds (one lacks two speed traps, one carries an unknown field) →
+    union of their columns → the allow-listed raw.laps columns."""
+    laps = fixtures.raw_tables(spark, sf_dir)["laps"]
+    feed_a = laps.filter(F.col("session_key") % 2 == 0).drop("st_speed", "i2_speed")
+    feed_b = laps.filter(F.col("session_key") % 2 == 1).withColumn(
+        "segments_sector_1", F.array(F.lit(2048), F.lit(2049)))
+    return landing.conform(landing.union_feeds([feed_a, feed_b]), schemas.LAPS, schemas.LAPS_ALLOWED)
+
+
+def q_load_counts(spark, sf_dir):
+    return ingest.load_counts(fixtures.raw_tables(spark, sf_dir))
+
+
+WORKLIST_NOW = "2000-06-01 16:00:00"
+BACKFILL_YEAR = 2000
+
+
+def q_worklist_calendar(spark, sf_dir):
+    base = fixtures.lap_base(spark, sf_dir)
+    return worklist.sync_calendar(fixtures.calendar_feed(base), fixtures.existing_schedule(base))
+
+
+def q_worklist_next(spark, sf_dir):
+    return worklist.next_pending(q_worklist_calendar(spark, sf_dir), WORKLIST_NOW)
+
+
+def q_worklist_ready(spark, sf_dir):
+    return worklist.ready_sessions(q_worklist_calendar(spark, sf_dir), WORKLIST_NOW)
+
+
+def q_worklist_backfill(spark, sf_dir):
+    return worklist.backfill_sessions(q_worklist_calendar(spark, sf_dir), BACKFILL_YEAR, WORKLIST_NOW)
+
+
+def q_lap_presentation(spark, sf_dir):
+    return reports.lap_presentation(_laps(spark, sf_dir))
+
+
+def q_race_rounds(spark, sf_dir):
+    return reports.race_rounds(_stg(spark, sf_dir))
+
+
+def model_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    raw = fixtures.raw_tables(spark, sf_dir)
+    stg = build_staging(raw)
+    laps = enrich.int_laps_enriched(stg)
+    results = marts.fct_race_results(enrich.int_race_context(stg), laps)
+    return {**stg, "raw_drivers": raw["drivers"], "int_laps_enriched": laps,
+            "fct_race_results": results, "fct_lap_times": marts.fct_lap_times(laps),
+            "fct_pit_strategy": marts.fct_pit_strategy(stg, laps),
+            "fct_driver_season": marts.fct_driver_season(results),
+            "fct_driver_pace": marts.fct_driver_pace(laps),
+            "dim_drivers": snapshots.dim_drivers(snapshots.scd_drivers_replay(stg))}
+
+
+def q_dq_report(spark, sf_dir):
+    return reports.dq_report(model_tables(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     **{n: _staging_query(n) for n in (
         "stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
@@ -146,6 +220,16 @@ QUERIES: dict[str, Query] = {
     "scd_drivers_replay": q_scd_drivers_replay,
     "scd_drivers_increment": q_scd_drivers_increment,
     "dim_drivers": q_dim_drivers,
+    "insert_absent": q_insert_absent,
+    "schema_conform": q_schema_conform,
+    "load_counts": q_load_counts,
+    "worklist_calendar": q_worklist_calendar,
+    "worklist_next": q_worklist_next,
+    "worklist_ready": q_worklist_ready,
+    "worklist_backfill": q_worklist_backfill,
+    "lap_presentation": q_lap_presentation,
+    "race_rounds": q_race_rounds,
+    "dq_report": q_dq_report,
 }
 
 _PIT_SUMS = ("total_stop_time_secs", "total_pit_lane_time_secs")
