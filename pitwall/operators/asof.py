@@ -5,18 +5,21 @@ greatest start ``<= t`` within the same key; samples before the first boundary o
 key get none (inner semantics drop them); samples after the last boundary belong to it.
 Of boundaries with equal starts, the one later in (start, id) order wins.
 
-Plan, chosen so that no task has to hold one key's whole history:
-
-1. ``lead`` over the boundaries of a key turns starts into intervals ``[start, next)``.
-   Boundaries are small (one per lap, ~1/300 of the samples) and a key has at most a few
-   hundred laps.
-2. Each interval is replicated into the fixed-width time buckets it overlaps (a 90 s lap
-   in 60 s buckets → 2-3 rows). The open last interval ends at the key's last sample.
-3. Samples are equi-joined to intervals on ``(key..., bucket)`` with the time range as a
-   residual condition. Every bucket holds a bounded slice of time, so a hot key (one
-   driver with a third of all samples) spreads over many join partitions instead of
-   one; AQE's skew split covers the rest. Each sample meets only the 1-3 intervals of its
-   bucket — no pair blow-up.
+Plan, chosen so that no task has to hold one key's whole history and nothing grows
+faster than the input:
+
+1. ``lead`` over the boundaries of a key turns starts into intervals ``[start, next)``;
+   the open last interval ends at the key's last sample. Boundaries are small (one per
+   lap, ~1/300 of the samples; a key has at most a few hundred).
+2. Per key, a bucket width is derived from the data: the key's time span divided by its
+   number of intervals (the mean interval length). Each interval is replicated into the
+   buckets it overlaps — about two rows per interval in total, whatever the time scale.
+3. Samples take their bucket from the same per-key origin and width (a join with one
+   small row per key) and are equi-joined to the replicated intervals on
+   ``(key..., bucket)`` with the time range as a residual condition. A bucket holds about
+   one interval's worth of samples, so a hot key (one driver with a third of all
+   samples) spreads over many join partitions instead of one; AQE's skew split covers
+   what remains. Each sample meets the 1-3 intervals of its bucket — no pair blow-up.
 """
 
 from __future__ import annotations
@@ -26,8 +29,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 60
-
 
 def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
@@ -41,36 +42,43 @@ def intervals(boundaries: DataFrame, keys: Sequence[str], start: str, ident: str
     return iv.filter(F.col("_next").isNull() | (F.col("_next") > F.col(start)))
 
 
+def _bucket(t_us: Column) -> Column:
+    return F.floor((t_us - F.col("_origin")) / F.col("_width"))
+
+
 def asof_join(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str], time_col: str,
-              start: str, ident: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              start: str, ident: str) -> DataFrame:
     """Inner as-of join: ``samples`` rows that fall in an interval, with ``ident`` (and the
-    interval ``start``) attached, plus ``_bucket`` (reusable as a window sub-partition)."""
-    width = int(bucket_seconds) * 1_000_000
+    interval ``start``) attached, plus ``_bucket`` (usable as a window sub-partition)."""
+    keys = list(keys)
+    s = samples.filter(F.col(time_col).isNotNull()).withColumn("_t", _micros(F.col(time_col)))
+    extent = s.groupBy(*keys).agg(F.max("_t").alias("_last_us"))   # partial agg, tiny
     iv = intervals(boundaries.filter(F.col(start).isNotNull()), keys, start, ident)
-    # last sample time per key closes the open interval (partial aggregate, tiny output)
-    extent = (samples.filter(F.col(time_col).isNotNull())
-                     .groupBy(*keys).agg(_micros(F.max(time_col)).alias("_last_us")))
-    iv = iv.join(extent, list(keys), "inner")
-    lo = _micros(F.col(start))
-    hi = F.coalesce(_micros(F.col("_next")) - 1, F.col("_last_us"))
-    iv = (iv.filter(hi >= lo)
-            .select(*keys, ident, start, "_next",
-                    F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))).alias("_bucket")))
-    s = samples.filter(F.col(time_col).isNotNull()).withColumn(
-        "_bucket", F.floor(_micros(F.col(time_col)) / width))
-    ivr = iv.select(*[F.col(k).alias(f"_iv_{k}") for k in keys],
-                    F.col("_bucket").alias("_iv_bucket"), ident, start, "_next")
+    iv = (iv.join(extent, keys, "inner")
+            .withColumn("_lo", _micros(F.col(start)))
+            .withColumn("_hi", F.coalesce(_micros(F.col("_next")) - 1, F.col("_last_us")))
+            .filter(F.col("_hi") >= F.col("_lo")))
+    geometry = iv.groupBy(*keys).agg(
+        F.min("_lo").alias("_origin"),
+        F.greatest(F.lit(1).cast("long"),
+                   F.ceil((F.max("_hi") - F.min("_lo") + 1) / F.count(F.lit(1)))).alias("_width"))
+    ivb = (iv.join(geometry, keys, "inner")
+             .select(*[F.col(k).alias(f"_iv_{k}") for k in keys], ident, start, "_next",
+                     F.explode(F.sequence(_bucket(F.col("_lo")), _bucket(F.col("_hi"))))
+                      .alias("_iv_bucket")))
+    sb = s.join(geometry, keys, "inner").withColumn("_bucket", _bucket(F.col("_t")))
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (s[k] == ivr[f"_iv_{k}"])
-    cond = (cond & (s["_bucket"] == ivr["_iv_bucket"]) & (s[time_col] >= ivr[start])
-            & (ivr["_next"].isNull() | (s[time_col] < ivr["_next"])))
-    return s.join(ivr, cond, "inner").drop(*[f"_iv_{k}" for k in keys], "_iv_bucket", "_next")
+        cond = cond & (sb[k] == ivb[f"_iv_{k}"])
+    cond = (cond & (sb["_bucket"] == ivb["_iv_bucket"]) & (sb[time_col] >= ivb[start])
+            & (ivb["_next"].isNull() | (sb[time_col] < ivb["_next"])))
+    return (sb.join(ivb, cond, "inner")
+              .drop(*[f"_iv_{k}" for k in keys], "_iv_bucket", "_next", "_t", "_origin", "_width"))
 
 
 def asof_join_direct(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str],
                      time_col: str, start: str, ident: str) -> DataFrame:
-    """Reference formulation (for tests): equi-join on the key with the interval as a
+    """Plain formulation (for tests): equi-join on the key with the interval as a
     residual. Same result; every sample of a key meets every interval of that key."""
     iv = intervals(boundaries.filter(F.col(start).isNotNull()), keys, start, ident)
     ivr = iv.select(*[F.col(k).alias(f"_iv_{k}") for k in keys], ident, start, "_next")

@@ -9,8 +9,8 @@ That count is a sum over adjacent pairs, so it splits exactly over time buckets:
 ``changes(A ++ B) = changes(A) + changes(B) + [last(A) != first(B)]``. So the whole
 summary is one pass over the joined samples:
 
-1. a window per (driver, bucket, lap) — a bounded slice of time, and the partitioning the
-   as-of join already produced, so no extra shuffle — marks gear changes;
+1. a window per (driver, bucket, lap) — about one lap's samples, and the partitioning the
+   as-of join already produced when it shuffles, so no extra shuffle — marks gear changes;
 2. a per-bucket aggregate keeps integer sums, counts, extremes, first/last gear;
 3. a small per-lap window over its 2-3 buckets adds the changes at bucket edges, and a
    per-lap aggregate combines the buckets.
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import DRS_OPEN_VALUES
-from pitwall.operators.asof import DEFAULT_BUCKET_SECONDS, asof_join
+from pitwall.operators.asof import asof_join
 
 LAP_KEYS = ["session_key", "driver_number", "lap_number"]
 UNIT_DIGITS = 6  # values are summed as integers of 10^-6
@@ -50,15 +50,14 @@ def rounded_mean(x: Column, digits: int = 2) -> Column:
     return mean_from_units(F.sum(u), F.count(u), digits)
 
 
-def assign_laps(samples: DataFrame, lap_starts: DataFrame,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def assign_laps(samples: DataFrame, lap_starts: DataFrame) -> DataFrame:
     """Samples (typed) × lap boundaries (typed) → samples with ``lap_number``.
 
     Samples without a driver or time, before the driver's first lap start, or of a driver
     without boundaries are dropped (as the reference does)."""
     s = samples.filter(F.col("driver_number").isNotNull())
     return asof_join(s, lap_starts, ["session_key", "driver_number"], "date", "lap_start",
-                     "lap_number", bucket_seconds)
+                     "lap_number")
 
 
 _MEANS = ("speed", "throttle", "rpm", "brake_on", "drs_open")
@@ -116,7 +115,6 @@ def lap_summary(assigned: DataFrame) -> DataFrame:
         "gear_changes", F.col("sample_count").cast("long").alias("sample_count"))
 
 
-def car_data_lap_agg(samples: DataFrame, lap_starts: DataFrame,
-                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def car_data_lap_agg(samples: DataFrame, lap_starts: DataFrame) -> DataFrame:
     """Typed samples + typed lap starts → the ``car_data_lap_agg`` raw table rows."""
-    return lap_summary(assign_laps(samples, lap_starts, bucket_seconds))
+    return lap_summary(assign_laps(samples, lap_starts))

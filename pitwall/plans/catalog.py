@@ -1,7 +1,13 @@
 """Registered queries: name → callable(spark, sf_dir) → DataFrame.
 
 Every query reads the star-schema test tables of ``sf_dir`` (through the fixture mapping
-in ``pitwall.sources.fixtures``) and runs the model or operator over all of it.
+in ``pitwall.sources.fixtures``; derived tables are landed once as Parquet) and runs the
+model or operator over all of it.
+
+``models(spark, sf_dir)`` is the model graph of one data folder: each model DataFrame is
+built once per Spark application and shared by the queries that use it (plans are
+immutable; sharing them saves driver time, not work — each action still runs its plan).
+
 ``ROUND_COLS`` lists double columns whose last bits depend on summation order; both this
 side and the SQL oracle snap them to a binary grid (multiples of 2^-20, ~1e-6) before
 comparing. A binary grid, unlike a decimal one, has no rounding ties at the decimal
@@ -10,6 +16,7 @@ values that averages of millisecond times produce exactly.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,119 +24,92 @@ from pyspark.sql import functions as F
 
 from pitwall.operators import ingest, telemetry
 from pitwall.plans import enrich, marts, reports, snapshots, worklist
+from pitwall.plans.lazy import Lazy
 from pitwall.plans.staging import build_staging
 from pitwall.sources import fixtures, landing, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LAP_KEYS = ["session_key", "driver_number", "lap_number"]
+SCD_CUTOFF_SESSION = 200001          # first snapshot round: races before 2000
+SCD_RUN_TS = "2002-06-01 00:00:00"   # second round's run time
+WORKLIST_NOW = "2000-06-01 16:00:00"
+BACKFILL_YEAR = 2000
 
-def _stg(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_staging(fixtures.raw_tables(spark, sf_dir))
-
-
-def _laps(spark, sf_dir):
-    return enrich.int_laps_enriched(_stg(spark, sf_dir))
-
-
-def _staging_query(name: str) -> Query:
-    return lambda spark, sf_dir: _stg(spark, sf_dir)[name]
-
-
-def q_stint_interval_join(spark, sf_dir):
-    s = _stg(spark, sf_dir)
-    return enrich.laps_with_stints(s["stg_laps"], s["stg_stints"])
-
-
-def q_int_race_context(spark, sf_dir):
-    return enrich.int_race_context(_stg(spark, sf_dir))
-
-
-def q_fct_lap_times(spark, sf_dir):
-    return marts.fct_lap_times(_laps(spark, sf_dir))
-
-
-def _race_results(spark, sf_dir):
-    s = _stg(spark, sf_dir)
-    return marts.fct_race_results(enrich.int_race_context(s), enrich.int_laps_enriched(s))
-
-
-def q_fct_driver_season(spark, sf_dir):
-    return marts.fct_driver_season(_race_results(spark, sf_dir))
-
-
-def q_season_running_totals(spark, sf_dir):
-    return marts.season_running_totals(marts.race_points_rows(_race_results(spark, sf_dir)))
-
-
-def q_fct_driver_pace(spark, sf_dir):
-    return marts.fct_driver_pace(_laps(spark, sf_dir))
-
-
-def q_teammate_pairs(spark, sf_dir):
-    return marts.teammate_pairs(marts.driver_race_pace(_laps(spark, sf_dir)))
-
-
-def q_tyre_degradation(spark, sf_dir):
-    return marts.tyre_degradation(_laps(spark, sf_dir))
-
-
-def q_compound_sequence(spark, sf_dir):
-    return marts.compound_sequence(_stg(spark, sf_dir)["stg_stints"])
-
-
-def q_pit_stop_numbers(spark, sf_dir):
-    return marts.pit_stop_numbers(_stg(spark, sf_dir)["stg_pit"])
+_GRAPHS: dict[tuple[str, str], Lazy] = {}
 
 
-def q_fct_pit_strategy(spark, sf_dir):
-    s = _stg(spark, sf_dir)
-    return marts.fct_pit_strategy(s, enrich.int_laps_enriched(s))
+def models(spark: SparkSession, sf_dir: str) -> Lazy:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _GRAPHS:
+        _GRAPHS[key] = _graph(spark, sf_dir)
+    return _GRAPHS[key]
 
 
-def _telemetry_inputs(spark, sf_dir):
-    samples = landing.typed_car_data(fixtures.car_data_samples(spark, sf_dir))
-    starts = landing.typed_lap_starts(fixtures.lap_starts(spark, sf_dir))
-    return samples, starts
+def _graph(spark: SparkSession, sf_dir: str) -> Lazy:
+    landed = fixtures.landed_tables(spark, sf_dir)
+    raw = fixtures.raw_tables(spark, sf_dir)
+    stg = build_staging(raw)
+    graph: dict[str, Lazy] = {}
+
+    def b(name):  # another model of this graph
+        return graph["m"][name]
+
+    builders = {f"raw_{n}": (lambda n=n: raw[n]) for n in fixtures.RAW_NAMES}
+    builders.update({n: (lambda n=n: stg[n]) for n in stg})
+    builders.update({
+        "stint_interval_join": lambda: enrich.laps_with_stints(b("stg_laps"), b("stg_stints")),
+        "int_laps_enriched": lambda: enrich.int_laps_enriched(stg),
+        "int_race_context": lambda: enrich.int_race_context(stg),
+        "fct_lap_times": lambda: marts.fct_lap_times(b("int_laps_enriched")),
+        "fct_race_results": lambda: marts.fct_race_results(b("int_race_context"),
+                                                           b("int_laps_enriched")),
+        "race_points_rows": lambda: marts.race_points_rows(b("fct_race_results")),
+        "season_running_totals": lambda: marts.season_running_totals(b("race_points_rows")),
+        "fct_driver_season": lambda: marts.fct_driver_season(b("fct_race_results")),
+        "driver_race_pace": lambda: marts.driver_race_pace(b("int_laps_enriched")),
+        "teammate_pairs": lambda: marts.teammate_pairs(b("driver_race_pace")),
+        "fct_driver_pace": lambda: marts.fct_driver_pace(b("int_laps_enriched")),
+        "tyre_degradation": lambda: marts.tyre_degradation(b("int_laps_enriched")),
+        "compound_sequence": lambda: marts.compound_sequence(b("stg_stints")),
+        "pit_stop_numbers": lambda: marts.pit_stop_numbers(b("stg_pit")),
+        "fct_pit_strategy": lambda: marts.fct_pit_strategy(stg, b("int_laps_enriched")),
+        # telemetry
+        "car_data": lambda: landing.typed_car_data(landed["car_data"]),
+        "lap_starts": lambda: landing.typed_lap_starts(landed["lap_starts"]),
+        "telemetry_assigned": lambda: telemetry.assign_laps(b("car_data"), b("lap_starts")),
+        "telemetry_lap_agg": lambda: telemetry.lap_summary(b("telemetry_assigned")),
+        # snapshot
+        "scd_drivers_replay": lambda: snapshots.scd_drivers_replay(stg),
+        "scd_drivers_increment": lambda: snapshots.scd_drivers_increment(
+            snapshots.scd_drivers_replay(stg, max_session_key=SCD_CUTOFF_SESSION),
+            b("stg_drivers"), SCD_RUN_TS),
+        "dim_drivers": lambda: snapshots.dim_drivers(b("scd_drivers_replay")),
+        # work-list
+        "worklist_calendar": lambda: worklist.sync_calendar(
+            fixtures.calendar_feed(raw["sessions"]), fixtures.existing_schedule(raw["sessions"])),
+    })
+    graph["m"] = Lazy(builders)
+    return graph["m"]
+
+
+def _model(name: str) -> Query:
+    return lambda spark, sf_dir: models(spark, sf_dir)[name]
 
 
 def q_telemetry_asof(spark, sf_dir):
-    assigned = telemetry.assign_laps(*_telemetry_inputs(spark, sf_dir))
-    return assigned.select("session_key", "driver_number", "sample_id", "lap_number")
-
-
-def q_telemetry_lap_agg(spark, sf_dir):
-    return telemetry.car_data_lap_agg(*_telemetry_inputs(spark, sf_dir))
+    return models(spark, sf_dir)["telemetry_assigned"].select(
+        "session_key", "driver_number", "sample_id", "lap_number")
 
 
 def q_gear_changes(spark, sf_dir):
-    return q_telemetry_lap_agg(spark, sf_dir).select(*telemetry.LAP_KEYS, "gear_changes")
-
-
-SCD_CUTOFF_SESSION = 200001          # first snapshot round: races before 2000
-SCD_RUN_TS = "2002-06-01 00:00:00"   # second round's run time
-
-
-def q_scd_drivers_replay(spark, sf_dir):
-    return snapshots.scd_drivers_replay(_stg(spark, sf_dir))
-
-
-def q_scd_drivers_increment(spark, sf_dir):
-    stg = _stg(spark, sf_dir)
-    first = snapshots.scd_drivers_replay(stg, max_session_key=SCD_CUTOFF_SESSION)
-    return snapshots.scd_drivers_increment(first, stg["stg_drivers"], SCD_RUN_TS)
-
-
-def q_dim_drivers(spark, sf_dir):
-    return snapshots.dim_drivers(q_scd_drivers_replay(spark, sf_dir))
-
-
-LAP_KEYS = ["session_key", "driver_number", "lap_number"]
+    return models(spark, sf_dir)["telemetry_lap_agg"].select(*LAP_KEYS, "gear_changes")
 
 
 def q_insert_absent(spark, sf_dir):
     """Re-loading the lap feed into a table that holds the even sessions already; every
     third session is sent twice (the later copy has other times and must lose)."""
-    laps = fixtures.raw_tables(spark, sf_dir)["laps"]
+    laps = models(spark, sf_dir)["raw_laps"]
     target = laps.filter(F.col("session_key") % 2 == 0)
     resent = (laps.filter(F.col("session_key") % 3 == 0)
                   .withColumn("lap_duration", F.col("lap_duration") + 1)
@@ -140,7 +120,7 @@ def q_insert_absent(spark, sf_dir):
 def q_schema_conform(spark, sf_dir):
     """Two partial lap feeds (one lacks two speed traps, one carries an unknown field) →
     union of their columns → the allow-listed raw.laps columns."""
-    laps = fixtures.raw_tables(spark, sf_dir)["laps"]
+    laps = models(spark, sf_dir)["raw_laps"]
     feed_a = laps.filter(F.col("session_key") % 2 == 0).drop("st_speed", "i2_speed")
     feed_b = laps.filter(F.col("session_key") % 2 == 1).withColumn(
         "segments_sector_1", F.array(F.lit(2048), F.lit(2049)))
@@ -148,82 +128,61 @@ def q_schema_conform(spark, sf_dir):
 
 
 def q_load_counts(spark, sf_dir):
-    return ingest.load_counts(fixtures.raw_tables(spark, sf_dir))
-
-
-WORKLIST_NOW = "2000-06-01 16:00:00"
-BACKFILL_YEAR = 2000
-
-
-def q_worklist_calendar(spark, sf_dir):
-    base = fixtures.lap_base(spark, sf_dir)
-    return worklist.sync_calendar(fixtures.calendar_feed(base), fixtures.existing_schedule(base))
+    m = models(spark, sf_dir)
+    return ingest.load_counts({n: m[f"raw_{n}"] for n in fixtures.RAW_NAMES})
 
 
 def q_worklist_next(spark, sf_dir):
-    return worklist.next_pending(q_worklist_calendar(spark, sf_dir), WORKLIST_NOW)
+    return worklist.next_pending(models(spark, sf_dir)["worklist_calendar"], WORKLIST_NOW)
 
 
 def q_worklist_ready(spark, sf_dir):
-    return worklist.ready_sessions(q_worklist_calendar(spark, sf_dir), WORKLIST_NOW)
+    return worklist.ready_sessions(models(spark, sf_dir)["worklist_calendar"], WORKLIST_NOW)
 
 
 def q_worklist_backfill(spark, sf_dir):
-    return worklist.backfill_sessions(q_worklist_calendar(spark, sf_dir), BACKFILL_YEAR, WORKLIST_NOW)
+    return worklist.backfill_sessions(models(spark, sf_dir)["worklist_calendar"],
+                                      BACKFILL_YEAR, WORKLIST_NOW)
 
 
 def q_lap_presentation(spark, sf_dir):
-    return reports.lap_presentation(_laps(spark, sf_dir))
+    return reports.lap_presentation(models(spark, sf_dir)["int_laps_enriched"])
 
 
 def q_race_rounds(spark, sf_dir):
-    return reports.race_rounds(_stg(spark, sf_dir))
+    m = models(spark, sf_dir)
+    return reports.race_rounds({"stg_sessions": m["stg_sessions"],
+                                "stg_session_results": m["stg_session_results"]})
 
 
-def model_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    raw = fixtures.raw_tables(spark, sf_dir)
-    stg = build_staging(raw)
-    laps = enrich.int_laps_enriched(stg)
-    results = marts.fct_race_results(enrich.int_race_context(stg), laps)
-    return {**stg, "raw_drivers": raw["drivers"], "int_laps_enriched": laps,
-            "fct_race_results": results, "fct_lap_times": marts.fct_lap_times(laps),
-            "fct_pit_strategy": marts.fct_pit_strategy(stg, laps),
-            "fct_driver_season": marts.fct_driver_season(results),
-            "fct_driver_pace": marts.fct_driver_pace(laps),
-            "dim_drivers": snapshots.dim_drivers(snapshots.scd_drivers_replay(stg))}
+DQ_TABLES = ("stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
+             "stg_session_results", "stg_car_data_lap_agg", "fct_race_results", "fct_lap_times",
+             "fct_pit_strategy", "fct_driver_season", "fct_driver_pace", "dim_drivers",
+             "raw_drivers")
 
 
 def q_dq_report(spark, sf_dir):
-    return reports.dq_report(model_tables(spark, sf_dir))
+    m = models(spark, sf_dir)
+    return reports.dq_report({t: m[t] for t in DQ_TABLES})
 
 
 QUERIES: dict[str, Query] = {
-    **{n: _staging_query(n) for n in (
+    **{n: _model(n) for n in (
         "stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
-        "stg_session_results", "stg_car_data_lap_agg")},
-    "stint_interval_join": q_stint_interval_join,
-    "int_laps_enriched": _laps,
-    "int_race_context": q_int_race_context,
-    "fct_lap_times": q_fct_lap_times,
-    "fct_race_results": _race_results,
-    "season_running_totals": q_season_running_totals,
-    "fct_driver_season": q_fct_driver_season,
-    "teammate_pairs": q_teammate_pairs,
-    "fct_driver_pace": q_fct_driver_pace,
-    "tyre_degradation": q_tyre_degradation,
-    "compound_sequence": q_compound_sequence,
-    "pit_stop_numbers": q_pit_stop_numbers,
-    "fct_pit_strategy": q_fct_pit_strategy,
+        "stg_session_results", "stg_car_data_lap_agg", "stint_interval_join",
+        "int_laps_enriched", "int_race_context", "fct_lap_times", "fct_race_results",
+        "season_running_totals", "fct_driver_season", "teammate_pairs", "fct_driver_pace",
+        "tyre_degradation", "compound_sequence", "pit_stop_numbers", "fct_pit_strategy")},
     "telemetry_asof": q_telemetry_asof,
-    "telemetry_lap_agg": q_telemetry_lap_agg,
+    "telemetry_lap_agg": _model("telemetry_lap_agg"),
     "gear_changes": q_gear_changes,
-    "scd_drivers_replay": q_scd_drivers_replay,
-    "scd_drivers_increment": q_scd_drivers_increment,
-    "dim_drivers": q_dim_drivers,
+    "scd_drivers_replay": _model("scd_drivers_replay"),
+    "scd_drivers_increment": _model("scd_drivers_increment"),
+    "dim_drivers": _model("dim_drivers"),
     "insert_absent": q_insert_absent,
     "schema_conform": q_schema_conform,
     "load_counts": q_load_counts,
-    "worklist_calendar": q_worklist_calendar,
+    "worklist_calendar": _model("worklist_calendar"),
     "worklist_next": q_worklist_next,
     "worklist_ready": q_worklist_ready,
     "worklist_backfill": q_worklist_backfill,
@@ -247,7 +206,6 @@ ROUND_COLS: dict[str, tuple[str, ...]] = {
     "fct_pit_strategy": ("avg_deg_rate_secs_per_lap",),
 }
 
-
 GRID = 1048576  # 2^20
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pitwall.functions.columns import (FAST_STOP_SECS, MIN_TELEMETRY_SAMPLES,
                                        normalise_colour)
 from pitwall.operators.dedup import latest_per_key
+from pitwall.plans.lazy import Lazy
 
 col, trim = F.col, F.trim
 
@@ -149,15 +150,16 @@ def stg_car_data_lap_agg(agg: DataFrame) -> DataFrame:
         "_loaded_at")
 
 
-def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    sessions = stg_sessions(raw["sessions"])
-    return {
-        "stg_meetings": stg_meetings(raw["meetings"]),
-        "stg_sessions": sessions,
-        "stg_drivers": stg_drivers(raw["drivers"], sessions),
-        "stg_laps": stg_laps(raw["laps"]),
-        "stg_stints": stg_stints(raw["stints"]),
-        "stg_pit": stg_pit(raw["pit"]),
-        "stg_session_results": stg_session_results(raw["session_results"]),
-        "stg_car_data_lap_agg": stg_car_data_lap_agg(raw["car_data_lap_agg"]),
-    }
+def build_staging(raw) -> Lazy:
+    """All eight staging models over ``raw`` (name → DataFrame); built on first access."""
+    stg = Lazy({
+        "stg_meetings": lambda: stg_meetings(raw["meetings"]),
+        "stg_sessions": lambda: stg_sessions(raw["sessions"]),
+        "stg_drivers": lambda: stg_drivers(raw["drivers"], stg["stg_sessions"]),
+        "stg_laps": lambda: stg_laps(raw["laps"]),
+        "stg_stints": lambda: stg_stints(raw["stints"]),
+        "stg_pit": lambda: stg_pit(raw["pit"]),
+        "stg_session_results": lambda: stg_session_results(raw["session_results"]),
+        "stg_car_data_lap_agg": lambda: stg_car_data_lap_agg(raw["car_data_lap_agg"]),
+    })
+    return stg

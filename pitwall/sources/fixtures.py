@@ -18,15 +18,21 @@ Everything is lazy: each function returns a DataFrame whose work grows with the
 
 from __future__ import annotations
 
+import hashlib
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import idiv
+from pitwall.plans.lazy import Lazy, once
 
 # Fixed values of the fixture (shared with the SQL oracle).
 COMPOUND_CHOICES = (" soft", "Medium", "HARD ", "intermediate", "wet", None)
 SCHEDULE_STATUSES = ("pending", "running", "done", "skipped", "failed")
 TELEMETRY_EPOCH = "2024-01-01"  # telemetry session = week number since this day
+FIXTURE_VERSION = "3"  # bump when a formula changes: landed copies are keyed by it
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -271,19 +277,61 @@ def raw_car_data_lap_agg(base: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight raw tables, lazily derived from ``sf_dir``."""
-    base = lap_base(spark, sf_dir)
-    return {
-        "meetings": raw_meetings(base),
-        "sessions": raw_sessions(base),
-        "drivers": raw_drivers(base),
-        "laps": raw_laps(base),
-        "stints": raw_stints(base),
-        "pit": raw_pit(base),
-        "session_results": raw_session_results(base),
-        "car_data_lap_agg": raw_car_data_lap_agg(base),
+RAW_NAMES = ("meetings", "sessions", "drivers", "laps", "stints", "pit", "session_results",
+             "car_data_lap_agg")
+
+
+def derived_tables(spark: SparkSession, sf_dir: str) -> Lazy:
+    """Every fixture table as a lazy derivation from the star schema (nothing written)."""
+    base = once(lambda: lap_base(spark, sf_dir))
+    raw = {
+        "meetings": lambda: raw_meetings(base()),
+        "sessions": lambda: raw_sessions(base()),
+        "drivers": lambda: raw_drivers(base()),
+        "laps": lambda: raw_laps(base()),
+        "stints": lambda: raw_stints(base()),
+        "pit": lambda: raw_pit(base()),
+        "session_results": lambda: raw_session_results(base()),
+        "car_data_lap_agg": lambda: raw_car_data_lap_agg(base()),
+        "car_data": lambda: car_data_samples(spark, sf_dir),
+        "lap_starts": lambda: lap_starts(spark, sf_dir),
     }
+    return Lazy(raw)
+
+
+def landing_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder for the landed copies: under the session's shared checkpoint folder."""
+    from pitwall.session import checkpoint_dir
+    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{FIXTURE_VERSION}".encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/pitwall-landed/{tag}"
+
+
+def _landed(spark: SparkSession, path: str, build) -> DataFrame:
+    """Read the landed copy at ``path``; land it first if it is not there (one writer)."""
+    try:
+        df = spark.read.parquet(path)
+        if df.columns:
+            return df
+    except AnalysisException:
+        pass
+    build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def landed_tables(spark: SparkSession, sf_dir: str) -> Lazy:
+    """The fixture tables, each derived and written once as Parquet (a landed raw
+    table, as in production) and read back: queries scan files with pushdown and
+    pruning instead of re-deriving the fixture in every plan."""
+    root = landing_root(spark, sf_dir)
+    derived = derived_tables(spark, sf_dir)
+    return Lazy({name: (lambda n=name: _landed(spark, f"{root}/{n}", lambda: derived[n]))
+                 for name in derived})
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
+    """The eight raw tables for ``sf_dir`` (landed copies); each built on first access."""
+    landed = landed_tables(spark, sf_dir)
+    return Lazy({n: (lambda n=n: landed[n]) for n in RAW_NAMES})
 
 
 # --------------------------------------------------------------------------- telemetry
@@ -337,9 +385,9 @@ def lap_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- calendar
 
-def calendar_feed(base: DataFrame) -> DataFrame:
+def calendar_feed(sessions: DataFrame) -> DataFrame:
     """Session calendar as the API returns it: text dates, some fields missing."""
-    s = raw_sessions(base)
+    s = sessions
     b = F.col
     iso = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     return s.select(
@@ -356,9 +404,9 @@ def calendar_feed(base: DataFrame) -> DataFrame:
     )
 
 
-def existing_schedule(base: DataFrame) -> DataFrame:
+def existing_schedule(sessions: DataFrame) -> DataFrame:
     """Work-list rows already present before a calendar sync (every third session)."""
-    s = raw_sessions(base).filter(F.col("session_key") % 3 == 0)
+    s = sessions.filter(F.col("session_key") % 3 == 0)
     b = F.col
     status = F.lit(None).cast("string")
     for i, name in reversed(list(enumerate(SCHEDULE_STATUSES))):
