@@ -25,6 +25,11 @@ FINAL: dict[str, str] = {
     "telemetry_asof": "SELECT session_key, driver_number, sample_id, lap_number FROM telemetry_asof",
     "telemetry_lap_agg": "SELECT * FROM telemetry_lap_agg",
     "gear_changes": "SELECT session_key, driver_number, lap_number, gear_changes FROM telemetry_lap_agg",
+    "telemetry_from_json": "SELECT * FROM telemetry_lap_agg",
+    "session_driver_list": """SELECT session_key,
+       array_to_string(list_sort(list(DISTINCT driver_number)), ',') AS driver_numbers,
+       count(DISTINCT driver_number) AS driver_count
+FROM raw_drivers WHERE driver_number IS NOT NULL GROUP BY session_key""",
     "scd_drivers_replay": "SELECT * FROM scd_drivers_replay",
     "scd_drivers_increment": "SELECT * FROM scd_drivers_increment",
     "dim_drivers": "SELECT * FROM dim_drivers",

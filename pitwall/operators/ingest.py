@@ -70,3 +70,19 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
         F.grouping("table_name").alias("_g")).select(
         F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("table_name")).alias("table_name"),
         "row_count")
+
+
+def session_drivers(drivers: DataFrame) -> DataFrame:
+    """Distinct driver numbers of each session, ascending, as text (the per-session list
+    the extraction iterates over). A session has ~20 drivers: the collected set is small."""
+    return drivers.filter(F.col("driver_number").isNotNull()).groupBy("session_key").agg(
+        F.array_join(F.array_sort(F.collect_set("driver_number")), ",").alias("driver_numbers"),
+        F.count_distinct("driver_number").alias("driver_count"))
+
+
+def run_log_row(counts: DataFrame, run_id: str) -> DataFrame:
+    """One audit row per run: rows loaded per table as JSON text (keys in table order)."""
+    entries = F.array_sort(F.collect_list(F.struct("table_name", "row_count")))
+    return counts.filter(F.col("table_name") != "TOTAL").agg(
+        F.to_json(F.map_from_entries(entries)).alias("rows_loaded"),
+        F.sum("row_count").alias("total_rows")).select(F.lit(run_id).alias("run_id"), "*")

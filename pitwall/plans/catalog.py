@@ -79,6 +79,13 @@ def _graph(spark: SparkSession, sf_dir: str) -> Lazy:
         "lap_starts": lambda: landing.typed_lap_starts(landed["lap_starts"]),
         "telemetry_assigned": lambda: telemetry.assign_laps(b("car_data"), b("lap_starts")),
         "telemetry_lap_agg": lambda: telemetry.lap_summary(b("telemetry_assigned")),
+        "telemetry_from_json": lambda: telemetry.car_data_lap_agg(
+            landing.typed_car_data(landing.read_landed_json(
+                spark, fixtures.landed_json_feed(spark, sf_dir, "car_data"),
+                schemas.CAR_DATA_TEXT)),
+            landing.typed_lap_starts(landing.read_landed_json(
+                spark, fixtures.landed_json_feed(spark, sf_dir, "lap_starts"),
+                schemas.LAP_STARTS_TEXT))),
         # snapshot
         "scd_drivers_replay": lambda: snapshots.scd_drivers_replay(stg),
         "scd_drivers_increment": lambda: snapshots.scd_drivers_increment(
@@ -106,6 +113,10 @@ def q_gear_changes(spark, sf_dir):
     return models(spark, sf_dir)["telemetry_lap_agg"].select(*LAP_KEYS, "gear_changes")
 
 
+def q_session_driver_list(spark, sf_dir):
+    return ingest.session_drivers(models(spark, sf_dir)["raw_drivers"])
+
+
 def q_insert_absent(spark, sf_dir):
     """Re-loading the lap feed into a table that holds the even sessions already; every
     third session is sent twice (the later copy has other times and must lose)."""
@@ -176,6 +187,8 @@ QUERIES: dict[str, Query] = {
     "telemetry_asof": q_telemetry_asof,
     "telemetry_lap_agg": _model("telemetry_lap_agg"),
     "gear_changes": q_gear_changes,
+    "telemetry_from_json": _model("telemetry_from_json"),
+    "session_driver_list": q_session_driver_list,
     "scd_drivers_replay": _model("scd_drivers_replay"),
     "scd_drivers_increment": _model("scd_drivers_increment"),
     "dim_drivers": _model("dim_drivers"),

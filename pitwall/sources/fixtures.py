@@ -328,6 +328,28 @@ def landed_tables(spark: SparkSession, sf_dir: str) -> Lazy:
                  for name in derived})
 
 
+def landed_json_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Land a feed as JSON files, one folder per session (like per-session API dumps);
+    returns the folder holding all of them."""
+    path = f"{landing_root(spark, sf_dir)}/json/{name}"
+    try:
+        if spark.read.text(path).limit(1).count() > 0:
+            return path
+    except AnalysisException:
+        pass
+    derived_tables(spark, sf_dir)[name].write.mode("overwrite").partitionBy("session_key").json(path)
+    return path
+
+
+def land_all(spark: SparkSession, sf_dir: str) -> None:
+    """Land every fixture table (Parquet) and the JSON feeds up front."""
+    landed = landed_tables(spark, sf_dir)
+    for name in landed:
+        landed[name]
+    for name in ("car_data", "lap_starts"):
+        landed_json_feed(spark, sf_dir, name)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
     """The eight raw tables for ``sf_dir`` (landed copies); each built on first access."""
     landed = landed_tables(spark, sf_dir)
