@@ -81,7 +81,8 @@ def lap_summary(assigned: DataFrame) -> DataFrame:
     sums = []
     for m in _MEANS:
         sums += [F.sum(_units(F.col(m))).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}")]
-    per_bucket = s.groupBy(*LAP_KEYS, "_bucket").agg(
+    # same key order as the window partition: the sort it made serves the aggregate too
+    per_bucket = s.groupBy("session_key", "driver_number", "_bucket", "lap_number").agg(
         F.max("meeting_key").alias("meeting_key"), *sums,
         F.max("speed").alias("_max_speed"), F.min("speed").alias("_min_speed"),
         F.max("rpm").alias("_max_rpm"), F.count(F.lit(1)).alias("_rows"),
