@@ -8,18 +8,21 @@ Of boundaries with equal starts, the one later in (start, id) order wins.
 Plan, chosen so that no task has to hold one key's whole history and nothing grows
 faster than the input:
 
-1. ``lead`` over the boundaries of a key turns starts into intervals ``[start, next)``;
-   the open last interval ends at the key's last sample. Boundaries are small (one per
-   lap, ~1/300 of the samples; a key has at most a few hundred).
-2. Per key, a bucket width is derived from the data: the key's time span divided by its
-   number of intervals (the mean interval length). Each interval is replicated into the
-   buckets it overlaps — about two rows per interval in total, whatever the time scale.
-3. Samples take their bucket from the same per-key origin and width (a join with one
-   small row per key) and are equi-joined to the replicated intervals on
-   ``(key..., bucket)`` with the time range as a residual condition. A bucket holds about
-   one interval's worth of samples, so a hot key (one driver with a third of all
-   samples) spreads over many join partitions instead of one; AQE's skew split covers
-   what remains. Each sample meets the 1-3 intervals of its bucket — no pair blow-up.
+1. ``lead`` over the boundaries of a key turns starts into intervals ``[start, next)``.
+   Boundaries are small (one per lap, ~1/300 of the samples; a key has a few hundred).
+2. Per key, a bucket width is derived from the data: the approximate median length of its
+   closed intervals. (The width only affects speed, never the result, so an approximate,
+   outlier-proof statistic is the right one.) Each closed interval is replicated into the
+   buckets it overlaps — about two rows per interval. The open last interval gets one
+   sentinel bucket instead, so a far-away straggler sample cannot stretch anything.
+3. Samples take their bucket from the same per-key origin and width (a join with one small
+   row per key); samples at or after the last start take the sentinel; samples before
+   the first start are dropped before any shuffle. Samples and intervals are then
+   equi-joined on ``(key..., bucket)`` with the time range as a residual condition. A
+   bucket holds about one interval's worth of samples, so a hot key (one driver with a
+   third of all samples) spreads over many join partitions instead of one; AQE's skew
+   split covers what remains (e.g. a huge tail after the last start). Each sample meets
+   the 1-3 intervals of its bucket — no pair blow-up.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+TAIL_BUCKET = -1  # bucket of the open last interval and of the samples after its start
+
 
 def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
@@ -51,29 +56,36 @@ def asof_join(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str], ti
     """Inner as-of join: ``samples`` rows that fall in an interval, with ``ident`` (and the
     interval ``start``) attached, plus ``_bucket`` (usable as a window sub-partition)."""
     keys = list(keys)
-    s = samples.filter(F.col(time_col).isNotNull()).withColumn("_t", _micros(F.col(time_col)))
-    extent = s.groupBy(*keys).agg(F.max("_t").alias("_last_us"))   # partial agg, tiny
-    iv = intervals(boundaries.filter(F.col(start).isNotNull()), keys, start, ident)
-    iv = (iv.join(extent, keys, "inner")
-            .withColumn("_lo", _micros(F.col(start)))
-            .withColumn("_hi", F.coalesce(_micros(F.col("_next")) - 1, F.col("_last_us")))
-            .filter(F.col("_hi") >= F.col("_lo")))
+    iv = (intervals(boundaries.filter(F.col(start).isNotNull()), keys, start, ident)
+          .withColumn("_lo", _micros(F.col(start)))
+          .withColumn("_hi", _micros(F.col("_next")) - 1))          # NULL for the open one
     geometry = iv.groupBy(*keys).agg(
         F.min("_lo").alias("_origin"),
-        F.greatest(F.lit(1).cast("long"),
-                   F.ceil((F.max("_hi") - F.min("_lo") + 1) / F.count(F.lit(1)))).alias("_width"))
-    ivb = (iv.join(geometry, keys, "inner")
-             .select(*[F.col(k).alias(f"_iv_{k}") for k in keys], ident, start, "_next",
-                     F.explode(F.sequence(_bucket(F.col("_lo")), _bucket(F.col("_hi"))))
-                      .alias("_iv_bucket")))
-    sb = s.join(geometry, keys, "inner").withColumn("_bucket", _bucket(F.col("_t")))
+        F.max("_lo").alias("_tail"),
+        F.greatest(F.lit(1).cast("long"), F.coalesce(
+            F.percentile_approx(F.col("_hi") - F.col("_lo") + 1, 0.5), F.lit(1).cast("long"))
+        ).alias("_width"))
+    closed = (iv.filter(F.col("_next").isNotNull()).join(geometry, keys, "inner")
+                .withColumn("_iv_bucket", F.explode(F.sequence(_bucket(F.col("_lo")),
+                                                               _bucket(F.col("_hi"))))))
+    tail = iv.filter(F.col("_next").isNull()).withColumn("_iv_bucket", F.lit(TAIL_BUCKET).cast("long"))
+    ivb = closed.select(*keys, ident, start, "_next", "_iv_bucket").unionByName(
+        tail.select(*keys, ident, start, "_next", "_iv_bucket"))
+    ivb = ivb.select(*[F.col(k).alias(f"_iv_{k}") for k in keys], ident, start, "_next", "_iv_bucket")
+
+    t = _micros(F.col(time_col))
+    sb = (samples.filter(F.col(time_col).isNotNull())
+                 .join(geometry, keys, "inner")
+                 .filter(t >= F.col("_origin"))
+                 .withColumn("_bucket", F.when(t >= F.col("_tail"), F.lit(TAIL_BUCKET).cast("long"))
+                                         .otherwise(_bucket(t))))
     cond = F.lit(True)
     for k in keys:
         cond = cond & (sb[k] == ivb[f"_iv_{k}"])
     cond = (cond & (sb["_bucket"] == ivb["_iv_bucket"]) & (sb[time_col] >= ivb[start])
             & (ivb["_next"].isNull() | (sb[time_col] < ivb["_next"])))
     return (sb.join(ivb, cond, "inner")
-              .drop(*[f"_iv_{k}" for k in keys], "_iv_bucket", "_next", "_t", "_origin", "_width"))
+              .drop(*[f"_iv_{k}" for k in keys], "_iv_bucket", "_next", "_origin", "_tail", "_width"))
 
 
 def asof_join_direct(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str],

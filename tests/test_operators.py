@@ -72,7 +72,9 @@ def test_asof_bucketed_equals_direct_and_brute_force(spark, small_dir):
 
 
 def test_gear_changes_and_shares(spark):
-    starts = _starts(spark, [(1, 7, 1, ts(0)), (1, 7, 2, ts(1000)), (1, 7, 3, ts(2000))])
+    # lap 3 is 4x the median lap length, so it spans several buckets (edges are stitched)
+    starts = _starts(spark, [(1, 7, 1, ts(0)), (1, 7, 2, ts(1000)), (1, 7, 3, ts(2000)),
+                             (1, 7, 4, ts(6000))])
     gears = [1, None, 2, 2, 3]                     # lap 1: 2 changes
     rows = [(1, 7, i, ts(10 * i), g, 100.0 + i, 50.0, 9000.0, b, d, 10)
             for i, (g, b, d) in enumerate(zip(gears, [None, 0.0, 100.0, 100.0, 0.0],
@@ -87,7 +89,9 @@ def test_gear_changes_and_shares(spark):
     assert out[1].drs_usage_pct == 75.0            # 3 of 4 non-NULL DRS values open
     assert out[1].max_speed == 104 and out[1].min_speed == 100
     assert out[2].gear_changes == 0 and out[2].avg_throttle is None
-    assert out[3].gear_changes == 4
+    assert out[3].gear_changes == 4 and out[3].sample_count == 10
+    assigned = telemetry.assign_laps(_samples(spark, rows), starts)
+    assert assigned.filter("lap_number = 3").select("_bucket").distinct().count() >= 3
 
 
 def test_rounded_mean_is_exact_half_up(spark):
