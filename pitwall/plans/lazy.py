@@ -7,6 +7,7 @@ touches. ``Lazy`` defers each one until it is looked up.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
@@ -15,11 +16,13 @@ class Lazy(Mapping):
     def __init__(self, builders: dict[str, Callable[[], Any]]):
         self._builders = dict(builders)
         self._built: dict[str, Any] = {}
+        self._lock = threading.RLock()   # queries may be started from several threads
 
     def __getitem__(self, key: str) -> Any:
-        if key not in self._built:
-            self._built[key] = self._builders[key]()
-        return self._built[key]
+        with self._lock:
+            if key not in self._built:
+                self._built[key] = self._builders[key]()
+            return self._built[key]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -31,9 +34,11 @@ class Lazy(Mapping):
 def once(fn: Callable[[], Any]) -> Callable[[], Any]:
     """Memoise a zero-argument builder."""
     box: list = []
+    lock = threading.Lock()
 
     def get():
-        if not box:
-            box.append(fn())
-        return box[0]
+        with lock:
+            if not box:
+                box.append(fn())
+            return box[0]
     return get

@@ -10,6 +10,8 @@ run writes a new folder and never overwrites the version it reads.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,18 +31,28 @@ def layer_path(root: str, model: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = "season_year") -> None:
-    w = df
+    """Overwrite ``path``. Partitioned tables go through a ``rebalance`` on the partition
+    column: AQE then sizes output tasks (advisory partition size), splitting a hot season
+    over several tasks instead of one, and each task writes few files."""
     if partition_by and partition_by in df.columns:
-        # cluster rows by partition value inside each task (no shuffle) → few files per task
-        w = df.sortWithinPartitions(partition_by)
-        w.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        (df.hint("rebalance", partition_by).write.mode("overwrite")
+           .partitionBy(partition_by).parquet(path))
     else:
-        w.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
+
+
+def append_dq_log(report: DataFrame, path: str, run_id: str, checked_at) -> None:
+    """Append one run's check results to the data-quality log (never rewritten)."""
+    (report.withColumn("run_id", F.lit(run_id))
+           .withColumn("checked_at", F.lit(checked_at).cast("timestamp_ntz"))
+           .write.mode("append").parquet(path))
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-          snapshot_version: str = "v1") -> dict[str, str]:
-    """Build all models from the raw tables; returns model → written path."""
+          snapshot_version: str = "v1", run_id: str = "build", run_ts=None) -> dict[str, str]:
+    """Build all models from the raw tables; returns model → written path. ``run_ts``
+    (the run's clock time, passed in) stamps the data-quality log."""
+    run_ts = run_ts or dt.datetime(2000, 1, 1)
     stg = build_staging(raw)
     paths: dict[str, str] = {}
 
@@ -65,5 +77,6 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     snap = save("scd_drivers", snapshots.scd_drivers_replay(stg), partition_by=None)
     tables["dim_drivers"] = save("dim_drivers", snapshots.dim_drivers(snap), partition_by=None)
     dq = reports.dq_report({**stg, **tables, "raw_drivers": raw["drivers"]})
-    save("dq_report", dq.withColumn("checked_at", F.current_timestamp()), partition_by=None)
+    append_dq_log(dq, layer_path(root, "dq_report"), run_id, run_ts)
+    paths["dq_report"] = layer_path(root, "dq_report")
     return paths

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -306,8 +307,17 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/pitwall-landed/{tag}"
 
 
+_LANDING_LOCK = threading.Lock()
+
+
 def _landed(spark: SparkSession, path: str, build) -> DataFrame:
-    """Read the landed copy at ``path``; land it first if it is not there (one writer)."""
+    """Read the landed copy at ``path``; land it first if it is not there (one writer per
+    process; the write is an ordinary job commit, so readers never see a partial copy)."""
+    with _LANDING_LOCK:
+        return _read_or_land(spark, path, build)
+
+
+def _read_or_land(spark: SparkSession, path: str, build) -> DataFrame:
     try:
         df = spark.read.parquet(path)
         if df.columns:
@@ -332,6 +342,11 @@ def landed_json_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Land a feed as JSON files, one folder per session (like per-session API dumps);
     returns the folder holding all of them."""
     path = f"{landing_root(spark, sf_dir)}/json/{name}"
+    with _LANDING_LOCK:
+        return _land_json(spark, sf_dir, name, path)
+
+
+def _land_json(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
     try:
         if spark.read.text(path).limit(1).count() > 0:
             return path
