@@ -303,7 +303,9 @@ def derived_tables(spark: SparkSession, sf_dir: str) -> Lazy:
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
     """Folder for the landed copies: under the session's shared checkpoint folder."""
     from pitwall.session import checkpoint_dir
-    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{FIXTURE_VERSION}".encode()).hexdigest()[:12]
+    with open(__file__, "rb") as fh:     # any change to a formula lands a fresh copy
+        code = hashlib.sha1(fh.read()).hexdigest()
+    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{FIXTURE_VERSION}|{code}".encode()).hexdigest()[:12]
     return f"{checkpoint_dir(spark).rstrip('/')}/pitwall-landed/{tag}"
 
 
