@@ -55,10 +55,10 @@ def write_absent(batch: DataFrame, target_path: str, keys: Sequence[str], order:
         target = spark.read.schema(batch.schema).parquet(target_path)
     except Exception:  # noqa: BLE001 — first load: no table yet
         target = spark.createDataFrame([], batch.schema)
-    new = insert_absent(batch, target, keys, order)
-    new.write.mode("append").parquet(target_path)
-    return {"sent": batch.count(), "inserted": spark.read.parquet(target_path).count()
-            - target.count()}
+    before = target.count()
+    insert_absent(batch, target, keys, order).write.mode("append").parquet(target_path)
+    after = spark.read.parquet(target_path).count()
+    return {"sent": batch.count(), "inserted": after - before}
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:

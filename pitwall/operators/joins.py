@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension that is broadcast on a checked count. Calendar dimensions (sessions,
+# meetings, drivers per session) hold thousands of rows over the sport's whole history.
+DIM_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when it has at most ``max_rows`` rows; otherwise leave the join
+    strategy to the planner (sort-merge, or AQE's runtime broadcast when measured small).
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` before ``count``), so it costs
+    a small job even when the table turns out to be large."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -29,7 +29,13 @@ def laps_with_stints(laps: DataFrame, stints: DataFrame) -> DataFrame:
                 .drop("_s_session", "_s_driver", "lap_start", "lap_end"))
 
 
-def int_laps_enriched(stg: dict[str, DataFrame]) -> DataFrame:
+def int_laps_enriched(stg: dict[str, DataFrame], max_ratio: float | None = None) -> DataFrame:
+    """Laps with stint, driver, session and telemetry context and the validity flag.
+
+    ``is_valid_lap`` = timed and not a pit-out lap. ``max_ratio`` (off by default, as in the
+    reference's code) also rejects laps slower than ``max_ratio`` × the session median of
+    timed laps (e.g. 1.3 for safety-car laps); the median is a per-session aggregate
+    joined back, not a window over the session."""
     laps = laps_with_stints(stg["stg_laps"], stg["stg_stints"])
     drivers = stg["stg_drivers"].select(
         "driver_number", "session_key", "driver_name", "driver_code", "team_name", "team_colour")
@@ -43,6 +49,13 @@ def int_laps_enriched(stg: dict[str, DataFrame]) -> DataFrame:
     j = (laps.join(drivers, ["session_key", "driver_number"], "left")
              .join(sessions, "session_key", "left")
              .join(tele, ["session_key", "driver_number", "lap_number"], "left"))
+    valid = col("has_timing") & ~col("is_pit_out_lap")
+    if max_ratio is not None:
+        medians = (laps.filter(col("has_timing")).groupBy(col("session_key").alias("_m_session"))
+                       .agg(F.median("lap_duration").alias("_session_median")))
+        j = j.join(medians, j.session_key == medians._m_session, "left")
+        valid = valid & F.coalesce(col("lap_duration") <= col("_session_median") * max_ratio,
+                                   F.lit(True))
     return j.select(
         "session_key", "meeting_key", "driver_number", "lap_number",
         "season_year", "country_name", "circuit_name", "session_start_at",
@@ -51,7 +64,7 @@ def int_laps_enriched(stg: dict[str, DataFrame]) -> DataFrame:
         "i1_speed", "i2_speed", "st_speed",
         "stint_number", "compound", "tyre_age_at_start", "is_fresh_tyre", "lap_in_stint",
         "is_pit_out_lap", "has_timing",
-        (col("has_timing") & ~col("is_pit_out_lap")).alias("is_valid_lap"),
+        valid.alias("is_valid_lap"),
         "avg_speed", "max_speed", "avg_throttle", "avg_rpm", "max_rpm", "avg_brake",
         "drs_usage_pct", "gear_changes", "has_sufficient_telemetry",
         "lap_started_at")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pitwall.functions.columns import (FAST_STOP_SECS, MIN_TELEMETRY_SAMPLES,
                                        normalise_colour)
 from pitwall.operators.dedup import latest_per_key
+from pitwall.operators.joins import broadcast_if_small
 from pitwall.plans.lazy import Lazy
 
 col, trim = F.col, F.trim
@@ -152,10 +153,11 @@ def stg_car_data_lap_agg(agg: DataFrame) -> DataFrame:
 
 def build_staging(raw) -> Lazy:
     """All eight staging models over ``raw`` (name → DataFrame); built on first access."""
+    # calendar dimensions: broadcast to every join that reads them, after a size check
     stg = Lazy({
-        "stg_meetings": lambda: stg_meetings(raw["meetings"]),
-        "stg_sessions": lambda: stg_sessions(raw["sessions"]),
-        "stg_drivers": lambda: stg_drivers(raw["drivers"], stg["stg_sessions"]),
+        "stg_meetings": lambda: broadcast_if_small(stg_meetings(raw["meetings"])),
+        "stg_sessions": lambda: broadcast_if_small(stg_sessions(raw["sessions"])),
+        "stg_drivers": lambda: broadcast_if_small(stg_drivers(raw["drivers"], stg["stg_sessions"])),
         "stg_laps": lambda: stg_laps(raw["laps"]),
         "stg_stints": lambda: stg_stints(raw["stints"]),
         "stg_pit": lambda: stg_pit(raw["pit"]),

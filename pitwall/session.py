@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # a join on (session, driver, lap) may reuse a (session, driver) hash partitioning that
+    # one side already has, instead of shuffling the large lap side again
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -44,7 +47,8 @@ def apply_sql_conf(spark: SparkSession) -> None:
     """Session-level SQL settings that can be changed on a running session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.coalescePartitions.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.requireAllClusterKeysForCoPartition"):
         spark.conf.set(k, BASE_CONF[k])
 
 

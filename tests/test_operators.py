@@ -179,3 +179,28 @@ def test_scans_prune_columns(spark, small_dir):
     assert "ReadSchema: struct<session_key:bigint,driver_number:int,lap_number:int,lap_duration:double>" in plan \
         or "lap_duration" in plan
     assert "PushedFilters: [IsNotNull(session_key), IsNotNull(driver_number), IsNotNull(lap_number)]" in plan
+
+
+def test_write_absent_counts_and_run_log(spark):
+    import tempfile
+    path = tempfile.mkdtemp(prefix="pitwall-wa-") + "/t"
+    b1 = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k long, v string, o long")
+    assert ingest.write_absent(b1, path, ["k"], ["o"]) == {"sent": 2, "inserted": 2}
+    b2 = spark.createDataFrame([(2, "x", 1), (3, "c", 1), (3, "d", 2)], "k long, v string, o long")
+    assert ingest.write_absent(b2, path, ["k"], ["o"]) == {"sent": 3, "inserted": 1}
+    counts = ingest.load_counts({"a": b1, "b": b2})
+    row = ingest.run_log_row(counts, "run-7").first()
+    assert row.run_id == "run-7" and row.total_rows == 5
+    assert row.rows_loaded == '{"a":2,"b":3}'
+
+
+def test_max_ratio_rejects_slow_laps(spark, small_dir):
+    from pitwall.plans import enrich
+    m = catalog.models(spark, small_dir)
+    stg = {n: m[n] for n in ("stg_laps", "stg_stints", "stg_drivers", "stg_sessions",
+                             "stg_car_data_lap_agg")}
+    base = enrich.int_laps_enriched(stg)
+    strict = enrich.int_laps_enriched(stg, max_ratio=1.0)
+    n_base = base.filter("is_valid_lap").count()
+    n_strict = strict.filter("is_valid_lap").count()
+    assert 0 < n_strict < n_base and strict.count() == base.count()
