@@ -326,7 +326,14 @@ def _read_or_land(spark: SparkSession, path: str, build) -> DataFrame:
             return df
     except AnalysisException:
         pass
-    build().write.mode("overwrite").parquet(path)
+    df = build()
+    # cluster by key into ~2 files per core, sorted inside: scans get parallel splits and
+    # row-group min/max statistics on the keys (a session filter skips row groups)
+    keys = [c for c in ("session_key", "meeting_key", "driver_number", "lap_number")
+            if c in df.columns]
+    parts = max(2, 2 * spark.sparkContext.defaultParallelism)
+    (df.repartition(parts, *keys[:2]).sortWithinPartitions(*keys)
+       .write.mode("overwrite").parquet(path))
     return spark.read.parquet(path)
 
 
