@@ -31,9 +31,11 @@ class TableChecks:
     non_empty: bool = False
 
 
-def _row(table: str, column, check: str, failures) -> list:
-    return [F.lit(table).alias("table_name"), F.lit(column).cast("string").alias("column_name"),
-            F.lit(check).alias("check_name"), failures.cast("long").alias("failures")]
+def _rows(table: str, labels: list[tuple]) -> list:
+    """One aggregate row → one output row per check (a single ``explode``, no re-scan)."""
+    items = [F.struct(F.lit(c).cast("string").alias("column_name"), F.lit(chk).alias("check_name"),
+                      F.col(a).cast("long").alias("failures")) for c, chk, a in labels]
+    return [F.lit(table).alias("table_name"), F.explode(F.array(*items)).alias("_r")]
 
 
 def table_report(df: DataFrame, spec: TableChecks) -> list[DataFrame]:
@@ -50,12 +52,13 @@ def table_report(df: DataFrame, spec: TableChecks) -> list[DataFrame]:
         labels.append((None, "non_empty", "ne"))
     out = []
     if aggs:
-        one = df.agg(*aggs)
-        out += [one.select(*_row(spec.table, c, chk, F.col(a))) for c, chk, a in labels]
+        out.append(df.agg(*aggs).select(*_rows(spec.table, labels))
+                     .select("table_name", "_r.column_name", "_r.check_name", "_r.failures"))
     for c in spec.unique:
         dup = (df.filter(F.col(c).isNotNull()).groupBy(c).count()
                  .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("n")))
-        out.append(dup.select(*_row(spec.table, c, "unique", F.col("n"))))
+        out.append(dup.select(*_rows(spec.table, [(c, "unique", "n")]))
+                      .select("table_name", "_r.column_name", "_r.check_name", "_r.failures"))
     return out
 
 

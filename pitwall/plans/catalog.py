@@ -166,6 +166,17 @@ def q_race_rounds(spark, sf_dir):
                                 "stg_session_results": m["stg_session_results"]})
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back (a
+    lineage cut that survives executor loss; columnar, so readers prune columns)."""
+    import uuid
+
+    from pitwall.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pitwall-materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 DQ_TABLES = ("stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
              "stg_session_results", "stg_car_data_lap_agg", "fct_race_results", "fct_lap_times",
              "fct_pit_strategy", "fct_driver_season", "fct_driver_pace", "dim_drivers",
@@ -174,12 +185,10 @@ DQ_TABLES = ("stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_sti
 
 def q_dq_report(spark, sf_dir):
     """Checks over every model. Four of the checked marts read the enriched lap table, so
-    it is checkpointed once (reliable checkpoint in the shared folder) and the marts are
-    built on that copy instead of re-deriving it in each branch of the report."""
-    from pitwall.session import checkpoint_dir
-    checkpoint_dir(spark)
+    it is written once as a table in the shared checkpoint folder and the marts are built
+    on that copy (each reading only its columns) instead of re-deriving it per branch."""
     m = models(spark, sf_dir)
-    laps = m["int_laps_enriched"].checkpoint(eager=True)
+    laps = materialize(spark, m["int_laps_enriched"], "int_laps_enriched")
     results = marts.fct_race_results(m["int_race_context"], laps)
     tables = {t: m[t] for t in DQ_TABLES}
     tables.update({
