@@ -204,3 +204,24 @@ def test_max_ratio_rejects_slow_laps(spark, small_dir):
     n_base = base.filter("is_valid_lap").count()
     n_strict = strict.filter("is_valid_lap").count()
     assert 0 < n_strict < n_base and strict.count() == base.count()
+
+
+def test_asof_spreads_a_hot_key_over_many_join_keys(spark):
+    # one driver with 100 laps of ~90 s and 3.2 samples/s (a third of a race's telemetry)
+    laps = [(1, 44, n, ts(90 * n + (n % 7))) for n in range(1, 101)]
+    starts = _starts(spark, laps)
+    samples = spark.range(0, 29000).select(
+        F.lit(1).cast("long").alias("session_key"), F.lit(44).cast("long").alias("driver_number"),
+        F.col("id").alias("sample_id"),
+        (F.lit(ts(90)).cast("timestamp") + F.make_dt_interval(secs=(F.col("id") * 0.3125).cast("decimal(18,6)")))
+        .cast("timestamp_ntz").alias("date"))
+    out = asof.asof_join(samples, starts, ["session_key", "driver_number"], "date", "lap_start",
+                         "lap_number")
+    per_bucket = out.groupBy("_bucket").count().collect()
+    assert out.count() == 29000 - 4                   # the 4 samples before lap 1 (91 s) drop
+    assert len(per_bucket) >= 90                      # ~one join key per lap, not one per driver
+    assert max(r["count"] for r in per_bucket) <= 4 * 29000 / len(per_bucket)
+    direct = asof.asof_join_direct(samples, starts, ["session_key", "driver_number"], "date",
+                                   "lap_start", "lap_number")
+    assert sorted(map(tuple, out.select("sample_id", "lap_number").collect())) == \
+        sorted(map(tuple, direct.select("sample_id", "lap_number").collect()))
