@@ -98,10 +98,3 @@ def parse_iso_timestamp(text) -> Column:
         F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]")),
         F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]")),
     )
-
-
-def round_doubles(df, digits: int = 6):
-    """Round every double column (stable comparison of sums across engines)."""
-    cols = [F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double"
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)

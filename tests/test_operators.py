@@ -225,3 +225,13 @@ def test_asof_spreads_a_hot_key_over_many_join_keys(spark):
                                    "lap_start", "lap_number")
     assert sorted(map(tuple, out.select("sample_id", "lap_number").collect())) == \
         sorted(map(tuple, direct.select("sample_id", "lap_number").collect()))
+
+
+def test_cumulative_points_equal_season_sums(spark, small_dir):
+    season = catalog.run("fct_driver_season", spark, small_dir)
+    last = (season.groupBy("season_year", "driver_number")
+                  .agg(F.max_by("cumulative_points", "race_number_in_season").alias("last_cum"),
+                       F.sum("race_points").alias("total"),
+                       F.max("race_number_in_season").alias("n"), F.count(F.lit(1)).alias("rows")))
+    bad = last.filter("last_cum <> total OR n <> rows").count()
+    assert bad == 0 and last.count() > 0
