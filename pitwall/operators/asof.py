@@ -10,9 +10,10 @@ faster than the input:
 
 1. ``lead`` over the boundaries of a key turns starts into intervals ``[start, next)``.
    Boundaries are small (one per lap, ~1/300 of the samples; a key has a few hundred).
-2. Per key, a bucket width is derived from the data: the approximate median length of its
-   closed intervals. (The width only affects speed, never the result, so an approximate,
-   outlier-proof statistic is the right one.) Each closed interval is replicated into the
+2. Per key, a bucket width is derived from the data: the median length of its closed
+   intervals (outlier-proof; the width only affects speed, never the result). It is the
+   exact median, not an approximate one: a stage recomputed after an executor loss must
+   bucket exactly as the surviving stages did. Each closed interval is replicated into the
    buckets it overlaps — about two rows per interval. The open last interval gets one
    sentinel bucket instead, so a far-away straggler sample cannot stretch anything.
 3. Samples take their bucket from the same per-key origin and width (a join with one small
@@ -63,8 +64,8 @@ def asof_join(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str], ti
         F.min("_lo").alias("_origin"),
         F.max("_lo").alias("_tail"),
         F.greatest(F.lit(1).cast("long"), F.coalesce(
-            F.percentile_approx(F.col("_hi") - F.col("_lo") + 1, 0.5), F.lit(1).cast("long"))
-        ).alias("_width"))
+            F.ceil(F.percentile(F.col("_hi") - F.col("_lo") + 1, F.lit(0.5))),
+            F.lit(1).cast("long"))).alias("_width"))
     closed = (iv.filter(F.col("_next").isNotNull()).join(geometry, keys, "inner")
                 .withColumn("_iv_bucket", F.explode(F.sequence(_bucket(F.col("_lo")),
                                                                _bucket(F.col("_hi"))))))

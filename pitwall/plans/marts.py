@@ -197,7 +197,7 @@ def tyre_degradation(laps: DataFrame) -> DataFrame:
 def compound_sequence(stints: DataFrame) -> DataFrame:
     """'SOFT → MEDIUM → ...' in stint order per driver-race (NULL compounds skipped)."""
     return stints.groupBy("session_key", "driver_number").agg(
-        F.expr("listagg(compound, ' → ') WITHIN GROUP (ORDER BY stint_number)")
+        F.expr("listagg(compound, ' → ') WITHIN GROUP (ORDER BY stint_number, compound)")
          .alias("tyre_strategy"))
 
 
