@@ -80,3 +80,27 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     append_dq_log(dq, layer_path(root, "dq_report"), run_id, run_ts)
     paths["dq_report"] = layer_path(root, "dq_report")
     return paths
+
+
+def snapshot_run(spark: SparkSession, root: str, drivers_stg: DataFrame, run_ts,
+                 previous_version: str | None, new_version: str) -> str:
+    """One snapshot run: read the stored snapshot version ``previous_version`` (none on the
+    first run), apply the check-strategy increment for ``run_ts``, and write the result as
+    ``new_version`` — a new folder, never the one being read."""
+    if previous_version == new_version:
+        raise ValueError("a snapshot run must write a new version")
+    base = layer_path(root, "scd_drivers")
+    current = snapshots.latest_driver_rows(drivers_stg)
+    if previous_version is None:
+        ts = F.lit(run_ts).cast("timestamp_ntz")
+        snap = current.select(
+            "driver_number", *snapshots.DRIVER_ATTRS, ts.alias("valid_from"),
+            F.lit(None).cast("timestamp_ntz").alias("valid_to"), ts.alias("updated_at"),
+            F.md5(F.concat(F.col("driver_number").cast("string"), F.lit("|"),
+                           ts.cast("string"))).alias("scd_id"))
+    else:
+        previous = spark.read.parquet(f"{base}/{previous_version}")
+        snap = snapshots.scd_drivers_increment(previous, drivers_stg, run_ts)
+    path = f"{base}/{new_version}"
+    snap.write.mode("errorifexists").parquet(path)
+    return path

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from pitwall.operators import telemetry
@@ -83,3 +84,19 @@ def test_telemetry_stream_matches_batch(spark, small_dir):
     got = sorted(map(tuple, spark.read.parquet(f"{root}/out").select(*cols).collect()))
     want = sorted(map(tuple, m["telemetry_lap_agg"].select(*cols).collect()))
     assert got == want
+
+
+def test_snapshot_runs_write_new_versions(spark, small_dir):
+    m = catalog.models(spark, small_dir)
+    drivers = m["stg_drivers"]
+    root = _scratch()
+    early = drivers.filter("session_key < 199801")
+    p1 = pipeline.snapshot_run(spark, root, early, dt.datetime(1998, 1, 1), None, "v1")
+    p2 = pipeline.snapshot_run(spark, root, drivers, dt.datetime(2002, 1, 1), "v1", "v2")
+    v1, v2 = spark.read.parquet(p1), spark.read.parquet(p2)
+    assert v1.filter("valid_to IS NOT NULL").count() == 0
+    # one open spell per driver; every v1 spell is still there (closed or open)
+    assert v2.filter("valid_to IS NULL").groupBy("driver_number").count().filter("count > 1").count() == 0
+    assert v2.join(v1.select("scd_id"), "scd_id", "left_semi").count() == v1.count()
+    with pytest.raises(ValueError):
+        pipeline.snapshot_run(spark, root, drivers, dt.datetime(2003, 1, 1), "v2", "v2")
