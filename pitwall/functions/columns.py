@@ -90,11 +90,16 @@ def normalise_colour(colour) -> Column:
     return F.when(F.left(c, F.lit(1)) == "#", c).otherwise(F.concat(F.lit("#"), c))
 
 
-def parse_iso_timestamp(text) -> Column:
-    """ISO-8601 text (with or without fraction / zone) → timestamp; bad text → NULL."""
+def parse_iso_timestamp(text, require_zone: bool = False) -> Column:
+    """ISO-8601 text → timestamp; bad text → NULL. With ``require_zone`` the text must end
+    in an offset ('Z', '+00:00', ...), as telemetry dates must; otherwise a naive time
+    (read as UTC) or a space separator is accepted too, as calendar dates are."""
     t = _c(text)
+    zoned = F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"))
+    if require_zone:
+        return zoned
     return F.coalesce(
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX")),
+        zoned,
         F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]")),
         F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]")),
     )

@@ -71,7 +71,7 @@ def typed_car_data(raw: DataFrame) -> DataFrame:
             df = df.withColumn(c, F.lit(None).cast("string"))
     extra = [c for c in df.columns if c not in CAR_DATA_FIELDS]
     return df.select(
-        parse_iso_timestamp(F.col("date").cast("string")).alias("date"),
+        parse_iso_timestamp(F.col("date").cast("string"), require_zone=True).alias("date"),
         F.col("session_key").cast("string").try_cast("long").alias("session_key"),
         F.col("meeting_key").cast("string").try_cast("long").alias("meeting_key"),
         F.col("driver_number").cast("string").try_cast("long").alias("driver_number"),
@@ -89,7 +89,7 @@ def typed_lap_starts(raw: DataFrame) -> DataFrame:
         F.col("session_key").cast("string").try_cast("long").alias("session_key"),
         F.col("driver_number").cast("string").try_cast("long").alias("driver_number"),
         F.col("lap_number").cast("string").try_cast("long").alias("lap_number"),
-        parse_iso_timestamp(F.col("date_start").cast("string")).alias("lap_start"))
+        parse_iso_timestamp(F.col("date_start").cast("string"), require_zone=True).alias("lap_start"))
     return df.filter(F.col("lap_start").isNotNull()
                      & F.coalesce(F.col("lap_number") != 0, F.lit(False))
                      & F.coalesce(F.col("driver_number") != 0, F.lit(False)))

@@ -149,3 +149,16 @@ def test_points_bonus_rules(spark):
     got = {r.driver_number: (r.base_points, r.fastest_lap_bonus, r.race_points)
            for r in marts.race_points_rows(res).collect()}
     assert got == {1: (25, 0, 25), 2: (1, 1, 2), 3: (0, 0, 0), 4: (10, 0, 10)}
+
+
+def test_iso_parse_zone_rules(spark):
+    df = spark.createDataFrame([("2024-03-02T13:04:05.123456+00:00",), ("2024-03-02T13:04:05Z",),
+                                ("2024-03-02T15:04:05+02:00",), ("2024-03-02T13:04:05",),
+                                ("bad",), (None,)], "t string")
+    strict = [r[0] for r in df.select(C.parse_iso_timestamp("t", require_zone=True)
+                                      .cast("timestamp_ntz")).collect()]
+    lenient = [r[0] for r in df.select(C.parse_iso_timestamp("t").cast("timestamp_ntz")).collect()]
+    want = [dt.datetime(2024, 3, 2, 13, 4, 5, 123456), dt.datetime(2024, 3, 2, 13, 4, 5),
+            dt.datetime(2024, 3, 2, 13, 4, 5)]
+    assert strict == want + [None, None, None]
+    assert lenient == want + [dt.datetime(2024, 3, 2, 13, 4, 5), None, None]
