@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.operators import ingest, telemetry
 from pitwall.plans import enrich, marts, reports, snapshots
 from pitwall.plans.staging import build_staging
 
@@ -104,3 +105,13 @@ def snapshot_run(spark: SparkSession, root: str, drivers_stg: DataFrame, run_ts,
     path = f"{base}/{new_version}"
     snap.write.mode("errorifexists").parquet(path)
     return path
+
+
+def load_telemetry_summary(samples: DataFrame, lap_starts: DataFrame, target_path: str,
+                           loaded_at, run_id: str) -> dict[str, int]:
+    """Extraction step for telemetry: typed samples + typed lap boundaries → per-lap
+    summaries, stamped with lineage and appended to the raw ``car_data_lap_agg`` table at
+    ``target_path`` with insert-absent semantics (a re-run of a session inserts nothing)."""
+    from pitwall.sources.landing import stamp_lineage
+    rows = stamp_lineage(telemetry.car_data_lap_agg(samples, lap_starts), loaded_at, run_id)
+    return ingest.write_absent(rows, target_path, telemetry.LAP_KEYS, ["_loaded_at"])

@@ -100,3 +100,16 @@ def test_snapshot_runs_write_new_versions(spark, small_dir):
     assert v2.join(v1.select("scd_id"), "scd_id", "left_semi").count() == v1.count()
     with pytest.raises(ValueError):
         pipeline.snapshot_run(spark, root, drivers, dt.datetime(2003, 1, 1), "v2", "v2")
+
+
+def test_load_telemetry_summary_is_idempotent(spark, small_dir):
+    m = catalog.models(spark, small_dir)
+    path = _scratch() + "/raw/car_data_lap_agg"
+    first = pipeline.load_telemetry_summary(m["car_data"], m["lap_starts"], path,
+                                            dt.datetime(2024, 2, 1), "run-1")
+    again = pipeline.load_telemetry_summary(m["car_data"], m["lap_starts"], path,
+                                            dt.datetime(2024, 2, 2), "run-2")
+    n = m["telemetry_lap_agg"].count()
+    assert first == {"sent": n, "inserted": n} and again == {"sent": n, "inserted": 0}
+    stored = spark.read.parquet(path)
+    assert stored.count() == n and stored.filter("_run_id = 'run-1'").count() == n
