@@ -1,15 +1,12 @@
 """Operators: as-of join, telemetry summary, SCD-2, idempotent append, DQ, plans."""
 
 import datetime as dt
-import math
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pitwall.operators import asof, ingest, quality, scd, telemetry
 from pitwall.plans import catalog
-from pitwall.sources import fixtures, landing
 
 T0 = dt.datetime(2024, 3, 2, 15, 0, 0)
 
