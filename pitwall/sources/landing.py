@@ -33,14 +33,19 @@ def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType, allowed: Iterable[str] | None = None) -> DataFrame:
     """Project onto ``schema``: drop columns outside it (or outside ``allowed``), add the
-    missing ones as NULL, cast the rest to the declared type."""
+    missing ones as NULL, cast the rest to the declared type (ISO text → timestamps via
+    the lenient parser)."""
     keep = set(allowed) if allowed is not None else None
     cols = []
     for f in schema.fields:
         if keep is not None and f.name not in keep and not f.name.startswith("_"):
             continue
         if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            src = F.col(f.name)
+            if (isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
+                    and isinstance(df.schema[f.name].dataType, T.StringType)):
+                src = parse_iso_timestamp(src)            # ISO text, with or without zone
+            cols.append(src.cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -103,3 +103,8 @@ SCHEDULE = T.StructType([T.StructField(n, t, True) for n, t in [
     ("date_end", TS), ("gmt_offset", S), ("trigger_after", TS), ("status", S),
     ("retry_count", I), ("last_error", S), ("extracted_at", TS), ("updated_at", TS),
 ]])
+
+
+def as_text(schema: T.StructType) -> T.StructType:
+    """The same fields, all text: read landed JSON this way, then ``landing.conform``."""
+    return T.StructType([T.StructField(f.name, S, True) for f in schema.fields])

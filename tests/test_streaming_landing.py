@@ -113,3 +113,21 @@ def test_load_telemetry_summary_is_idempotent(spark, small_dir):
     assert first == {"sent": n, "inserted": n} and again == {"sent": n, "inserted": 0}
     stored = spark.read.parquet(path)
     assert stored.count() == n and stored.filter("_run_id = 'run-1'").count() == n
+
+
+def test_landed_text_feed_conforms_to_typed_laps(spark):
+    root = _scratch()
+    rows = ['{"session_key": "9158", "driver_number": "1", "lap_number": "2", '
+            '"date_start": "2023-09-16T13:03:35.200000+00:00", "lap_duration": "91.5", '
+            '"is_pit_out_lap": "false", "segments_sector_1": [2048, 2049]}',
+            '{"session_key": "9158", "driver_number": "1", "lap_number": "3", '
+            '"date_start": "2023-09-16T13:05:06", "lap_duration": null}']
+    with open(f"{root}/laps.json", "w") as fh:
+        fh.write("\n".join(rows))
+    text = landing.read_landed_json(spark, f"{root}/laps.json", schemas.as_text(schemas.LAPS))
+    laps = landing.conform(text, schemas.LAPS, schemas.LAPS_ALLOWED)
+    got = {r.lap_number: r for r in laps.collect()}
+    assert got[2].date_start == dt.datetime(2023, 9, 16, 13, 3, 35, 200000)
+    assert got[3].date_start == dt.datetime(2023, 9, 16, 13, 5, 6)
+    assert got[2].lap_duration == 91.5 and got[2].is_pit_out_lap is False
+    assert got[3].lap_duration is None and "segments_sector_1" not in laps.columns
