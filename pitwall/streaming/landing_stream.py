@@ -54,7 +54,12 @@ def append_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ta
 
 def telemetry_stream(spark: SparkSession, samples_dir: str, lap_starts: DataFrame,
                      out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """``lap_starts``: typed lap boundaries (a batch table, e.g. the landed laps)."""
+    """``lap_starts``: typed lap boundaries (a batch table, e.g. the landed laps).
+
+    Each micro-batch re-reads the landed samples of the sessions it touched. Land them
+    partitioned by session (``.../session_key=<k>/``): the semi join on the batch's session
+    keys then prunes the other sessions' folders (dynamic partition pruning), so a batch
+    reads its own sessions only."""
 
     def summarise(batch: DataFrame, epoch_id: int) -> None:
         sessions = batch.select(F.col("session_key").cast("string").alias("session_key")).distinct()
