@@ -319,22 +319,46 @@ def _landed(spark: SparkSession, path: str, build) -> DataFrame:
         return _read_or_land(spark, path, build)
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True once a write job to ``path`` has committed (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS").limit(1).count()
+        return True
+    except AnalysisException:
+        return False
+
+
 def _read_or_land(spark: SparkSession, path: str, build) -> DataFrame:
+    if not _committed(spark, path):
+        out = build()
+        # cluster by key into ~2 files per core, sorted inside: scans get parallel splits
+        # and row-group min/max statistics on the keys (a session filter skips row groups)
+        keys = [c for c in ("session_key", "meeting_key", "driver_number", "lap_number")
+                if c in out.columns]
+        parts = max(2, 2 * spark.sparkContext.defaultParallelism)
+        clustered = out.repartition(parts, *keys[:2]).sortWithinPartitions(*keys)
+        _write_once(lambda: clustered.write.mode("errorifexists").parquet(path),
+                    lambda: _committed(spark, path),
+                    lambda: clustered.write.mode("overwrite").parquet(path))
+    return spark.read.parquet(path)
+
+
+def _write_once(write, committed, overwrite, wait_s: float = 300.0) -> None:
+    """Write unless another process got there first (``errorifexists``: a live concurrent
+    writer's output is not overwritten) and wait for its commit. A folder that stays
+    uncommitted past ``wait_s`` is a crashed writer's leftover and is rewritten."""
+    import time
     try:
-        df = spark.read.parquet(path)
-        if df.columns:
-            return df
+        write()
+        return
     except AnalysisException:
         pass
-    df = build()
-    # cluster by key into ~2 files per core, sorted inside: scans get parallel splits and
-    # row-group min/max statistics on the keys (a session filter skips row groups)
-    keys = [c for c in ("session_key", "meeting_key", "driver_number", "lap_number")
-            if c in df.columns]
-    parts = max(2, 2 * spark.sparkContext.defaultParallelism)
-    (df.repartition(parts, *keys[:2]).sortWithinPartitions(*keys)
-       .write.mode("overwrite").parquet(path))
-    return spark.read.parquet(path)
+    deadline = time.monotonic() + wait_s
+    while not committed():
+        if time.monotonic() > deadline:
+            overwrite()
+            return
+        time.sleep(2.0)
 
 
 def landed_tables(spark: SparkSession, sf_dir: str) -> Lazy:
@@ -356,12 +380,11 @@ def landed_json_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def _land_json(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
-    try:
-        if spark.read.text(path).limit(1).count() > 0:
-            return path
-    except AnalysisException:
-        pass
-    derived_tables(spark, sf_dir)[name].write.mode("overwrite").partitionBy("session_key").json(path)
+    if not _committed(spark, path):
+        feed = derived_tables(spark, sf_dir)[name]
+        _write_once(lambda: feed.write.mode("errorifexists").partitionBy("session_key").json(path),
+                    lambda: _committed(spark, path),
+                    lambda: feed.write.mode("overwrite").partitionBy("session_key").json(path))
     return path
 
 
