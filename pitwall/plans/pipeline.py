@@ -27,17 +27,41 @@ LAYER_OF = {
 }
 
 
+# Declared output order of each mart. Written tables keep rows in this order inside each
+# file (no global sort: a range shuffle of the whole table buys nothing for a reader);
+# ``display_order`` applies it globally for interactive display.
+ORDER_OF = {
+    "fct_lap_times": ("season_year", "meeting_key", "driver_number", "lap_number"),
+    "fct_race_results": ("season_year", "meeting_key", "finish_position"),
+    "fct_driver_season": ("season_year", "race_date", "championship_position"),
+    "fct_driver_pace": ("season_year", "meeting_key", "fastest_lap_secs"),
+    "fct_pit_strategy": ("season_year", "meeting_key", "driver_number", "stint_number"),
+    "dim_drivers": ("driver_number",),
+}
+
+
+def display_order(model: str, df: DataFrame) -> DataFrame:
+    """The mart in its declared order (a global sort; for display, not for writing)."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in ORDER_OF.get(model, ())])
+
+
 def layer_path(root: str, model: str) -> str:
     return f"{root}/{LAYER_OF.get(model, 'staging')}/{model}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = "season_year") -> None:
+def write_table(df: DataFrame, path: str, partition_by: str | None = "season_year",
+                order: tuple[str, ...] = ()) -> None:
     """Overwrite ``path``. Partitioned tables go through a ``rebalance`` on the partition
     column: AQE then sizes output tasks (advisory partition size), splitting a hot season
-    over several tasks instead of one, and each task writes few files."""
+    over several tasks instead of one, and each task writes few files. Rows are sorted
+    inside each task by ``order`` (the model's declared order)."""
     if partition_by and partition_by in df.columns:
-        (df.hint("rebalance", partition_by).write.mode("overwrite")
-           .partitionBy(partition_by).parquet(path))
+        w = df.hint("rebalance", partition_by)
+        keys = [c for c in (partition_by, *order) if c in df.columns]
+        w.sortWithinPartitions(*dict.fromkeys(keys)).write.mode("overwrite") \
+         .partitionBy(partition_by).parquet(path)
+    elif order:
+        df.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -61,7 +85,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         path = layer_path(root, name)
         if name == "scd_drivers":
             path = f"{path}/{snapshot_version}"
-        write_table(df, path, partition_by)
+        write_table(df, path, partition_by, ORDER_OF.get(name, ()))
         paths[name] = path
         return spark.read.parquet(path)
 

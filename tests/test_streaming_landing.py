@@ -52,6 +52,9 @@ def test_pipeline_build_writes_layers(spark, small_dir):
     n = spark.read.parquet(paths["fct_driver_season"]).count()
     assert n == catalog.run("fct_driver_season", spark, small_dir).count()
     assert os.path.isdir(f"{root}/marts/fct_lap_times")
+    shown = pipeline.display_order("fct_race_results", spark.read.parquet(paths["fct_race_results"]))
+    rows = [(r.season_year, r.meeting_key, r.finish_position) for r in shown.collect()]
+    assert rows == sorted(rows, key=lambda t: tuple((x is None, x) for x in t))
 
 
 def test_append_stream_is_idempotent(spark):
