@@ -242,3 +242,22 @@ def test_cumulative_points_equal_season_sums(spark, small_dir):
                        F.max("race_number_in_season").alias("n"), F.count(F.lit(1)).alias("rows")))
     bad = last.filter("last_cum <> total OR n <> rows").count()
     assert bad == 0 and last.count() > 0
+
+
+def test_dedup_and_first_wins_with_a_hot_key(spark):
+    from pitwall.operators.dedup import latest_per_key
+    # a third of all rows are re-sent copies of one key
+    hot = spark.range(0, 30000).select(F.lit(7).alias("k"), F.col("id").alias("o"),
+                                       (F.col("id") % 5).cast("string").alias("v"))
+    cold = spark.range(0, 60000).select((F.col("id") + 100).alias("k"), F.lit(0).cast("long").alias("o"),
+                                        F.lit("x").alias("v"))
+    rows = hot.unionByName(cold)
+    latest = latest_per_key(rows, ["k"], order=[("o", True)])
+    first = ingest.first_per_key(rows, ["k"], ["o"])
+    assert latest.count() == first.count() == 60001
+    assert latest.filter("k = 7").first().o == 29999
+    assert first.filter("k = 7").first().o == 0
+    # the pick is an aggregate with a map-side (partial) step before the shuffle
+    plan = _plan(latest)
+    tree = plan.split("\n\n\n")[0]
+    assert tree.count("SortAggregate") >= 2 and "Window" not in tree
