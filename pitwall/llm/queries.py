@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pitwall.llm import jaccard, language_id, licenses, mixing, quality, secrets, sharding, toxicity
+from pitwall.llm import (decontaminate, jaccard, katz, language_id, licenses, mixing, quality, secrets,
+                         sharding, toxicity)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_language_id": language_id.op2_language_id,
     "op3_shard_slots": sharding.op3_shard_slots,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_toxicity_ftrl": toxicity.op5_toxicity_ftrl,
+    "op6_katz_backoff": katz.op6_katz_backoff,
     "op7_quality_divergence": quality.op7_quality_divergence,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
@@ -19,6 +22,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op6_katz_backoff": katz.op6_katz_backoff,
     "op7_quality_divergence": quality.OP7_SQL,
     "op8_license_scan": licenses.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
