@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import chunks, cut, mix, read_table, shingle_hashes, word_hashes
+from pitwall.llm.common import chunks, cut, mix, own_names, read_table, shingle_hashes, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -475,13 +475,14 @@ def join_documents(spark: SparkSession, docs: DataFrame, n: int = SHINGLE, perce
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """One document of each component: the one with the smallest id. Rows that repeat an id
     are one document; rows without an id cannot be named and stay."""
-    found = join_documents(spark, docs, **options)
-    keep = (found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id"))
-                 .agg(F.count(F.lit(1)).alias("kept_rows")))
+    p = own_names(docs)
+    found = join_documents(spark, docs.select("doc_id", "text"), **options)
+    keep = (found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(f"{p}id"))
+                 .agg(F.count(F.lit(1)).alias(f"{p}rows")))
     keep = cut(spark, keep, "jaccard-kept")
-    same = docs["doc_id"].cast("long") == F.col("kept_id")
-    named = docs.join(keep.filter("kept_rows = 1"), same, "left_semi")
-    repeated = keep.filter("kept_rows > 1")
+    same = F.col("doc_id").cast("long") == F.col(f"{p}id")
+    named = docs.join(keep.filter(F.col(f"{p}rows") == 1), same, "left_semi")
+    repeated = keep.filter(F.col(f"{p}rows") > 1)
     if not repeated.isEmpty():
         named = named.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
     return named.unionByName(docs.filter("doc_id IS NULL"))

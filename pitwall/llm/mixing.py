@@ -118,7 +118,8 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, share: f
     c1 = _crossing(coarse.join(aims.select("key_source", "budget"), same).drop("key_source"),
                    "b1", "budget", "b1_end").withColumnRenamed("source", "c_source")
     aims = aims.join(c1, F.col("key_source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
-    fine = (measured.join(aims.select("key_source", "b1_end", "b1_end_left"),
+    plain = measured.select("source", f"{p}bin", f"{p}size")
+    fine = (plain.join(aims.select("key_source", "b1_end", "b1_end_left"),
                           same & (F.shiftright(f"{p}bin", 8) == F.col("b1_end")))
                     .groupBy("source", f"{p}bin").agg(F.sum(f"{p}size").alias("words"),
                                                       F.max("b1_end_left").alias("budget")))

@@ -10,7 +10,7 @@ all documents.
 
 Defined results: a null or empty text has no feature and scores the bias alone; a document
 with several labels is toxic if one of them says so; null labels are not learnt from; repeated
-rows get equal scores; without any label every score is 0 (nothing was learnt); an empty table
+rows get equal scores; without any label every score is next to 0 (nothing was learnt); an empty table
 gives no rows.
 """
 
