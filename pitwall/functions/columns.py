@@ -29,7 +29,6 @@ FAST_STOP_SECS = 2.5
 # Telemetry samples a lap needs to count as sufficiently covered.
 MIN_TELEMETRY_SAMPLES = 50
 # Upper lap bound for a stint that has not ended yet.
-OPEN_STINT_LAST_LAP = 9999
 # ------------------------------------------------------------------------------------------
 
 

@@ -5,25 +5,17 @@ greatest start ``<= t`` within the same key; samples before the first boundary o
 key get none (inner semantics drop them); samples after the last boundary belong to it.
 Of boundaries with equal starts, the one later in (start, id) order wins.
 
-Plan, chosen so that no task has to hold one key's whole history and nothing grows
-faster than the input:
+Plan: time is cut into slices of fixed width, and everything meets on (key, slice).
 
-1. ``lead`` over the boundaries of a key turns starts into intervals ``[start, next)``.
-   Boundaries are small (one per lap, ~1/300 of the samples; a key has a few hundred).
-2. Per key, a bucket width is derived from the data: the median length of its closed
-   intervals (outlier-proof; the width only affects speed, never the result). It is the
-   exact median, not an approximate one: a stage recomputed after an executor loss must
-   bucket exactly as the surviving stages did. Each closed interval is replicated into the
-   buckets it overlaps — about two rows per interval. The open last interval gets one
-   sentinel bucket instead, so a far-away straggler sample cannot stretch anything.
-3. Samples take their bucket from the same per-key origin and width (a join with one small
-   row per key); samples at or after the last start take the sentinel; samples before
-   the first start are dropped before any shuffle. Samples and intervals are then
-   equi-joined on ``(key..., bucket)`` with the time range as a residual condition. A
-   bucket holds about one interval's worth of samples, so a hot key (one driver with a
-   third of all samples) spreads over many join partitions instead of one; AQE's skew
-   split covers what remains (e.g. a huge tail after the last start). Each sample meets
-   the 1-3 intervals of its bucket — no pair blow-up.
+1. Per (key, slice) the boundaries that start there, in order: a handful.
+2. A table of all slices that hold samples or boundaries, from pre-aggregated keys. A window
+   per key over slices (not samples) carries the last boundary of earlier slices forward.
+3. Samples join that table on (key, slice): one row each, no range condition, no pair
+   blow-up. The boundary in progress is the last of the slice's (carried or own) that
+   started by the sample's time.
+
+A key with a third of all samples, and the samples after its last boundary, spread over as
+many join keys as they have slices. The width only affects speed, never the result.
 """
 
 from __future__ import annotations
@@ -33,67 +25,53 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TAIL_BUCKET = -1  # bucket of the open last interval and of the samples after its start
-
-
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
-
-
-def intervals(boundaries: DataFrame, keys: Sequence[str], start: str, ident: str) -> DataFrame:
-    """Boundaries → ``[start, next_start)`` per key; an interval emptied by an equal later
-    start is dropped (that later boundary takes its samples)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(start), F.col(ident))
-    iv = boundaries.select(*keys, ident, start).withColumn("_next", F.lead(start).over(w))
-    return iv.filter(F.col("_next").isNull() | (F.col("_next") > F.col(start)))
+SLICE_SECONDS = 600
 
 
-def _bucket(t_us: Column) -> Column:
-    return F.floor((t_us - F.col("_origin")) / F.col("_width"))
+def _slice(ts: Column, seconds: int) -> Column:
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / (seconds * 1_000_000)).cast("long")
 
 
 def asof_join(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str], time_col: str,
-              start: str, ident: str) -> DataFrame:
+              start: str, ident: str, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Inner as-of join: ``samples`` rows that fall in an interval, with ``ident`` (and the
-    interval ``start``) attached, plus ``_bucket`` (usable as a window sub-partition)."""
+    interval ``start``) attached, plus ``_bucket``, the slice (usable as a window
+    sub-partition)."""
     keys = list(keys)
-    iv = (intervals(boundaries.filter(F.col(start).isNotNull()), keys, start, ident)
-          .withColumn("_lo", _micros(F.col(start)))
-          .withColumn("_hi", _micros(F.col("_next")) - 1))          # NULL for the open one
-    geometry = iv.groupBy(*keys).agg(
-        F.min("_lo").alias("_origin"),
-        F.max("_lo").alias("_tail"),
-        F.greatest(F.lit(1).cast("long"), F.coalesce(
-            F.ceil(F.percentile(F.col("_hi") - F.col("_lo") + 1, F.lit(0.5))),
-            F.lit(1).cast("long"))).alias("_width"))
-    closed = (iv.filter(F.col("_next").isNotNull()).join(geometry, keys, "inner")
-                .withColumn("_iv_bucket", F.explode(F.sequence(_bucket(F.col("_lo")),
-                                                               _bucket(F.col("_hi"))))))
-    tail = iv.filter(F.col("_next").isNull()).withColumn("_iv_bucket", F.lit(TAIL_BUCKET).cast("long"))
-    ivb = closed.select(*keys, ident, start, "_next", "_iv_bucket").unionByName(
-        tail.select(*keys, ident, start, "_next", "_iv_bucket"))
-    ivb = ivb.select(*[F.col(k).alias(f"_iv_{k}") for k in keys], ident, start, "_next", "_iv_bucket")
-
-    t = _micros(F.col(time_col))
-    sb = (samples.filter(F.col(time_col).isNotNull())
-                 .join(geometry, keys, "inner")
-                 .filter(t >= F.col("_origin"))
-                 .withColumn("_bucket", F.when(t >= F.col("_tail"), F.lit(TAIL_BUCKET).cast("long"))
-                                         .otherwise(_bucket(t))))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (sb[k] == ivb[f"_iv_{k}"])
-    cond = (cond & (sb["_bucket"] == ivb["_iv_bucket"]) & (sb[time_col] >= ivb[start])
-            & (ivb["_next"].isNull() | (sb[time_col] < ivb["_next"])))
-    return (sb.join(ivb, cond, "inner")
-              .drop(*[f"_iv_{k}" for k in keys], "_iv_bucket", "_next", "_origin", "_tail", "_width"))
+    sliced = (samples.filter(F.col(time_col).isNotNull())
+                     .withColumn("_bucket", _slice(F.col(time_col), slice_seconds)))
+    row = F.struct(F.col(start).alias("at"), F.col(ident).alias("id"))
+    own = (boundaries.filter(F.col(start).isNotNull())
+                     .groupBy(*keys, _slice(F.col(start), slice_seconds).alias("_bucket"))
+                     .agg(F.array_sort(F.collect_set(row)).alias("_own")))
+    slices = (sliced.select(*keys, "_bucket").distinct()
+                    .withColumn("_own", F.lit(None).cast(own.schema["_own"].dataType))
+                    .unionByName(own)
+                    .groupBy(*keys, "_bucket").agg(F.max("_own").alias("_own")))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last(F.element_at("_own", -1), ignorenulls=True).over(earlier)
+    table = (slices.withColumn("_carried", carried)
+                   .withColumn("_known", F.concat(
+                       F.when(F.col("_carried").isNotNull(), F.array("_carried"))
+                        .otherwise(F.array().cast(own.schema["_own"].dataType)),
+                       F.coalesce("_own", F.array().cast(own.schema["_own"].dataType))))
+                   .filter(F.size("_known") > 0)
+                   .select(*keys, "_bucket", "_known"))
+    found = F.try_element_at(F.filter("_known", lambda x: x["at"] <= F.col(time_col)), F.lit(-1))
+    out = sliced.join(table, [*keys, "_bucket"]).withColumn("_found", found)
+    return (out.filter(F.col("_found").isNotNull())
+               .select(*samples.columns, "_bucket", F.col("_found.id").alias(ident),
+                       F.col("_found.at").alias(start)))
 
 
 def asof_join_direct(samples: DataFrame, boundaries: DataFrame, keys: Sequence[str],
                      time_col: str, start: str, ident: str) -> DataFrame:
     """Plain formulation (for tests): equi-join on the key with the interval as a
     residual. Same result; every sample of a key meets every interval of that key."""
-    iv = intervals(boundaries.filter(F.col(start).isNotNull()), keys, start, ident)
+    w = Window.partitionBy(*keys).orderBy(F.col(start), F.col(ident))
+    iv = (boundaries.filter(F.col(start).isNotNull()).select(*keys, ident, start)
+                    .withColumn("_next", F.lead(start).over(w)))
+    iv = iv.filter(F.col("_next").isNull() | (F.col("_next") > F.col(start)))
     ivr = iv.select(*[F.col(k).alias(f"_iv_{k}") for k in keys], ident, start, "_next")
     s = samples.filter(F.col(time_col).isNotNull())
     cond = F.lit(True)

@@ -16,7 +16,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -48,17 +49,28 @@ def append_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str],
 
 def write_absent(batch: DataFrame, target_path: str, keys: Sequence[str], order: Sequence[str],
                  spark=None) -> dict[str, int]:
-    """Append the absent rows to the Parquet table at ``target_path``; returns counts of
-    rows sent and rows inserted (the reference reports only the former)."""
+    """Append the absent rows to the Parquet table at ``target_path``. Rows with a NULL in the
+    key could not be told from their replay and are rejected. Returns the numbers of rows
+    sent, inserted and rejected, observed while the one write job runs. Only a table that
+    does not exist counts as empty; any other read error is raised."""
     spark = spark or batch.sparkSession
     try:
         target = spark.read.schema(batch.schema).parquet(target_path)
-    except Exception:  # noqa: BLE001 — first load: no table yet
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         target = spark.createDataFrame([], batch.schema)
-    before = target.count()
-    insert_absent(batch, target, keys, order).write.mode("append").parquet(target_path)
-    after = spark.read.parquet(target_path).count()
-    return {"sent": batch.count(), "inserted": after - before}
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    received, written = Observation(), Observation()
+    seen = batch.observe(received, F.count(F.lit(1)).alias("sent"), F.count_if(~has_key).alias("rejected"))
+    fields = [c for c in batch.columns if c not in keys]
+    row = F.struct(*fields)
+    first = (seen.filter(has_key).groupBy(*keys)
+                 .agg(F.min_by(row, F.struct(*order, row)).alias("_r"))
+                 .select(*keys, *[F.col("_r")[c].alias(c) for c in fields]).select(*batch.columns))
+    absent = first.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
+    absent.observe(written, F.count(F.lit(1)).alias("inserted")).write.mode("append").parquet(target_path)
+    return {**received.get, **written.get}
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -55,25 +55,21 @@ def increment(snapshot: DataFrame, current: DataFrame, key: str, check_cols: Seq
               attrs: Sequence[str], run_ts) -> DataFrame:
     """One snapshot run at ``run_ts`` over ``current`` (one row per key)."""
     ts = F.lit(run_ts).cast("timestamp_ntz") if not isinstance(run_ts, Column) else run_ts
+    cols = snapshot.columns
     closed = snapshot.filter(F.col("valid_to").isNotNull())
-    open_ = snapshot.filter(F.col("valid_to").isNull())
-    o = open_.select(F.col(key).alias("_o_key"), *[F.col(c).alias(f"_o_{c}") for c in check_cols],
-                     F.lit(True).alias("_o_present"))
-    cur = current.select(key, *attrs).withColumn("_c_present", F.lit(True))
-    j = o.join(cur, o["_o_key"] == cur[key], "full_outer")
+    open_ = snapshot.filter(F.col("valid_to").isNull()).select(
+        F.col(key).alias("_key"), F.struct(*cols).alias("_old"))
+    opened = {**{c: F.col(c) for c in (key, *attrs)}, "valid_from": ts,
+              "valid_to": F.lit(None).cast("timestamp_ntz"), "updated_at": ts, "scd_id": scd_id(key, ts)}
+    cur = current.select(key, *attrs)
+    cur = cur.select(F.col(key).alias("_cur"), F.struct(*[opened[c].alias(c) for c in cols]).alias("_new"))
+    j = open_.join(cur, open_["_key"] == cur["_cur"], "full_outer")
     changed = F.lit(False)
     for c in check_cols:
-        changed = changed | _differs(F.col(f"_o_{c}"), F.col(c))
-    j = j.select("*", (F.col("_o_present").isNotNull() & F.col("_c_present").isNotNull()
-                       & changed).alias("_changed"),
-                 (F.col("_o_present").isNull()).alias("_new"))
-    # open spells that get closed by this run
-    to_close = j.filter("_changed").select(F.col("_o_key").alias(key))
-    reopened = open_.join(to_close, key, "left_semi").withColumn("valid_to", ts)
-    kept = open_.join(to_close, key, "left_anti")
-    inserted = j.filter(F.col("_changed") | F.col("_new")).select(
-        key, *attrs, ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        ts.alias("updated_at"), scd_id(key, ts).alias("scd_id"))
-    cols = snapshot.columns
-    return (closed.select(*cols).unionByName(reopened.select(*cols))
-                  .unionByName(kept.select(*cols)).unionByName(inserted.select(*cols)))
+        changed = changed | _differs(F.col(f"_old.{c}"), F.col(f"_new.{c}"))
+    # one or two rows per key: the old spell as it is, or closed and followed by the new one
+    rows = (F.when(F.col("_old").isNull(), F.array("_new"))
+             .when(F.col("_new").isNull() | ~changed, F.array("_old"))
+             .otherwise(F.array(F.col("_old").withField("valid_to", ts), F.col("_new"))))
+    now = j.select(F.explode(rows).alias("_row")).select(*[F.col("_row")[c].alias(c) for c in cols])
+    return closed.select(*cols).unionByName(now)

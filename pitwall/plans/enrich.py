@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.functions.columns import OPEN_STINT_LAST_LAP
-
 col = F.col
 
 
 def laps_with_stints(laps: DataFrame, stints: DataFrame) -> DataFrame:
     """Interval join: each lap gets the stint whose ``[lap_start, lap_end]`` holds it
-    (an open stint runs to lap 9999). Left join — a lap outside every stint keeps NULL
+    (an open stint has no last lap). Left join — a lap outside every stint keeps NULL
     stint columns; overlapping stints give one row per stint.
 
     Equality on (session, driver) plus the range as a residual condition, so Spark plans a
@@ -23,7 +21,8 @@ def laps_with_stints(laps: DataFrame, stints: DataFrame) -> DataFrame:
         col("session_key").alias("_s_session"), col("driver_number").alias("_s_driver"),
         "stint_number", "compound", "tyre_age_at_start", "lap_start", "lap_end", "is_fresh_tyre")
     cond = ((laps.session_key == s._s_session) & (laps.driver_number == s._s_driver)
-            & laps.lap_number.between(s.lap_start, F.coalesce(s.lap_end, F.lit(OPEN_STINT_LAST_LAP))))
+            & (laps.lap_number >= s.lap_start)
+            & (s.lap_end.isNull() | (laps.lap_number <= s.lap_end)))
     return (laps.join(s, cond, "left")
                 .withColumn("lap_in_stint", col("lap_number") - col("lap_start") + 1)
                 .drop("_s_session", "_s_driver", "lap_start", "lap_end"))

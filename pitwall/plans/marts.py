@@ -61,8 +61,8 @@ def fct_race_results(race_context: DataFrame, laps: DataFrame) -> DataFrame:
     best = valid.groupBy("session_key", "driver_number").agg(
         F.min("lap_duration").alias("fastest_lap_secs"),
         F.count(F.lit(1)).alias("valid_laps_count"))
-    race_best = valid.groupBy("session_key").agg(
-        F.min("lap_duration").alias("race_fastest_lap_secs"))
+    race_best = best.groupBy("session_key").agg(          # rolled up from the drivers' minima
+        F.min("fastest_lap_secs").alias("race_fastest_lap_secs"))
     j = (race_context.join(best, ["session_key", "driver_number"], "left")
                      .join(race_best, "session_key", "left"))
     return j.select(
@@ -144,40 +144,43 @@ def driver_race_pace(laps: DataFrame) -> DataFrame:
         F.avg("avg_brake").alias("avg_brake_pct"))
 
 
+def _with_mates(pace: DataFrame) -> DataFrame:
+    """``mates``: the higher-numbered drivers of the same team in the same race. A window over
+    the team-race (two or three rows, pre-aggregated) gathers them, so the pace aggregate is
+    made once. A NULL team has no mates."""
+    team = Window.partitionBy("session_key", "team_name")
+    cards = F.collect_list(F.struct(
+        col("driver_number").alias("number"), col("driver_code").alias("code"),
+        col("fastest_lap_secs").alias("best"), col("median_lap_secs").alias("mid"))).over(team)
+    return pace.withColumn("mates", F.when(col("team_name").isNotNull(), F.filter(
+        cards, lambda m: m["number"] > col("driver_number"))))
+
+
+def _mate_columns() -> list:
+    return [col("mate.number").alias("teammate_driver_number"), col("mate.code").alias("teammate_driver_code"),
+            (col("fastest_lap_secs") - col("mate.best")).alias("gap_to_teammate_fastest_secs"),
+            (col("median_lap_secs") - col("mate.mid")).alias("gap_to_teammate_median_secs"),
+            (col("fastest_lap_secs") < col("mate.best")).alias("beat_teammate_on_pace")]
+
+
 def teammate_pairs(pace: DataFrame) -> DataFrame:
-    """Each driver against every higher-numbered driver of the same team in the same race.
-
-    Equi-join on (session, team) — a NULL team matches nobody. The pairs are the output
-    itself; a team-race holds two or three drivers, so the pair count stays ~ the row count.
-    """
-    a = pace.select("session_key", "team_name", "driver_number", "fastest_lap_secs",
-                    "median_lap_secs")
-    b = pace.select(col("session_key").alias("b_session"), col("team_name").alias("b_team"),
-                    col("driver_number").alias("teammate_driver_number"),
-                    col("driver_code").alias("teammate_driver_code"),
-                    col("fastest_lap_secs").alias("b_fastest"),
-                    col("median_lap_secs").alias("b_median"))
-    cond = ((a.session_key == b.b_session) & (a.team_name == b.b_team)
-            & (a.driver_number < b.teammate_driver_number))
-    return a.join(b, cond, "inner").select(
-        "session_key", "driver_number", "teammate_driver_number", "teammate_driver_code",
-        (col("fastest_lap_secs") - col("b_fastest")).alias("gap_to_teammate_fastest_secs"),
-        (col("median_lap_secs") - col("b_median")).alias("gap_to_teammate_median_secs"),
-        (col("fastest_lap_secs") < col("b_fastest")).alias("beat_teammate_on_pace"))
+    """Each driver against every higher-numbered driver of the same team in the same race."""
+    pairs = _with_mates(pace).withColumn("mate", F.explode("mates"))
+    return pairs.select("session_key", "driver_number", *_mate_columns())
 
 
 def fct_driver_pace(laps: DataFrame) -> DataFrame:
     pace = driver_race_pace(laps)
     session_best = F.min("fastest_lap_secs").over(Window.partitionBy("session_key"))
-    j = pace.join(teammate_pairs(pace), ["session_key", "driver_number"], "left")
-    return j.select(
+    rows = (_with_mates(pace).withColumn("session_best", session_best)
+                             .withColumn("mate", F.explode_outer("mates")))
+    return rows.select(
         *PACE_KEYS, "total_valid_laps", "fastest_lap_secs", "avg_lap_secs", "lap_time_stddev",
         "median_lap_secs", "best_sector_1_secs", "best_sector_2_secs", "best_sector_3_secs",
         "theoretical_best_lap_secs", "top_speed_kmh", "avg_throttle_pct", "avg_drs_usage_pct",
         "avg_brake_pct",
-        (col("fastest_lap_secs") - session_best).alias("gap_to_session_fastest_secs"),
-        "teammate_driver_number", "teammate_driver_code", "gap_to_teammate_fastest_secs",
-        "gap_to_teammate_median_secs", "beat_teammate_on_pace",
+        (col("fastest_lap_secs") - col("session_best")).alias("gap_to_session_fastest_secs"),
+        *_mate_columns(),
         (col("fastest_lap_secs") - col("theoretical_best_lap_secs")).alias("execution_delta_secs"))
 
 

@@ -11,6 +11,7 @@ run writes a new folder and never overwrites the version it reads.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,17 +75,21 @@ def append_dq_log(report: DataFrame, path: str, run_id: str, checked_at) -> None
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-          snapshot_version: str = "v1", run_id: str = "build", run_ts=None) -> dict[str, str]:
+          snapshot_version: str | None = None, run_id: str = "build", run_ts=None) -> dict[str, str]:
     """Build all models from the raw tables; returns model → written path. ``run_ts``
     (the run's clock time, passed in) stamps the data-quality log."""
     run_ts = run_ts or dt.datetime(2000, 1, 1)
+    snapshot_version = snapshot_version or f"build-{uuid.uuid4().hex}"
     stg = build_staging(raw)
     paths: dict[str, str] = {}
 
     def save(name: str, df: DataFrame, partition_by: str | None = "season_year") -> DataFrame:
         path = layer_path(root, name)
-        if name == "scd_drivers":
+        if name == "scd_drivers":        # a version is never rewritten
             path = f"{path}/{snapshot_version}"
+            df.write.mode("errorifexists").parquet(path)
+            paths[name] = path
+            return spark.read.parquet(path)
         write_table(df, path, partition_by, ORDER_OF.get(name, ()))
         paths[name] = path
         return spark.read.parquet(path)

@@ -28,11 +28,12 @@ def latest_driver_rows(drivers_stg: DataFrame) -> DataFrame:
 
 def driver_history(drivers_stg: DataFrame, sessions_stg: DataFrame) -> DataFrame:
     """One observation per driver and race; the snapshot run that saw it happened when the
-    race was extracted: session end + 1 hour."""
+    race was extracted: session end + 1 hour, or the load time where the session is unknown."""
     runs = sessions_stg.select(
         "session_key", F.timestamp_add("HOUR", F.lit(1), F.col("session_end_at")).alias("run_ts"))
-    return _snapshot_input(drivers_stg).join(
-        runs.withColumnRenamed("session_key", "latest_session_key"), "latest_session_key", "inner")
+    seen = _snapshot_input(drivers_stg).join(
+        runs.withColumnRenamed("session_key", "latest_session_key"), "latest_session_key", "left")
+    return seen.withColumn("run_ts", F.coalesce("run_ts", "_loaded_at"))
 
 
 def scd_drivers_replay(stg: dict[str, DataFrame], max_session_key: int | None = None) -> DataFrame:

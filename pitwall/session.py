@@ -17,9 +17,6 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # a join on (session, driver, lap) may reuse a (session, driver) hash partitioning that
-    # one side already has, instead of shuffling the large lap side again
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -44,24 +41,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def apply_sql_conf(spark: SparkSession) -> None:
-    """Session-level SQL settings that can be changed on a running session."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.coalescePartitions.enabled",
-              "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.requireAllClusterKeysForCoPartition"):
-        spark.conf.set(k, BASE_CONF[k])
+    """The one setting that results depend on (zoned text becomes a wall-clock time)."""
+    spark.conf.set("spark.sql.session.timeZone", BASE_CONF["spark.sql.session.timeZone"])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured for the job (a shared
-    file system). Only when it is unset — local tests — a scratch folder is made.
+    file system). Only in local mode, where driver and executors are one process, a scratch
+    folder is made when it is unset; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="pitwall-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if not spark.sparkContext.getCheckpointDir():

@@ -18,22 +18,19 @@ Everything is lazy: each function returns a DataFrame whose work grows with the
 
 from __future__ import annotations
 
-import hashlib
-import os
-import threading
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import idiv
 from pitwall.plans.lazy import Lazy, once
+from pitwall.session import checkpoint_dir
 
 # Fixed values of the fixture (shared with the SQL oracle).
 COMPOUND_CHOICES = (" soft", "Medium", "HARD ", "intermediate", "wet", None)
 SCHEDULE_STATUSES = ("pending", "running", "done", "skipped", "failed")
 TELEMETRY_EPOCH = "2024-01-01"  # telemetry session = week number since this day
-FIXTURE_VERSION = "3"  # bump when a formula changes: landed copies are keyed by it
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -217,7 +214,10 @@ def raw_drivers(base: DataFrame) -> DataFrame:
     # (which sorts first on a descending order with NULLs first, so it wins the dedup).
     older = F.when(b("dn") % 8 != 0, _ts(b("yr"), b("mo"), 2))
     copies = d.filter(b("dn") % 4 == 0).select(*row(F.lit("Team Legacy"), " Old Driver ", older))
-    return current.unionByName(copies)
+    # drivers of a session that the calendar does not know (yet)
+    unknown = d.filter((b("dn") == 3) & (b("mo") == 1)).select(*row(team, " Driver ", _ts(b("yr"), b("mo"), 4)))
+    unknown = unknown.withColumn("session_key", F.col("session_key") + 50)
+    return current.unionByName(copies).unionByName(unknown)
 
 
 def raw_sessions(base: DataFrame) -> DataFrame:
@@ -300,109 +300,20 @@ def derived_tables(spark: SparkSession, sf_dir: str) -> Lazy:
     return Lazy(raw)
 
 
-def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    """Folder for the landed copies: under the session's shared checkpoint folder."""
-    from pitwall.session import checkpoint_dir
-    with open(__file__, "rb") as fh:     # any change to a formula lands a fresh copy
-        code = hashlib.sha1(fh.read()).hexdigest()
-    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{FIXTURE_VERSION}|{code}".encode()).hexdigest()[:12]
-    return f"{checkpoint_dir(spark).rstrip('/')}/pitwall-landed/{tag}"
-
-
-_LANDING_LOCK = threading.Lock()
-
-
-def _landed(spark: SparkSession, path: str, build) -> DataFrame:
-    """Read the landed copy at ``path``; land it first if it is not there (one writer per
-    process; the write is an ordinary job commit, so readers never see a partial copy)."""
-    with _LANDING_LOCK:
-        return _read_or_land(spark, path, build)
-
-
-def _committed(spark: SparkSession, path: str) -> bool:
-    """True once a write job to ``path`` has committed (its ``_SUCCESS`` marker exists)."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).count()
-        return True
-    except AnalysisException:
-        return False
-
-
-def _read_or_land(spark: SparkSession, path: str, build) -> DataFrame:
-    if not _committed(spark, path):
-        out = build()
-        # cluster by key into ~2 files per core, sorted inside: scans get parallel splits
-        # and row-group min/max statistics on the keys (a session filter skips row groups)
-        keys = [c for c in ("session_key", "meeting_key", "driver_number", "lap_number")
-                if c in out.columns]
-        parts = max(2, 2 * spark.sparkContext.defaultParallelism)
-        clustered = out.repartition(parts, *keys[:2]).sortWithinPartitions(*keys)
-        _write_once(lambda: clustered.write.mode("errorifexists").parquet(path),
-                    lambda: _committed(spark, path),
-                    lambda: clustered.write.mode("overwrite").parquet(path))
-    return spark.read.parquet(path)
-
-
-def _write_once(write, committed, overwrite, wait_s: float = 300.0) -> None:
-    """Write unless another process got there first (``errorifexists``: a live concurrent
-    writer's output is not overwritten) and wait for its commit. A folder that stays
-    uncommitted past ``wait_s`` is a crashed writer's leftover and is rewritten."""
-    import time
-    try:
-        write()
-        return
-    except AnalysisException:
-        pass
-    deadline = time.monotonic() + wait_s
-    while not committed():
-        if time.monotonic() > deadline:
-            overwrite()
-            return
-        time.sleep(2.0)
-
-
-def landed_tables(spark: SparkSession, sf_dir: str) -> Lazy:
-    """The fixture tables, each derived and written once as Parquet (a landed raw
-    table, as in production) and read back: queries scan files with pushdown and
-    pruning instead of re-deriving the fixture in every plan."""
-    root = landing_root(spark, sf_dir)
+def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
+    """The eight raw tables for ``sf_dir``; each built on first access."""
     derived = derived_tables(spark, sf_dir)
-    return Lazy({name: (lambda n=name: _landed(spark, f"{root}/{n}", lambda: derived[n]))
-                 for name in derived})
-
+    return Lazy({n: (lambda n=n: derived[n]) for n in RAW_NAMES})
 
-def landed_json_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Land a feed as JSON files, one folder per session (like per-session API dumps);
-    returns the folder holding all of them."""
-    path = f"{landing_root(spark, sf_dir)}/json/{name}"
-    with _LANDING_LOCK:
-        return _land_json(spark, sf_dir, name, path)
 
-
-def _land_json(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
-    if not _committed(spark, path):
-        feed = derived_tables(spark, sf_dir)[name]
-        _write_once(lambda: feed.write.mode("errorifexists").partitionBy("session_key").json(path),
-                    lambda: _committed(spark, path),
-                    lambda: feed.write.mode("overwrite").partitionBy("session_key").json(path))
+def json_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Write a feed as JSON files, one folder per session (like per-session API dumps), to a
+    new folder under the shared checkpoint folder; returns that folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pitwall-json/{name}-{uuid.uuid4().hex}"
+    derived_tables(spark, sf_dir)[name].write.partitionBy("session_key").json(path)
     return path
 
 
-def land_all(spark: SparkSession, sf_dir: str) -> None:
-    """Land every fixture table (Parquet) and the JSON feeds up front."""
-    landed = landed_tables(spark, sf_dir)
-    for name in landed:
-        landed[name]
-    for name in ("car_data", "lap_starts"):
-        landed_json_feed(spark, sf_dir, name)
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> Lazy:
-    """The eight raw tables for ``sf_dir`` (landed copies); each built on first access."""
-    landed = landed_tables(spark, sf_dir)
-    return Lazy({n: (lambda n=n: landed[n]) for n in RAW_NAMES})
-
-
 # --------------------------------------------------------------------------- telemetry
 
 def _iso_text(ts: Column) -> Column:

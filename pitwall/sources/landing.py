@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,18 @@ CAR_DATA_FIELDS = ("date", "session_key", "meeting_key", "driver_number", "speed
                    "rpm", "brake", "drs", "n_gear")
 
 
+def _whole(name: str) -> Column:
+    """Whole number from loosely typed input: '12' and '12.0' are 12, anything else NULL."""
+    text = F.col(name).cast("string")
+    return F.coalesce(text.try_cast("long"), text.try_cast("double").try_cast("long"))
+
+
+def _finite(name: str) -> Column:
+    """Number from loosely typed input; text, NaN and infinities are NULL."""
+    x = F.col(name).cast("string").try_cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
+
+
 def typed_car_data(raw: DataFrame) -> DataFrame:
     """Telemetry samples with lenient types; missing fields become NULL."""
     df = raw
@@ -77,13 +89,13 @@ def typed_car_data(raw: DataFrame) -> DataFrame:
     extra = [c for c in df.columns if c not in CAR_DATA_FIELDS]
     return df.select(
         parse_iso_timestamp(F.col("date").cast("string"), require_zone=True).alias("date"),
-        F.col("session_key").cast("string").try_cast("long").alias("session_key"),
-        F.col("meeting_key").cast("string").try_cast("long").alias("meeting_key"),
-        F.col("driver_number").cast("string").try_cast("long").alias("driver_number"),
-        *[F.col(c).cast("string").try_cast("double").alias(c)
+        _whole("session_key").alias("session_key"),
+        _whole("meeting_key").alias("meeting_key"),
+        _whole("driver_number").alias("driver_number"),
+        *[_finite(c).alias(c)
           for c in ("speed", "throttle", "rpm", "brake")],
-        F.col("drs").cast("string").try_cast("long").alias("drs"),
-        F.col("n_gear").cast("string").try_cast("long").alias("n_gear"),
+        _whole("drs").alias("drs"),
+        _whole("n_gear").alias("n_gear"),
         *extra)
 
 
@@ -91,9 +103,9 @@ def typed_lap_starts(raw: DataFrame) -> DataFrame:
     """Lap boundaries: rows without a start time, lap number or driver (or with a zero
     lap / driver number) are not boundaries."""
     df = raw.select(
-        F.col("session_key").cast("string").try_cast("long").alias("session_key"),
-        F.col("driver_number").cast("string").try_cast("long").alias("driver_number"),
-        F.col("lap_number").cast("string").try_cast("long").alias("lap_number"),
+        _whole("session_key").alias("session_key"),
+        _whole("driver_number").alias("driver_number"),
+        _whole("lap_number").alias("lap_number"),
         parse_iso_timestamp(F.col("date_start").cast("string"), require_zone=True).alias("lap_start"))
     return df.filter(F.col("lap_start").isNotNull()
                      & F.coalesce(F.col("lap_number") != 0, F.lit(False))

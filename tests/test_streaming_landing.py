@@ -19,7 +19,7 @@ def _scratch():
 
 def test_json_landing_roundtrip_matches_parquet_path(spark, small_dir):
     m = catalog.models(spark, small_dir)
-    raw = fixtures.landed_tables(spark, small_dir)["car_data"]
+    raw = fixtures.derived_tables(spark, small_dir)["car_data"]
     out = _scratch()
     # land per-session files (one read later concatenates them all)
     raw.write.partitionBy("session_key").mode("overwrite").json(f"{out}/car_data")
@@ -74,7 +74,7 @@ def test_append_stream_is_idempotent(spark):
 
 def test_telemetry_stream_matches_batch(spark, small_dir):
     m = catalog.models(spark, small_dir)
-    raw = fixtures.landed_tables(spark, small_dir)["car_data"].drop("sample_id")
+    raw = fixtures.derived_tables(spark, small_dir)["car_data"].drop("sample_id")
     root = _scratch()
     # the same sessions arrive in two halves
     raw.filter(F.abs(F.hash("date")) % 2 == 0).write.json(f"{root}/in/part1")
