@@ -40,6 +40,18 @@ FROM raw_drivers WHERE driver_number IS NOT NULL GROUP BY session_key""",
     "worklist_next": "SELECT * FROM worklist_next",
     "worklist_ready": "SELECT * FROM worklist_ready",
     "worklist_backfill": "SELECT * FROM worklist_backfill",
+    "lineage_stamp": """SELECT * EXCLUDE (_loaded_at), TIMESTAMP '2002-06-01 00:00:00' AS _loaded_at,
+       'run-1' AS _run_id FROM raw_sessions""",
+    "nested_json": """SELECT session_key, '{"year":' || year || ',"location":"' || location || '"}' AS place,
+       '[' || meeting_key || ',' || session_key || ']' AS keys FROM raw_sessions""",
+    "run_log": """SELECT 'run-1' AS run_id,
+       '{' || string_agg('"' || table_name || '":' || row_count, ',' ORDER BY table_name) || '}' AS rows_loaded,
+       CAST(sum(row_count) AS BIGINT) AS total_rows FROM load_counts WHERE table_name <> 'TOTAL'""",
+    "dq_log": """SELECT *, 'run-1' AS run_id, TIMESTAMP '2002-06-01 00:00:00' AS checked_at,
+       CAST(200001 AS BIGINT) AS session_key,
+       CASE WHEN column_name IS NULL THEN '{"failures":' ELSE '{"column_name":"' || column_name || '","failures":' END
+         || failures || '}' AS details
+FROM dq_report WHERE table_name IN ('stg_meetings', 'stg_sessions', 'stg_drivers', 'stg_pit', 'stg_stints')""",
     "lap_presentation": "SELECT * FROM lap_presentation",
     "race_rounds": "SELECT * FROM race_rounds",
     "dq_report": "SELECT * FROM dq_report",

@@ -18,8 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators import ingest, telemetry
-from pitwall.plans import enrich, marts, reports, snapshots, worklist
+from pitwall.operators import ingest, quality, telemetry
+from pitwall.plans import enrich, marts, pipeline, reports, snapshots, worklist
 from pitwall.plans.lazy import Lazy
 from pitwall.plans.staging import build_staging
 from pitwall.sources import fixtures, landing, schemas
@@ -179,6 +179,29 @@ def q_dq_report(spark, sf_dir):
     return reports.dq_report({t: m[t] for t in DQ_TABLES})
 
 
+def q_lineage_stamp(spark, sf_dir):
+    sessions = models(spark, sf_dir)["raw_sessions"].drop("_loaded_at", "_run_id")
+    return landing.stamp_lineage(sessions, SCD_RUN_TS, "run-1")
+
+
+def q_nested_json(spark, sf_dir):
+    """A feed with a record and a list column → text columns."""
+    feed = models(spark, sf_dir)["raw_sessions"].select(
+        "session_key", F.struct("year", "location").alias("place"), F.array("meeting_key", "session_key").alias("keys"))
+    return landing.nested_to_json(feed)
+
+
+def q_run_log(spark, sf_dir):
+    return ingest.run_log_row(q_load_counts(spark, sf_dir), "run-1")
+
+
+def q_dq_log(spark, sf_dir):
+    m = models(spark, sf_dir)
+    tables = {t: m[t] for t in ("stg_meetings", "stg_sessions", "stg_drivers", "stg_pit", "stg_stints")}
+    specs = [s for s in reports.DQ_SPECS if s.table in tables]
+    return pipeline.dq_log_rows(quality.report(tables, specs), "run-1", SCD_RUN_TS, SCD_CUTOFF_SESSION)
+
+
 QUERIES: dict[str, Query] = {
     **{n: _model(n) for n in (
         "stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
@@ -201,6 +224,10 @@ QUERIES: dict[str, Query] = {
     "worklist_next": q_worklist_next,
     "worklist_ready": q_worklist_ready,
     "worklist_backfill": q_worklist_backfill,
+    "lineage_stamp": q_lineage_stamp,
+    "nested_json": q_nested_json,
+    "run_log": q_run_log,
+    "dq_log": q_dq_log,
     "lap_presentation": q_lap_presentation,
     "race_rounds": q_race_rounds,
     "dq_report": q_dq_report,

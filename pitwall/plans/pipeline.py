@@ -67,11 +67,18 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = "season_yea
         df.write.mode("overwrite").parquet(path)
 
 
-def append_dq_log(report: DataFrame, path: str, run_id: str, checked_at) -> None:
+def dq_log_rows(report: DataFrame, run_id: str, checked_at, session_key: int | None = None) -> DataFrame:
+    """One run's check results as log rows; ``details`` is JSON text with the column and the
+    number of failures. ``session_key`` is the session the run loaded, if it loaded one."""
+    return report.select(
+        "*", F.lit(run_id).alias("run_id"), F.lit(checked_at).cast("timestamp_ntz").alias("checked_at"),
+        F.lit(session_key).cast("long").alias("session_key"),
+        F.to_json(F.struct("column_name", "failures")).alias("details"))
+
+
+def append_dq_log(report: DataFrame, path: str, run_id: str, checked_at, session_key: int | None = None) -> None:
     """Append one run's check results to the data-quality log (never rewritten)."""
-    (report.withColumn("run_id", F.lit(run_id))
-           .withColumn("checked_at", F.lit(checked_at).cast("timestamp_ntz"))
-           .write.mode("append").parquet(path))
+    dq_log_rows(report, run_id, checked_at, session_key).write.mode("append").parquet(path)
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
