@@ -10,19 +10,24 @@ something, and the pivots work there:
    shingles in any common order. The order puts shingles of many documents last (found with a
    fixed-size counting sketch over all documents), then follows the hash. The documents with
    one shingle, cut wherever sizes leave a gap no link can bridge, are a neighbourhood.
-2. *Small neighbourhoods* (up to ``SMALL`` documents) give their pairs. Each pair is tested by
-   the triangle inequality in a contracted space: a document's 128 shingle counts per hash
-   class are its distances to 128 pivot sets, and their L1 distance never exceeds the
-   symmetric difference. Unrelated texts do not survive; the rest is compared exactly.
-3. *Large neighbourhoods* become the region of their pivot (smallest fingerprint), so that the
-   neighbourhoods of one group of near copies fall together. Regions of up to ``LEAF``
-   documents are joined within a task: a pivot's distances split the others into its ball
-   (linked through it) and the outside, and a document outside meets only the ball's window
-   ``|d(x, p) - d(y, p)| <= E``; the outside is joined recursively.
-4. *Larger regions* get ``PIVOTS`` pivots and become Voronoi cells: a document belongs to its
-   nearest pivot's cell and, as a boundary document, to each with ``d <= d_min + 2E``;
-   documents far from all pivots form a rest cell, with those that could link into it. Cells
-   are regions again, without the pivots, which have met everyone, so this ends.
+2. *Contracted space.* A document's shingle counts in 128 hash classes (long documents: in 2,048)
+   are its distances to as many pivot sets; their L1 distance never exceeds the symmetric difference, so the triangle
+   inequality excludes unrelated texts without reading them again. Neighbourhoods of up to
+   ``SMALL`` documents give their pairs to this test. Larger ones become the region of their
+   pivot (smallest fingerprint); regions of frequent shingles whose pivots meet are merged, so
+   that one group of near copies is one region. In a region each pivot in turn takes those it
+   may link to into its ball; what is outside meets only the ball's window
+   ``|d(x, p) - d(y, p)| <= bound`` and is joined recursively. A region yields at most two
+   candidate links per document.
+3. *Exact regions.* Documents connected by candidates form a region that is joined by the same
+   recursion on exact distances: a pivot's ball is linked through it, a document outside meets
+   the ball's window ``|d(x, p) - d(y, p)| <= E``, the outside is joined recursively. Every
+   document's shingles move once.
+4. *Large regions* (more than ``LEAF`` documents or ``LEAF_SHINGLES`` shingles) get ``PIVOTS``
+   pivots and become Voronoi cells: a document belongs to its nearest pivot's cell and, as a
+   boundary document, to each with ``d <= d_min + 2E``; documents far from all pivots form a
+   rest cell, with those that could link into it. Cells are regions again, without the pivots,
+   which have met everyone, so this ends.
 
 Equal sets (copies) are one class with a fingerprint, so a group of copies is one point.
 Links are then reduced to components by alternating large-star and small-star steps.
@@ -48,13 +53,15 @@ from pitwall.llm.common import chunks, cut, mix, own_names, read_table, shingle_
 
 SHINGLE = 4
 PERCENT = 85
-SMALL, LEAF, PIVOTS = 32, 1024, 8
-CLASSES = 128              # pivot sets of the contracted space
+SMALL, PIVOTS = 8, 8
+LEAF, LEAF_SHINGLES = 8192, 8_000_000
+CLASSES, FINE_CLASSES = 128, 2048      # pivot sets of the contracted space
+FINE_FROM = 1500           # shingles from which a document has the finer counts too
 SKETCH_BITS = 22           # counters of the sketch of shingle frequencies
 SKETCH_PARTS = 64
 FILTER_BITS = 26           # bits of the filter that spares unneeded sets
-E = 1 - PERCENT / 100
 FAR = 0.5
+PAIR, RARE, FREQUENT = 0, 1, 2
 
 
 # --- inside tasks -----------------------------------------------------------------------
@@ -78,7 +85,9 @@ def fingerprint(s: np.ndarray) -> int:
 
 
 def counts(s: np.ndarray) -> bytes:
-    return np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=CLASSES).astype(np.uint8).tobytes()
+    """Shingles per hash class, modulo 256."""
+    bits = 11 if len(s) >= FINE_FROM else 7
+    return np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8).tobytes()
 
 
 def similar(common, n_a, n_b, percent: int):
@@ -136,7 +145,7 @@ def frequent(measured: DataFrame) -> np.ndarray:
         bits = []
         for c in sums.values():
             usual = float(np.median(c))
-            bits.append(np.packbits(c > usual + 8 * usual ** 0.5 + 32).tobytes())
+            bits.append(np.packbits(c > usual + 5 * usual ** 0.5 + 16).tobytes())
         yield _batch("part bits", pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary()))
 
     parts = (measured.filter("part IS NOT NULL").select("part", "blob").repartition(SKETCH_PARTS, "part")
@@ -211,7 +220,8 @@ def _neighbours(shingle, fp, n, percent: int, small: int):
 
 
 def meetings(rows: DataFrame, percent: int, small: int) -> DataFrame:
-    """(a, b, region): pairs to test, and with ``region`` the members a of pivot b's region."""
+    """(a, b, kind): pairs to test (``PAIR``), and members a of the region of pivot b, by a
+    shingle of few (``RARE``) or of many (``FREQUENT``) documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
 
@@ -219,7 +229,8 @@ def meetings(rows: DataFrame, percent: int, small: int) -> DataFrame:
             for a, b, region in _neighbours(*part, percent, small):
                 if len(a):
                     ab = np.unique(np.stack([a, b], 1), axis=0)
-                    yield _batch("a b region", ab[:, 0].copy(), ab[:, 1].copy(), np.full(len(ab), region))
+                    yield _batch("a b kind", ab[:, 0].copy(), ab[:, 1].copy(),
+                                 np.full(len(ab), RARE if region else PAIR, np.int32))
 
         for batch in batches:
             cols = [np.concatenate([k, batch.column(i).to_numpy()]) for i, k in enumerate(keep)]
@@ -232,7 +243,7 @@ def meetings(rows: DataFrame, percent: int, small: int) -> DataFrame:
 
     # a shingle of few documents: one task holds its neighbourhood
     light = (rows.filter("NOT many").select("shingle", "fp", "n").repartition("shingle")
-                 .sortWithinPartitions("shingle", "n", "fp").mapInArrow(run, "a long, b long, region boolean"))
+                 .sortWithinPartitions("shingle", "n", "fp").mapInArrow(run, "a long, b long, kind int"))
     # of many documents: the pivot of each (shingle, size class) by aggregation and join; sizes
     # of linked documents are in the same or in adjacent classes
     width = float(np.log(100 / percent))
@@ -241,12 +252,88 @@ def meetings(rows: DataFrame, percent: int, small: int) -> DataFrame:
                 .distinct())
     pivots = wide.groupBy("shingle", "size").agg(F.min("fp").alias("b"), F.max("fp").alias("last"))
     heavy = (wide.join(pivots.filter("b < last").drop("last"), ["shingle", "size"])
-                 .select(F.col("fp").alias("a"), "b", F.lit(True).alias("region")))
+                 .select(F.col("fp").alias("a"), "b", F.lit(FREQUENT).alias("kind")))
     return light.unionByName(heavy).distinct()
 
 
 # --- distances --------------------------------------------------------------------------
 
+def _l1(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """L1 distance of counts, which are kept modulo 256: at most the symmetric difference."""
+    gap = x - y                                    # wraps around
+    return np.minimum(gap, -gap).sum(-1, dtype=np.int64)
+
+
+class Vectors:
+    """Points of the contracted space: coarse counts of all, fine counts of the long ones."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.fine_at = np.full(len(blobs), -1)
+        self.fine_at[[len(b) == FINE_CLASSES for b in blobs]] = range(sum(len(b) == FINE_CLASSES for b in blobs))
+        self.fine = np.frombuffer(b"".join(b for b in blobs if len(b) == FINE_CLASSES), np.uint8).reshape(-1, FINE_CLASSES)
+        self.coarse = np.empty((len(blobs), CLASSES), np.uint8)
+        self.coarse[self.fine_at >= 0] = self.fine.reshape(len(self.fine), CLASSES, FINE_CLASSES // CLASSES).sum(2, dtype=np.uint8)
+        self.coarse[self.fine_at < 0] = np.frombuffer(
+            b"".join(b for b in blobs if len(b) == CLASSES), np.uint8).reshape(-1, CLASSES)
+
+    def coarse_apart(self, many: np.ndarray, one) -> np.ndarray:
+        return _l1(self.coarse[many], self.coarse[one])
+
+    def refine(self, d: np.ndarray, many: np.ndarray, one: int) -> np.ndarray:
+        """The larger of the coarse and the fine distance, where there is a fine one."""
+        at = np.flatnonzero(self.fine_at[many] >= 0) if self.fine_at[one] >= 0 else np.empty(0, np.int64)
+        if len(at):
+            d = d.copy()
+            d[at] = np.maximum(d[at], _l1(self.fine[self.fine_at[many[at]]], self.fine[self.fine_at[one]]))
+        return d
+
+
+def span_region(fps: np.ndarray, n: np.ndarray, vectors: Vectors, percent: int) -> list[tuple[int, int]]:
+    """Candidate links that connect all pairs of a region which the contracted space does not
+    exclude."""
+    edges = []
+    near = 100 - percent
+
+    def able(d, many, one):
+        ok = np.flatnonzero(d * (100 + percent) <= near * (n[many] + n[one]))
+        out = np.zeros(len(many), bool)
+        out[ok] = vectors.refine(d[ok], many[ok], one) * (100 + percent) <= near * (n[many[ok]] + n[one])
+        return out
+
+    rest = np.lexsort((fps, n))
+    while len(rest) > 1:
+        pivot, rest = rest[0], rest[1:]
+        # sizes ascend: beyond this one, sizes alone exclude a link
+        reach = int(np.searchsorted(percent * n[rest], 100 * n[pivot], side="right"))
+        close, beyond = rest[:reach], rest[reach:]
+        d = vectors.coarse_apart(close, pivot)
+        ball = able(d, close, pivot)
+        edges += [(int(fps[pivot]), int(fps[i])) for i in close[ball]]
+        inside, d_in = close[ball], d[ball]
+        outer = np.concatenate([close[~ball], beyond])
+        if len(inside):
+            d_out = vectors.coarse_apart(outer, pivot)
+            most = near * (n[outer] + n[inside].max()) / (100 + percent)
+            for i in np.flatnonzero(d_out - d_in.max() <= most):
+                y = outer[i]
+                window = inside[d_in >= d_out[i] - most[i]]
+                ok = able(vectors.coarse_apart(window, y), window, y)
+                if ok.any():               # one candidate joins it to the whole ball
+                    edges.append((int(fps[y]), int(fps[window[ok.argmax()]])))
+        rest = outer
+    return edges
+
+
+def span_regions(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """members (region, fp) of regions that fit a task → candidate links (a, b)."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        found = span_region(rows["fp"].to_numpy(), rows["n"].to_numpy(np.int64), Vectors(rows["counts"].tolist()), percent)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return (members.join(classes.select("fp", "n", "counts"), "fp").groupBy("region")
+                   .applyInPandas(run, "a long, b long"))
+
+
 def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the contracted space does not exclude."""
     c = classes.select("fp", "n", "counts")
@@ -258,12 +345,14 @@ def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, CLASSES)
-                    .astype(np.int16) for i in (4, 5))
-            gap = np.abs(x - y)
-            apart = np.minimum(gap, 256 - gap).sum(1)          # counts are kept modulo 256
+            k = batch.num_rows
+            v = Vectors(batch.column(4).to_pylist() + batch.column(5).to_pylist())
             sizes = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
-            ok = pa.array(apart * (100 + percent) <= (100 - percent) * sizes)
+            d = _l1(v.coarse[:k], v.coarse[k:])
+            at = np.flatnonzero((v.fine_at[:k] >= 0) & (v.fine_at[k:] >= 0))
+            if len(at):
+                d[at] = np.maximum(d[at], _l1(v.fine[v.fine_at[at]], v.fine[v.fine_at[k + at]]))
+            ok = pa.array(d * (100 + percent) <= (100 - percent) * sizes)
             yield _batch("a b", batch.column(0).filter(ok), batch.column(1).filter(ok))
 
     return both.mapInArrow(run, "a long, b long")
@@ -305,40 +394,32 @@ def _common(x: bytes, y: bytes) -> tuple[int, int, int]:
     return int((b[at] == a).sum()), len(a), len(b)
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, exactly."""
-    both = (pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
-                 .join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b")
-                 .select("a", "b", "x", "y"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = pa.array([similar(*_common(x.as_buffer(), y.as_buffer()), percent)
-                           for x, y in zip(batch.column(2), batch.column(3))], pa.bool_())
-            yield _batch("a b", batch.column(0).filter(ok), batch.column(1).filter(ok))
-
-    return both.mapInArrow(run, "a long, b long")
-
-
 def join_region(fps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect what is linked within one region, by recursion on pivots."""
     links = []
     eps = 1 - percent / 100
     n = np.array([len(s) for s in sets])
+    vectors = Vectors([counts(s) for s in sets])
     rest = np.argsort(fps, kind="stable")
-    while len(rest) > 1:
-        pivot, rest = rest[0], rest[1:]
 
-        def common(p, others):
-            pool = np.concatenate([sets[i] for i in others])
-            at = np.searchsorted(sets[p], pool)
-            at[at == n[p]] = 0
-            hit = (sets[p][at] == pool).astype(np.int64)
-            return np.add.reduceat(hit, np.cumsum(n[others]) - n[others])
+    def common(p, others):
+        pool = np.concatenate([sets[i] for i in others])
+        at = np.searchsorted(sets[p], pool)
+        at[at == n[p]] = 0
+        hit = (sets[p][at] == pool).astype(np.int64)
+        return np.add.reduceat(hit, np.cumsum(n[others]) - n[others])
 
-        c = common(pivot, rest)
-        ball = similar(c, n[pivot], n[rest], percent)
-        d = 1 - c / (n[pivot] + n[rest] - c)
+    while len(rest) > 1:
+        pivot, rest = rest[0], rest[1:]
+        d = np.ones(len(rest))
+        ball = np.zeros(len(rest), bool)
+        # only those that may be within 2E need an exact distance
+        able = np.flatnonzero(vectors.refine(vectors.coarse_apart(rest, pivot), rest, pivot) * (2 - 2 * eps)
+                              <= (n[rest] + n[pivot]) * 2 * eps + 1e-6)
+        if len(able):
+            c = common(pivot, rest[able])
+            ball[able] = similar(c, n[pivot], n[rest[able]], percent)
+            d[able] = 1 - c / (n[pivot] + n[rest[able]] - c)
         links += [(int(fps[pivot]), int(fps[i])) for i in rest[ball]]
         inside, d_in = rest[ball], d[ball]
         for i in np.flatnonzero(~ball & (d <= 2 * eps + 1e-9)):
@@ -406,10 +487,13 @@ def divide(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def region_links(spark: SparkSession, members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataFrame:
     links = []
     while True:
-        sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-        marked = cut(spark, members.join(sizes, "region").filter("size > 1"), "jaccard-regions")
-        links.append(join_leaves(marked.filter(F.col("size") <= leaf).select("region", "fp"), sets, percent))
-        large = marked.filter(F.col("size") > leaf).select("region", "fp")
+        sized = members.join(sets.select("fp", (F.length("shingles") / 8).cast("long").alias("n")), "fp")
+        sizes = sized.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+        fits = (F.col("size") <= leaf) & (F.col("shingles") <= LEAF_SHINGLES)
+        marked = cut(spark, members.join(sizes.filter("size > 1").select("region", fits.alias("fits")), "region"),
+                     "jaccard-regions")
+        links.append(join_leaves(marked.filter("fits").select("region", "fp"), sets, percent))
+        large = marked.filter("NOT fits").select("region", "fp")
         if large.isEmpty():
             break
         step = cut(spark, divide(large, sets, percent), "jaccard-cells")
@@ -421,6 +505,29 @@ def region_links(spark: SparkSession, members: DataFrame, sets: DataFrame, perce
     return out
 
 
+def regions(spark: SparkSession, met: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """Members (region, fp) of regions that fit a task, and of those that do not. Regions of
+    frequent shingles are merged where the pivot of one belongs to another, unless that makes
+    a region too large for a task."""
+    frequent_ = met.filter(F.col("kind") == FREQUENT).select("a", "b")
+    pivots = frequent_.select(F.col("b").alias("a")).distinct()
+    merged = components(spark, frequent_.join(pivots, "a", "left_semi")).select(F.col("node").alias("b"), "root")
+    moved = frequent_.join(merged, "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
+    moved = cut(spark, moved, "jaccard-merged")
+    sizes = moved.select("root", "a").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    moved = moved.join(sizes, "root").select(
+        F.when(F.col("size") < leaf, F.col("root")).otherwise(F.col("b")).alias("region"), F.col("a").alias("fp"))
+    rare = met.filter(F.col("kind") == RARE).select(F.col("b").alias("region"), F.col("a").alias("fp"))
+    # a region of either kind holds its pivot; the kinds are kept apart
+    every = (moved.withColumn("kind", F.lit(FREQUENT)).unionByName(rare.withColumn("kind", F.lit(RARE))))
+    every = every.unionByName(every.select("region", F.col("region").alias("fp"), "kind")).distinct()
+    every = every.select(F.xxhash64("region", "kind").alias("region"), "fp")
+    counted = cut(spark, every.join(every.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "region"),
+                  "jaccard-members")
+    return (counted.filter(F.col("size") <= leaf).select("region", "fp"),
+            counted.filter(F.col("size") > leaf).select("region", "fp"))
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, root) of every node with a link: alternating large-star and small-star steps
     until nothing changes. ``root`` is the component's smallest node."""
@@ -454,13 +561,15 @@ def join_documents(spark: SparkSession, docs: DataFrame, n: int = SHINGLE, perce
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("blob").alias("counts")), "jaccard-classes")
     firsts = cut(spark, first_shingles(docs, frequent(measured), n, percent), "jaccard-first")
     met = cut(spark, meetings(firsts, percent, small), "jaccard-meetings")
-    pairs = cut(spark, may_link(met.filter("NOT region").select("a", "b"), classes, percent), "jaccard-pairs")
-    members = met.filter("region").select(F.col("b").alias("region"), F.col("a").alias("fp"))
-    members = members.unionByName(members.select("region", F.col("region").alias("fp"))).distinct()
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(members.select("fp")).distinct())
-    wanted = cut(spark, wanted, "jaccard-wanted")
+    pairs = may_link(met.filter(F.col("kind") == PAIR).select("a", "b"), classes, percent)
+    fitting, large = regions(spark, met, leaf)
+    candidates = components(spark, pairs.unionByName(span_regions(fitting, classes, percent)))
+    candidates = cut(spark, candidates.select(F.col("root").alias("region"), F.col("node").alias("fp")),
+                     "jaccard-candidates")
+    wanted = cut(spark, candidates.select("fp").unionByName(large.select("fp")).distinct(), "jaccard-wanted")
     sets = cut(spark, needed_sets(docs, classes, wanted, n), "jaccard-sets")
-    links = linked_pairs(pairs, sets, percent).unionByName(region_links(spark, members, sets, percent, leaf))
+    links = (region_links(spark, candidates, sets, percent, leaf)
+             .unionByName(region_links(spark, large, sets, percent, leaf)))
     found = components(spark, links)
     roots = (classes.select("fp", "rep").join(found.withColumnRenamed("node", "fp"), "fp", "left")
                     .withColumn("root", F.coalesce("root", "fp")))
