@@ -44,6 +44,8 @@ FROM raw_drivers WHERE driver_number IS NOT NULL GROUP BY session_key""",
        'run-1' AS _run_id FROM raw_sessions""",
     "nested_json": """SELECT session_key, '{"year":' || year || ',"location":"' || location || '"}' AS place,
        '[' || meeting_key || ',' || session_key || ']' AS keys FROM raw_sessions""",
+    "gap_text": """SELECT session_key, driver_number,
+       CAST(TRY_CAST(gap_to_leader AS DOUBLE) AS VARCHAR) AS gap_to_leader FROM raw_session_results""",
     "run_log": """SELECT 'run-1' AS run_id,
        '{' || string_agg('"' || table_name || '":' || row_count, ',' ORDER BY table_name) || '}' AS rows_loaded,
        CAST(sum(row_count) AS BIGINT) AS total_rows FROM load_counts WHERE table_name <> 'TOTAL'""",

@@ -191,6 +191,14 @@ def q_nested_json(spark, sf_dir):
     return landing.nested_to_json(feed)
 
 
+def q_gap_text(spark, sf_dir):
+    """Result feed whose gaps arrive as numbers where they are numbers → text gaps."""
+    results = models(spark, sf_dir)["raw_session_results"]
+    feed = results.select("session_key", "driver_number",
+                          F.col("gap_to_leader").try_cast("double").alias("gap_to_leader"))
+    return landing.stringify(feed, "gap_to_leader")
+
+
 def q_run_log(spark, sf_dir):
     return ingest.run_log_row(q_load_counts(spark, sf_dir), "run-1")
 
@@ -226,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "worklist_backfill": q_worklist_backfill,
     "lineage_stamp": q_lineage_stamp,
     "nested_json": q_nested_json,
+    "gap_text": q_gap_text,
     "run_log": q_run_log,
     "dq_log": q_dq_log,
     "lap_presentation": q_lap_presentation,

@@ -64,6 +64,16 @@ def nested_to_json(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def stringify(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns as text: text stays as it is, records and lists become JSON, other
+    values their plain text (a gap of 12.345 s sent as a number, for a text column)."""
+    def text(name):
+        kind = df.schema[name].dataType
+        nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+        return F.to_json(F.col(name)) if nested else F.col(name).cast("string")
+    return df.withColumns({c: text(c) for c in columns})
+
+
 CAR_DATA_FIELDS = ("date", "session_key", "meeting_key", "driver_number", "speed", "throttle",
                    "rpm", "brake", "drs", "n_gear")
 

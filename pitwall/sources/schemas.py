@@ -79,11 +79,7 @@ RAW = {
 }
 
 # Columns the lap feed may carry into raw.laps; anything else the API sends is dropped.
-LAPS_ALLOWED = (
-    "meeting_key", "session_key", "driver_number", "lap_number", "date_start",
-    "duration_sector_1", "duration_sector_2", "duration_sector_3", "i1_speed", "i2_speed",
-    "is_pit_out_lap", "lap_duration", "st_speed",
-)
+LAPS_ALLOWED = tuple(f.name for f in LAPS if not f.name.startswith("_"))
 
 # Telemetry samples as landed: every field text or loosely typed; cast leniently.
 CAR_DATA_TEXT = T.StructType([

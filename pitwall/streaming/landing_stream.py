@@ -5,7 +5,8 @@ they arrive:
 
 * ``append_stream`` — a raw feed → its raw table with insert-absent semantics in
   ``foreachBatch``. A replayed micro-batch finds its keys already stored and appends
-  nothing, so at-least-once delivery yields an exactly-once table.
+  nothing, so at-least-once delivery yields an exactly-once table. Rows with a NULL in the
+  key cannot be told from their replay and are rejected.
 * ``telemetry_stream`` — telemetry samples → per-lap summaries. Each micro-batch
   recomputes the summaries of the sessions it touched from *all* landed samples of those
   sessions and replaces those session partitions (dynamic partition overwrite), so a
@@ -20,31 +21,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pitwall.operators.ingest import insert_absent
+from pitwall.operators.ingest import write_absent
 from pitwall.operators.telemetry import car_data_lap_agg
 from pitwall.sources import landing
 from pitwall.sources.schemas import CAR_DATA_TEXT
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
 def append_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
                   keys: Sequence[str], order: Sequence[str], checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        target = _read_or_empty(spark, target_path, batch.schema)
-        insert_absent(batch, target, keys, order).write.mode("append").parquet(target_path)
+        write_absent(batch, target_path, keys, order, spark)
 
     stream = spark.readStream.schema(schema).json(source_dir)
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)

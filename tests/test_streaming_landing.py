@@ -113,7 +113,7 @@ def test_load_telemetry_summary_is_idempotent(spark, small_dir):
     again = pipeline.load_telemetry_summary(m["car_data"], m["lap_starts"], path,
                                             dt.datetime(2024, 2, 2), "run-2")
     n = m["telemetry_lap_agg"].count()
-    assert first == {"sent": n, "inserted": n} and again == {"sent": n, "inserted": 0}
+    assert first == {"sent": n, "inserted": n, "rejected": 0} and again == {"sent": n, "inserted": 0, "rejected": 0}
     stored = spark.read.parquet(path)
     assert stored.count() == n and stored.filter("_run_id = 'run-1'").count() == n
 
@@ -134,3 +134,21 @@ def test_landed_text_feed_conforms_to_typed_laps(spark):
     assert got[3].date_start == dt.datetime(2023, 9, 16, 13, 5, 6)
     assert got[2].lap_duration == 91.5 and got[2].is_pit_out_lap is False
     assert got[3].lap_duration is None and "segments_sector_1" not in laps.columns
+
+
+def test_gaps_become_text(spark, tmp_path):
+    feed = spark.createDataFrame([(1, 12.345, "+1 LAP", [1, 2]), (2, None, None, None)],
+                                 "k int, gap double, txt string, list array<int>")
+    rows = landing.stringify(feed, "gap", "txt", "list").collect()
+    assert [tuple(r) for r in rows] == [(1, "12.345", "+1 LAP", "[1,2]"), (2, None, None, None)]
+    # numbers in landed JSON read through an all-text schema keep their text
+    (tmp_path / "r.json").write_text('{"gap_to_leader": 0}\n{"gap_to_leader": 12.5}\n{"gap_to_leader": "+1 LAP"}\n')
+    back = landing.read_landed_json(spark, str(tmp_path / "r.json"), "gap_to_leader string")
+    assert sorted(r.gap_to_leader for r in back.collect()) == ["+1 LAP", "0", "12.5"]
+
+
+def test_lenient_numbers(spark):
+    raw = spark.createDataFrame([("12.0", "Infinity", "7"), ("x", "NaN", None), ("14", "3.5", "8.0")],
+                                "drs string, speed string, n_gear string")
+    rows = landing.typed_car_data(raw).select("drs", "speed", "n_gear").collect()
+    assert [tuple(r) for r in rows] == [(12, None, 7), (None, None, None), (14, 3.5, 8)]
