@@ -10,8 +10,8 @@ a hash of their id. The filter has ``2**SLOT_BITS`` slots whatever the corpus, s
 and broadcasting it is bounded. Prediction reads whole texts and nothing but the text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; a text whose
-n-grams are all unknown is ``und`` too; ties go to the first language in order; a null
-language or id is never learnt from when the language is null, and a null id counts as held
+n-grams are all unknown gets the most frequent language with score 0; ties go to the first
+language in order; rows with a null language are not learnt from, and a null id counts as held
 out; repeated rows get equal results; without any labelled row all are ``und``; an empty
 table gives no rows. At most 64 languages (the most frequent) are learnt.
 """
@@ -44,6 +44,7 @@ class Filter:
     langs: tuple[str, ...]
     masks: np.ndarray          # languages per slot, as bits
     false_rate: np.ndarray     # per language: chance that an absent n-gram seems present
+    usual: int = 0             # the most frequent language, for texts without a known n-gram
 
 
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,7 +123,8 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS) -> Filter:
     slots[table["slot"].to_numpy()] = table["mask"].to_numpy().astype(np.uint64)
     fill = np.array([((slots >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(langs))])
     dtype = np.uint8 if len(langs) <= 8 else np.uint64
-    return Filter(langs, slots.astype(dtype), np.minimum(fill ** HASHES, 0.999))
+    usual = max(range(len(known)), key=lambda i: (known[i][1], -i))
+    return Filter(langs, slots.astype(dtype), np.minimum(fill ** HASHES, 0.999), usual)
 
 
 def hits(f: Filter, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -161,11 +163,11 @@ def identify(spark: SparkSession, docs: DataFrame, f: Filter) -> DataFrame:
                 if not f.langs:
                     continue
                 got, total = hits(f, texts)
-                best = got.argmax(1)
+                best = np.where(got.max(1) > 0, got.argmax(1), f.usual)
                 for i in range(len(texts)):
-                    if got[i, best[i]] > 0:
+                    if low[first + i].is_valid:
                         langs[first + i] = f.langs[best[i]]
-                        scores[first + i] = min(1.0, got[i, best[i]] / total[i])
+                        scores[first + i] = min(1.0, got[i, best[i]] / max(total[i], 1))
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(langs, pa.string()), pa.array(scores)],
                                              names=[*docs_names, f"{p}lang", f"{p}score"])

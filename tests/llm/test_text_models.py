@@ -39,11 +39,13 @@ def test_languages(spark, table, odd_rows):
     for i in range(60):
         lang, parts = (("aa", ["ban", "ori", "tel"]), ("zz", ["süx", "kvö", "prz"]))[i % 2]
         rows.append((i, " ".join("".join(rng.choices(parts, k=3)) for _ in range(40)), lang, "s"))
-    docs = table(rows + [(100, "..,, 12", "aa", "s"), (101, None, None, "s"), (102, "", "zz", None)])
+    docs = table(rows + [(100, "..,, 12", "aa", "s"), (101, None, None, "s"), (102, "", "zz", None),
+                         (103, "Ж", None, None)])
     f = language_id.fit(language_id.training_rows(docs))
     got = {r.doc_id: (r["_w_lang"], r["_w_score"]) for r in language_id.identify(spark, docs, f).collect()}
     assert all(got[i][0] == lang for i, _, lang, _ in rows)
     assert [got[i] for i in (100, 101, 102)] == [("und", 0.0)] * 3
+    assert got[103] == ("aa", 0.0)                        # letters, but no known n-gram
     kept = language_id.keep_known(spark, docs)
     assert kept.columns == docs.columns and kept.count() == 60
     odd = table(odd_rows)
