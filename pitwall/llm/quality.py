@@ -66,10 +66,10 @@ def base_measures(docs: DataFrame) -> DataFrame:
         F.slice(h, F.lit(1), F.greatest(F.col("n_words").cast("int") - (WINDOW - 1), F.lit(0))),
         lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)]))))
     again = F.size(F.array_distinct("windows")) < F.size("windows")
-    d = d.withColumn("sorted", F.when(again, F.array_sort(
+    d = d.withColumn("sorted", F.when(again, F.sort_array(
         F.transform("windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
     s = F.col("sorted")
-    d = d.withColumn("found", F.array_sort(F.transform(
+    d = d.withColumn("found", F.sort_array(F.transform(
         F.filter(s, lambda x, i: (x["x"] == F.when(i > 0, F.get(s, i - 1)["x"])).eqNullSafe(True)
                  | (x["x"] == F.get(s, i + 1)["x"]).eqNullSafe(True)), lambda x: x["i"])))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
