@@ -358,25 +358,37 @@ def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _spot(key):
+    return F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
+
+
+def _bit_filter(keys: DataFrame) -> np.ndarray:
+    """Bits of the keys' spots: a table of fixed size, whatever the number of keys."""
+    words = (keys.select(_spot(F.col(keys.columns[0])).alias("bit")).groupBy(F.shiftright("bit", 5).alias("word"))
+                 .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
+                                               (F.col("bit") % 32).cast("int"))).alias("bits"))).toPandas()
+    table = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return table
+
+
+def _hits(table: np.ndarray, spots: pa.Array) -> np.ndarray:
+    spot = spots.to_numpy()
+    return ((table[spot >> 5] >> (spot & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
 def needed_sets(docs: DataFrame, classes: DataFrame, fps: DataFrame, n: int) -> DataFrame:
     """(fp, shingles) of the classes ``fps``. A bit filter of fixed size spares hashing most
     other texts; what it lets through in error is removed by the join."""
-    bit = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
-    words = (classes.join(fps, "fp", "left_semi").select(bit.alias("bit"))
-                    .groupBy(F.shiftright("bit", 5).alias("word"))
-                    .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
-                                                  (F.col("bit") % 32).cast("int"))).alias("bits"))).toPandas()
-    table = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    table = _bit_filter(classes.join(fps, "fp", "left_semi").select("rep"))
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    at = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS))
+    at = _spot(F.col("doc_id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            spot = batch.column(0).to_numpy()
-            ok = (table[spot >> 5] >> (spot & 31).astype(np.uint32)) & np.uint32(1)
-            for _, texts in chunks(batch.column(1).filter(pa.array(ok.astype(bool)))):
+            ok = _hits(table, batch.column(0))
+            for _, texts in chunks(batch.column(1).filter(pa.array(ok))):
                 sets = list(shingle_sets(texts, n))
                 yield _batch("fp shingles", pa.array([fingerprint(s) for s in sets], pa.int64()),
                              pa.array([s.tobytes() for s in sets], pa.binary()))
@@ -586,15 +598,30 @@ def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     are one document; rows without an id cannot be named and stay."""
     p = own_names(docs)
     found = join_documents(spark, docs.select("doc_id", "text"), **options)
-    keep = (found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(f"{p}id"))
-                 .agg(F.count(F.lit(1)).alias(f"{p}rows")))
-    keep = cut(spark, keep, "jaccard-kept")
+    ids = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(f"{p}id")).agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias(f"{p}kept"), F.count(F.lit(1)).alias(f"{p}rows"))
+    ids = cut(spark, ids, "jaccard-kept")
+    gone = ids.filter(~F.col(f"{p}kept")).select(f"{p}id")
+    # a filter of fixed size says which documents surely stay; only the others meet the table
+    # of ids that go, so few texts are moved
+    shared = spark.sparkContext.broadcast(_bit_filter(gone))
+    schema = docs.schema
+
+    def pick(maybe: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.num_columns - 1
+                yield batch.select(range(n)).filter(pa.array(_hits(shared.value, batch.column(n)) == maybe))
+
+        return docs.withColumn(f"{p}spot", _spot(F.col("doc_id").cast("long"))).mapInArrow(run, schema)
+
     same = F.col("doc_id").cast("long") == F.col(f"{p}id")
-    named = docs.join(keep.filter(F.col(f"{p}rows") == 1), same, "left_semi")
-    repeated = keep.filter(F.col(f"{p}rows") > 1)
+    kept = pick(False).unionByName(pick(True).join(gone, same, "left_anti"))
+    repeated = ids.filter(F.col(f"{p}kept") & (F.col(f"{p}rows") > 1)).select(f"{p}id")
     if not repeated.isEmpty():
-        named = named.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+        once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
+    return kept
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
