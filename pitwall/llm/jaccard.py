@@ -23,11 +23,13 @@ something, and the pivots work there:
    recursion on exact distances: a pivot's ball is linked through it, a document outside meets
    the ball's window ``|d(x, p) - d(y, p)| <= E``, the outside is joined recursively. Every
    document's shingles move once.
-4. *Large regions* (more than ``LEAF`` documents or ``LEAF_SHINGLES`` shingles) get ``PIVOTS``
-   pivots and become Voronoi cells: a document belongs to its nearest pivot's cell and, as a
-   boundary document, to each with ``d <= d_min + 2E``; documents far from all pivots form a
-   rest cell, with those that could link into it. Cells are regions again, without the pivots,
-   which have met everyone, so this ends.
+4. *Large regions* (more than ``LEAF`` documents or ``LEAF_SHINGLES`` shingles) meet pivots in
+   rounds, ``PIVOTS`` and more for larger ones. A document within E of pivots is linked to them and
+   at home in the ball of the nearest. A ball is connected, so its documents need not meet each
+   other: only those outside, at most 2E away and not connected with it yet, meet its window.
+   Documents at home nowhere are the region of the next round. If a round leaves more than
+   ``SHRINK`` of them, pivots do not divide the region and its blocks meet pair by pair: a
+   document then moves about ``2 size / LEAF`` times, once, so this ends.
 
 Equal sets (copies) are one class with a fingerprint, so a group of copies is one point.
 Links are then reduced to components by alternating large-star and small-star steps.
@@ -60,7 +62,8 @@ FINE_FROM = 1500           # shingles from which a document has the finer counts
 SKETCH_BITS = 22           # counters of the sketch of shingle frequencies
 SKETCH_PARTS = 64
 FILTER_BITS = 26           # bits of the filter that spares unneeded sets
-FAR = 0.5
+MOST_PIVOTS = 64
+SHRINK = 0.75
 PAIR, RARE, FREQUENT = 0, 1, 2
 
 
@@ -397,13 +400,12 @@ def needed_sets(docs: DataFrame, classes: DataFrame, fps: DataFrame, n: int) ->
     return sets.join(fps, "fp", "left_semi").dropDuplicates(["fp"])
 
 
-def _common(x: bytes, y: bytes) -> tuple[int, int, int]:
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum()), len(a), len(b)
+def _commons(one: np.ndarray, others: list[np.ndarray], n: np.ndarray) -> np.ndarray:
+    """Shingles that ``one`` has in common with each of ``others`` (of sizes ``n``)."""
+    pool = np.concatenate(others)
+    at = np.searchsorted(one, pool)
+    at[at == len(one)] = 0
+    return np.add.reduceat((one[at] == pool).astype(np.int64), np.cumsum(n) - n)
 
 
 def join_region(fps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -415,11 +417,7 @@ def join_region(fps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[t
     rest = np.argsort(fps, kind="stable")
 
     def common(p, others):
-        pool = np.concatenate([sets[i] for i in others])
-        at = np.searchsorted(sets[p], pool)
-        at[at == n[p]] = 0
-        hit = (sets[p][at] == pool).astype(np.int64)
-        return np.add.reduceat(hit, np.cumsum(n[others]) - n[others])
+        return _commons(sets[p], [sets[i] for i in others], n[others])
 
     while len(rest) > 1:
         pivot, rest = rest[0], rest[1:]
@@ -455,62 +453,168 @@ def join_leaves(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return members.join(sets, "fp").groupBy("region").applyInPandas(run, "a long, b long")
 
 
-def divide(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """One step for regions that are too large for a task: rows (a, b, region). With a null
-    ``region`` (a, b) is a link to a pivot; else a belongs to the cell ``region``."""
-    picks = members.groupBy("region", F.pmod("fp", F.lit(PIVOTS)).alias("k")).agg(F.min("fp").alias("fp"))
-    pivots = (picks.join(sets, "fp").groupBy("region")
-                   .agg(F.array_sort(F.collect_list(F.struct("fp", "shingles"))).alias("pivots")))
-    near = members.join(sets, "fp").join(pivots, "region").select("region", "fp", "shingles", "pivots")
+def _sizes(members: DataFrame, sets: DataFrame, *keys: str) -> DataFrame:
+    sized = members.join(sets.select("fp", (F.length("shingles") / 8).cast("long").alias("n")), "fp")
+    return sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+
+
+def _blocks(leaf: int):
+    """Blocks of half a leaf."""
+    return F.greatest(F.lit(1), F.least("size", F.ceil(F.greatest(
+        2 * F.col("size") / leaf, 2 * F.col("shingles") / LEAF_SHINGLES)))).cast("int")
+
+
+DIVIDED = "region long, fp long, cell int, home int, d double, b long"
+
+
+def divide(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """One round for regions that are too large for a task: every member meets its region's pivots.
+    Rows with ``b`` are links to the pivot ``b`` of the ball ``cell``; rows without are places of
+    a member: in the ball where it is at home (``cell = home``), next to a ball ``cell`` that it
+    may link into (``d`` from its pivot), or, with a null ``cell``, in the rest. Pivots have met
+    everyone and have no place."""
     eps = 1 - percent / 100
+    k = F.least(F.greatest(F.lit(PIVOTS), F.ceil(PIVOTS * F.col("size") / leaf)), F.lit(MOST_PIVOTS),
+                F.ceil(LEAF_SHINGLES / 4 * F.col("size") / F.col("shingles")))
+    plan = sizes.select("region", k.cast("int").alias("k"), (4 * _blocks(leaf)).alias("parts"))
+    planned = members.join(plan, "region")
+    picks = (planned.groupBy("region", "parts", F.pmod(F.xxhash64("fp"), "k").alias("slot")).agg(F.min("fp").alias("fp"))
+                    .select("region", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                            F.lit(True).alias("pivot")))
+    rows = planned.select("region", "fp", F.pmod(F.xxhash64("fp", F.lit(1)), "parts").cast("int").alias("part"),
+                          F.lit(False).alias("pivot")).unionByName(picks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, cell = [], [], []
-            for region, fp, x, pivots in zip(*(batch.column(i) for i in range(4))):
-                region, fp, x, pivots = region.as_py(), fp.as_py(), x.as_buffer(), pivots.as_py()
-                if any(p["fp"] == fp for p in pivots):
-                    mine = True
-                else:
-                    mine = False
-                d = []
-                for p in pivots:
-                    if p["fp"] == fp:
-                        d.append(0.0)
-                        continue
-                    c, na, nb = _common(x, p["shingles"])
-                    d.append(1 - c / (na + nb - c))
-                    if similar(c, na, nb, percent):
-                        a.append(fp), b.append(p["fp"]), cell.append(None)
-                if mine:
-                    continue               # a pivot has now met every member
-                key = lambda i: int(mix(np.array([region, i + 1], np.int64).view(np.uint64)).sum().view(np.int64))
-                least = min(d)
-                cells = [i for i, x_ in enumerate(d) if x_ <= least + 2 * eps + 1e-9] if least <= FAR else []
-                if least > FAR - eps - 1e-9:
-                    cells.append(len(d))   # the rest cell
-                for i in cells:
-                    a.append(fp), b.append(None), cell.append(key(i))
-            yield _batch("a b region", pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(cell, pa.int64()))
-
-    return near.mapInArrow(run, "a long, b long, region long")
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["pivot", "fp"])
+        fps, pivot = rows["fp"].to_numpy(), rows["pivot"].to_numpy(bool)
+        hashes = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+        n = np.array([len(x) for x in hashes])
+        vectors = Vectors([counts(x) for x in hashes])
+        who, heads = np.flatnonzero(~pivot), np.flatnonzero(pivot)
+        d, ball = np.ones((len(who), len(heads))), np.zeros((len(who), len(heads)), bool)
+        for i, p in enumerate(heads):
+            able = np.flatnonzero(vectors.refine(vectors.coarse_apart(who, p), who, p) * (2 - 2 * eps)
+                                  <= (n[who] + n[p]) * 2 * eps + 1e-6)
+            if len(able):
+                c = _commons(hashes[p], [hashes[x] for x in who[able]], n[who[able]])
+                ball[able, i] = similar(c, n[p], n[who[able]], percent)
+                d[able, i] = 1 - c / (n[p] + n[who[able]] - c)
+        home = np.where(ball.any(1), np.where(ball, d, 2.0).argmin(1), -1)
+        out = []                           # fp, cell, home, d, b; -1 where there is no cell or b
+        for k, x in enumerate(who):
+            fp, h = int(fps[x]), int(home[k])
+            out += [(fp, int(i), h, 0.0, int(heads[i])) for i in np.flatnonzero(ball[k])]
+            if (fps[heads] == fp).any():
+                continue
+            out.append((fp, h, h, float(d[k, h]) if h >= 0 else 1.0, -1))
+            # two balls meet once: the documents of the later one next to the earlier one
+            before = slice(h if h >= 0 else None)
+            out += [(fp, int(i), h, float(d[k, i]), -1)
+                    for i in np.flatnonzero(~ball[k, before] & (d[k, before] <= 2 * eps + 1e-9))]
+        fp, cell, home, d, at = zip(*out) if out else [()] * 5
+        at, cell = np.array(at, np.int64), np.array(cell, np.int32)
+        return pd.DataFrame({
+            "region": np.full(len(at), rows["region"].iloc[0]), "fp": np.array(fp, np.int64),
+            "cell": pd.arrays.IntegerArray(cell, cell < 0), "home": np.array(home, np.int32),
+            "d": np.array(d, np.float64), "b": pd.arrays.IntegerArray(fps[at], at < 0)})
+
+    return rows.join(sets, "fp").groupBy("region", "part").applyInPandas(run, DIVIDED)
+
+
+def windows(spark: SparkSession, step: DataFrame, percent: int) -> DataFrame:
+    """(region, cell, fp, inside, d): the members of balls, and documents outside, that may link
+    and are not connected through pivots yet."""
+    def union(rows: pd.DataFrame) -> pd.DataFrame:
+        root: dict = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+        for x, y in zip(rows["home"], rows["cell"]):
+            root[max(top(x), top(y))] = min(top(x), top(y))
+        return pd.DataFrame({"region": rows["region"].iloc[0], "cell": list(root), "team": [top(x) for x in root]})
+
+    eps = 1 - percent / 100
+    balls = step.filter("b IS NOT NULL").select("region", "home", "cell").distinct()
+    teams = balls.groupBy("region").applyInPandas(union, "region long, cell int, team int")
+    teams = cut(spark, teams, "jaccard-teams")
+    placed = step.filter("b IS NULL AND cell IS NOT NULL")
+    inside = placed.filter("cell = home").select("region", "cell", "fp", F.lit(True).alias("inside"), "d")
+    outside = (placed.filter("cell != home").join(teams, ["region", "cell"])
+                     .join(teams.select("region", F.col("cell").alias("home"), F.col("team").alias("own")), ["region", "home"], "left")
+                     .filter("own IS NULL OR own != team")
+                     .select("region", "cell", "fp", F.lit(False).alias("inside"), "d"))
+    both = cut(spark, inside.unionByName(outside), "jaccard-places")
+    ends = both.groupBy("region", "cell").agg(F.max(F.when(F.col("inside"), F.col("d"))).alias("reach"),
+                                              F.min(F.when(~F.col("inside"), F.col("d"))).alias("first"))
+    near = (F.col("inside") & (F.col("d") >= F.col("first") - eps - 1e-9)) | (
+        ~F.col("inside") & (F.col("d") <= F.col("reach") + eps + 1e-9))
+    return both.join(ends, ["region", "cell"]).filter(near).select(*both.columns)
+
+
+def join_windows(met: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """Rows of :func:`windows` → links (a, b) that connect documents outside with the ball. Both
+    sides go in blocks, and every block of one side meets every block of the other."""
+    eps = 1 - percent / 100
+    sizes = _sizes(met, sets, "region", "cell", "inside").select("region", "cell", "inside", _blocks(leaf).alias("g"))
+    sides = sizes.groupBy("region", "cell").agg(F.max(F.when(F.col("inside"), F.col("g"))).alias("g_in"),
+                                                F.max(F.when(~F.col("inside"), F.col("g"))).alias("g_out"))
+    own, other = (F.when(F.col("inside"), F.col(x)).otherwise(F.col(y)) for x, y in (("g_in", "g_out"), ("g_out", "g_in")))
+    dealt = met.join(sides.filter("g_in IS NOT NULL AND g_out IS NOT NULL"), ["region", "cell"]).select(
+        *met.columns, F.pmod(F.xxhash64("fp", F.lit(2)), own).cast("int").alias("mine"),
+        F.explode(F.sequence(F.lit(0), other - 1)).alias("theirs"))
+    dealt = dealt.select(*met.columns, F.when(F.col("inside"), F.col("mine")).otherwise(F.col("theirs")).alias("i"),
+                         F.when(F.col("inside"), F.col("theirs")).otherwise(F.col("mine")).alias("o"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        fps, d, inside = rows["fp"].to_numpy(), rows["d"].to_numpy(), rows["inside"].to_numpy(bool)
+        hashes = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+        n = np.array([len(x) for x in hashes])
+        vectors = Vectors([counts(x) for x in hashes])
+        ball, links = np.flatnonzero(inside), []
+        for y in np.flatnonzero(~inside):
+            window = ball[d[ball] >= d[y] - eps - 1e-9]
+            able = vectors.refine(vectors.coarse_apart(window, y), window, y)
+            window = window[able * (100 + percent) <= (100 - percent) * (n[window] + n[y])]
+            if len(window):
+                ok = similar(_commons(hashes[y], [hashes[x] for x in window], n[window]), n[y], n[window], percent)
+                if ok.any():               # one link joins it to the whole ball
+                    links.append((int(fps[y]), int(fps[window[ok.argmax()]])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return dealt.join(sets, "fp").groupBy("region", "cell", "i", "o").applyInPandas(run, "a long, b long")
+
+
+def pair_blocks(members: DataFrame, sizes: DataFrame, leaf: int) -> DataFrame:
+    """(region, fp): regions cut into blocks; every two blocks of a region are a region."""
+    g = members.join(sizes.select("region", F.greatest(F.lit(2), _blocks(leaf)).alias("g")), "region")
+    g = g.withColumn("mine", F.pmod(F.xxhash64("fp", F.lit(3)), "g").cast("int"))
+    g = g.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).filter("mine != other")
+    return g.select(F.xxhash64("region", F.least("mine", "other"), F.greatest("mine", "other")).alias("region"), "fp")
 
 
 def region_links(spark: SparkSession, members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataFrame:
-    links = []
+    links, before = [], None
     while True:
-        sized = members.join(sets.select("fp", (F.length("shingles") / 8).cast("long").alias("n")), "fp")
-        sizes = sized.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+        sizes = cut(spark, _sizes(members, sets, "region").filter("size > 1"), "jaccard-sizes")
         fits = (F.col("size") <= leaf) & (F.col("shingles") <= LEAF_SHINGLES)
-        marked = cut(spark, members.join(sizes.filter("size > 1").select("region", fits.alias("fits")), "region"),
-                     "jaccard-regions")
+        marked = cut(spark, members.join(sizes.select("region", fits.alias("fits")), "region"), "jaccard-regions")
         links.append(join_leaves(marked.filter("fits").select("region", "fp"), sets, percent))
         large = marked.filter("NOT fits").select("region", "fp")
         if large.isEmpty():
             break
-        step = cut(spark, divide(large, sets, percent), "jaccard-cells")
-        links.append(step.filter("region IS NULL").select("a", "b"))
-        members = step.filter("region IS NOT NULL").select("region", F.col("a").alias("fp")).distinct()
+        if before is not None:
+            # where the last round left most documents, pivots do not divide the region
+            stuck = (sizes.filter(~fits).join(before, "region").filter(F.col("size") > SHRINK * F.col("was"))
+                          .select("region", "size", "shingles"))
+            links.append(join_leaves(pair_blocks(large, stuck, leaf), sets, percent))
+            large = large.join(stuck.select("region"), "region", "left_anti")
+        step = cut(spark, divide(large, sizes.filter(~fits), sets, percent, leaf), "jaccard-cells")
+        links.append(step.filter("b IS NOT NULL AND fp != b").select(F.col("fp").alias("a"), "b"))
+        links.append(join_windows(cut(spark, windows(spark, step, percent), "jaccard-windows"), sets, percent, leaf))
+        before = sizes.select("region", F.col("size").alias("was"))
+        members = step.filter("b IS NULL AND cell IS NULL").select("region", "fp").distinct()
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)

@@ -71,3 +71,31 @@ def test_empty_table(spark, table, odd_rows):
     docs = table(odd_rows).limit(0)
     assert jaccard.join_documents(spark, docs).collect() == []
     assert jaccard.one_of_each(spark, docs).collect() == []
+
+
+@pytest.mark.parametrize("edits", [3, 9, 14])
+def test_large_region_shrinks(spark, monkeypatch, edits):
+    """A group of near copies above the leaf: from all within E of each other to hardly any. Few
+    rounds are needed, and documents that are all linked have no more than two places."""
+    rng = random.Random(edits)
+    vocab = [f"w{k}" for k in range(2000)]
+    base, rows = [rng.choice(vocab) for _ in range(400)], []
+    for k in range(300):
+        copy = list(base)
+        for at in rng.sample(range(400), rng.randint(edits - 2, edits)):
+            copy[at] = rng.choice(vocab)
+        rows.append((k, " ".join(copy)))
+    placed, cut = [], jaccard.cut
+
+    def counted(spark, df, name):
+        out = cut(spark, df, name)
+        if name == "jaccard-cells":
+            placed.append(out.filter("b IS NULL").count())
+            assert len(placed) < 6 and (edits > 3 or placed[-1] <= 2 * 300)
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.join_documents(spark, docs, small=2, leaf=100)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 4, 85)
+    assert placed or edits == 14
