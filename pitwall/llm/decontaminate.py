@@ -134,7 +134,7 @@ def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
         for i in np.flatnonzero(got >= MIN_SIMILARITY * items.total - 1e-9):
             if min(int(items.words[i]), SHINGLE) == size:
                 own = _held_by(items, s[spots], int(i))
-                by_size.setdefault(int(items.words[i]), []).append((int(i), spots[own]))
+                by_size.setdefault(int(items.words[i]), []).append((int(i), spots[own], items.weight[at[own]]))
     for m, wanted in by_size.items():
         size = min(m, SHINGLE)
         per_window = m - size + 1
@@ -142,7 +142,7 @@ def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
             continue
         s = shingle_hashes(words, size)
         last = len(words) - m
-        near = np.unique(np.concatenate([x for _, x in wanted]))
+        near = np.unique(np.concatenate([x for _, x, _ in wanted]))
         # windows that hold one of the spots, as runs of starts
         low = np.maximum(near - per_window + 1, 0)
         high = np.minimum(near, last)
@@ -160,7 +160,14 @@ def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
             at[at == len(items.shingles)] = 0
             weight = np.where(items.shingles[at] == part, items.weight[at], items.new_weight)
             prints = _simhash(part, weight, per_window)
-            for i, windows in _within(items, m, prints).items():
+            close = _within(items, m, prints)
+            for i, where, held in wanted:
+                # the weight that the item's shingles have in each window, repeats included
+                sums = _window_sums(where - b, held, len(part), per_window)
+                enough = np.flatnonzero(sums >= MIN_SIMILARITY * items.total[i] - 1e-9)
+                if len(enough):
+                    close[i] = np.union1d(close.get(i, enough), enough).tolist()
+            for i, windows in close.items():
                 for w in windows:
                     seen, where = np.unique(part[w:w + per_window], return_index=True)
                     wt = weight[w:w + per_window][where]
@@ -175,6 +182,14 @@ def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
     return sorted(out)
 
 
+def _window_sums(where: np.ndarray, weight: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Sums over all windows of ``size`` of ``length`` positions; ``where`` may lie outside."""
+    ok = (where >= 0) & (where < length)
+    sums = np.zeros(length + 1)
+    np.cumsum(np.bincount(where[ok], weight[ok], length), out=sums[1:])
+    return sums[size:] - sums[:-size]
+
+
 def _held_by(items: Items, shingles: np.ndarray, item: int) -> np.ndarray:
     at = np.searchsorted(items.shingles, shingles)
     at[at == len(items.shingles)] = 0

@@ -293,6 +293,39 @@ def test_index_finds_all_within_the_radius():
         assert found.get(i, []) == near
 
 
+def similar_windows(texts, item):
+    """Brute force over all windows; a document shorter than an item is one window."""
+    sets = {}
+    for k, x in item.items():
+        n = min(5, len(x))
+        sets[k] = {tuple(x[j:j + n]) for j in range(len(x) - n + 1)}
+    want = set()
+    for i, w in texts:
+        for k, x in item.items():
+            n, m = min(5, len(x)), min(len(x), len(w))
+            for a in range(len(w) - m + 1):
+                run = {tuple(w[j:j + n]) for j in range(a, a + m - n + 1)}
+                if run & sets[k] and weighted(sets, run)[k] >= 0.8 - 1e-9:
+                    want.add((i, k))
+    return want
+
+
+def test_windows_beyond_the_radius_are_found(spark):
+    rng = random.Random(12)
+    item = {k: [f"i{k}w{rng.randrange(500)}" for _ in range(38)] for k in range(20)}
+    texts = []
+    for i in range(600):                     # one to two edits each: similarities down to 0.8
+        w = list(item[i % 20])
+        w[rng.choice([2, 3, 35, -1])] = f"new{i}"
+        texts.append((i, [f"x{i}a{j}" for j in range(5)] + w + [f"y{i}a{j}" for j in range(5)]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in item.items()], "item_id long, text string")
+    found = decontaminate.find(spark, docs, bench).collect()
+    want = similar_windows(texts, item)
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 300
+    assert any(r.hamming > decontaminate.RADIUS for r in found)
+
+
 # --- licences and quality ---------------------------------------------------------------
 
 def test_licenses(spark, table, odd_rows):
