@@ -1,7 +1,8 @@
 """Benchmark decontamination with SimHash fingerprints of item-sized windows.
 
 Words are compared in lower case without ASCII punctuation. For a benchmark item of ``m`` words
-the windows are runs of ``m`` words of a document, at every offset. A window's fingerprint is
+the windows are runs of ``m`` words of a document, at every offset; a shorter document is one
+window. A window's fingerprint is
 the 64-bit SimHash of its 5-word shingles, each weighted by its rarity among the items. The
 fingerprint splits into 8 blocks of 8 bits; two fingerprints at most 15 bits apart agree in at
 least one block up to one bit, so an index that lists each item under its block values and
@@ -113,7 +114,7 @@ def _within(items: Items, size: int, prints: np.ndarray) -> dict[int, list[int]]
 
 
 def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
-    """(item index, first word, distance, similarity): the best window of each item."""
+    """(item index, first word, distance, similarity, words): the best window of each item."""
     out = []
     by_size: dict[int, list] = {}
     for size in {min(int(m), SHINGLE) for m in np.unique(items.words)}:
@@ -137,11 +138,10 @@ def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
                 by_size.setdefault(int(items.words[i]), []).append((int(i), spots[own], items.weight[at[own]]))
     for m, wanted in by_size.items():
         size = min(m, SHINGLE)
-        per_window = m - size + 1
-        if len(words) < m:
-            continue
+        run = min(m, len(words))          # a shorter document is one window
+        per_window = run - size + 1
         s = shingle_hashes(words, size)
-        last = len(words) - m
+        last = len(words) - run
         near = np.unique(np.concatenate([x for _, x, _ in wanted]))
         # windows that hold one of the spots, as runs of starts
         low = np.maximum(near - per_window + 1, 0)
@@ -177,7 +177,7 @@ def matches(items: Items, words: np.ndarray, bitmap: np.ndarray) -> list[tuple]:
                     rank = (-sim, int(b + w))
                     if sim >= MIN_SIMILARITY - 1e-12 and (i not in best or rank < best[i][0]):
                         apart = int(np.bitwise_count(prints[w] ^ items.prints[i]))
-                        best[i] = (rank, (i, int(b + w), apart, float(sim)))
+                        best[i] = (rank, (i, int(b + w), apart, float(sim), run))
         out += [x for _, x in best.values()]
     return sorted(out)
 
@@ -246,7 +246,7 @@ def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFram
                     batch.column(0).take(pa.array(rows, pa.int64())),
                     pa.array([items.ids[h[0]] for h in found], pa.int64()),
                     pa.array([h[1] for h in found], pa.int32()),
-                    pa.array([int(items.words[h[0]]) for h in found], pa.int32()),
+                    pa.array([h[4] for h in found], pa.int32()),
                     pa.array([h[2] for h in found], pa.int32()),
                     pa.array([h[3] for h in found], pa.float64())], names=names)
 

@@ -326,6 +326,24 @@ def test_windows_beyond_the_radius_are_found(spark):
     assert any(r.hamming > decontaminate.RADIUS for r in found)
 
 
+def test_documents_shorter_than_the_item(spark):
+    item = {k: [f"i{k}w{j}" for j in range(n)] for k, n in enumerate((38, 15, 6, 5, 3))}
+    texts = []
+    for k, x in item.items():
+        for gone in range(len(x) + 1):
+            texts.append((len(texts), x[:len(x) - gone]))
+            texts.append((len(texts), x[gone:]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in item.items()], "item_id long, text string")
+    found = decontaminate.find(spark, docs, bench).collect()
+    want = similar_windows(texts, item)
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    words = {i: len(w) for i, w in texts}
+    assert sum(words[i] < len(item[k]) for i, k in want) >= 14
+    assert all(r.first_word == 0 and r.n_words == words[r.doc_id] for r in found)
+    assert {r.doc_id for r in decontaminate.keep_clean(spark, docs, bench).collect()} == words.keys() - {i for i, _ in want}
+
+
 # --- licences and quality ---------------------------------------------------------------
 
 def test_licenses(spark, table, odd_rows):
