@@ -22,7 +22,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_mix_sources": mixing.OP1_SQL,
-    "op6_katz_backoff": katz.op6_katz_backoff,
     "op7_quality_divergence": quality.OP7_SQL,
     "op8_license_scan": licenses.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,

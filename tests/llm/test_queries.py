@@ -26,6 +26,10 @@ def test_names():
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
+def test_oracle_values_are_sql():
+    assert all(isinstance(sql, str) for sql in queries.ORACLE_SQL.values())
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 def test_language_on_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
