@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pitwall.llm import (decontaminate, jaccard, katz, language_id, licenses, mixing, quality, secrets,
-                         sharding, toxicity)
+from pitwall.llm import (decontaminate, fim, jaccard, katz, language_id, licenses, mixing, quality, radix,
+                         records, secrets, sharding, toxicity)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_conversation_trie": radix.op12_conversation_trie,
+    "op13_token_records": records.op13_token_records,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +28,6 @@ ORACLE_SQL = {
     "op7_quality_divergence": quality.OP7_SQL,
     "op8_license_scan": licenses.OP8_SQL,
     "op9_jaccard_join": jaccard.OP9_SQL,
+    "op11_fill_in_middle": fim.OP11_SQL,
+    "op12_conversation_trie": radix.OP12_SQL,
 }

@@ -37,6 +37,6 @@ def odd_rows():
 def duck(small_dir):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small_dir}/{t}.parquet')")
     return con

@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, duck, small_dir, name):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
