@@ -57,4 +57,7 @@ FROM dq_report WHERE table_name IN ('stg_meetings', 'stg_sessions', 'stg_drivers
     "lap_presentation": "SELECT * FROM lap_presentation",
     "race_rounds": "SELECT * FROM race_rounds",
     "dq_report": "SELECT * FROM dq_report",
+    "mart_publish": "SELECT * FROM fct_race_results",
+    "insert_absent_pruned": "SELECT * FROM insert_absent",
+    "scd_drivers_rounds": "SELECT * FROM scd_drivers_rounds",
 }

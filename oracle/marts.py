@@ -176,7 +176,7 @@ LEFT JOIN (SELECT * EXCLUDE (pit_lap), pit_lap AS join_lap, pit_lap AS lap_end F
 # form of the arithmetic, so both sides snap them to the same binary grid.
 _PIT = "total_stop_time_secs total_pit_lane_time_secs"
 ROUNDED = {
-    "int_race_context": _PIT, "fct_race_results": _PIT, "fct_lap_times": "median_lap_secs",
+    "int_race_context": _PIT, "fct_race_results": _PIT, "mart_publish": _PIT, "fct_lap_times": "median_lap_secs",
     "teammate_pairs": "gap_to_teammate_median_secs", "fct_pit_strategy": "avg_deg_rate_secs_per_lap",
     "fct_driver_pace": "avg_lap_secs lap_time_stddev median_lap_secs avg_throttle_pct avg_drs_usage_pct "
                        "avg_brake_pct gap_to_teammate_median_secs",

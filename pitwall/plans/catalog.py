@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators import ingest, quality, telemetry
+from pitwall.operators import ingest, keyed, quality, spells, telemetry, versions
 from pitwall.plans import enrich, marts, pipeline, reports, snapshots, worklist
 from pitwall.plans.lazy import Lazy
 from pitwall.plans.staging import build_staging
@@ -179,6 +179,68 @@ def q_dq_report(spark, sf_dir):
     return reports.dq_report({t: m[t] for t in DQ_TABLES})
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a query that writes tables."""
+    import uuid
+
+    from pitwall.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/pitwall-tables/{name}-{uuid.uuid4().hex}"
+
+
+class Refused(ValueError):
+    """A version that its check did not accept."""
+
+
+def q_mart_publish(spark, sf_dir):
+    """Race results published twice, first without the later seasons; a third version loses its
+    winners and is refused by its check. Readers get the second."""
+    results = models(spark, sf_dir, stored=("fct_race_results",))["fct_race_results"]
+    table = shared_folder(spark, "fct_race_results")
+
+    def has_winners(written):
+        if written.filter("is_winner").isEmpty():
+            raise Refused("no race has a winner")
+
+    steps = [("v1", results.filter(F.col("session_key") < SCD_CUTOFF_SESSION)), ("v2", results),
+             ("v3", results.withColumn("is_winner", F.lit(False)))]
+    for version, rows in steps:
+        try:
+            versions.publish(rows, table, version, "season_year", pipeline.ORDER_OF["fct_race_results"], has_winners)
+        except Refused:
+            continue
+    return versions.read(spark, table).select(*results.columns)
+
+
+def q_insert_absent_pruned(spark, sf_dir):
+    """The loads of ``insert_absent`` against a stored key index: the even sessions arrive year by
+    year, then the whole feed with its re-sent copies."""
+    laps = materialize(spark, models(spark, sf_dir)["raw_laps"], "raw_laps")
+    table = shared_folder(spark, "laps")
+    target = laps.filter(F.col("session_key") % 2 == 0)
+    year = F.floor(F.col("session_key") / 100)
+    for i, part in enumerate((target.filter(year < 1998), target.filter(year == 1998), target.filter(year > 1998))):
+        keyed.append_absent(part, table, f"load-{i}", LAP_KEYS, ["_loaded_at"], null_keys="insert")
+    resent = (laps.filter(F.col("session_key") % 3 == 0)
+                  .withColumn("lap_duration", F.col("lap_duration") + 1)
+                  .withColumn("_loaded_at", F.timestamp_add("DAY", F.lit(1), F.col("_loaded_at"))))
+    keyed.append_absent(laps.unionByName(resent), table, "load-all", LAP_KEYS, ["_loaded_at"], null_keys="insert")
+    return keyed.read(spark, table, laps.schema)
+
+
+SCD_ROUNDS = (("r1", 199801, "1998-01-01 00:00:00"), ("r2", SCD_CUTOFF_SESSION, "2000-01-05 12:00:00"),
+              ("r3", 999999, SCD_RUN_TS))
+
+
+def q_scd_drivers_rounds(spark, sf_dir):
+    """Three snapshot rounds on the stored layout, each over the sessions known by then."""
+    drivers = materialize(spark, models(spark, sf_dir)["stg_drivers"], "stg_drivers")
+    table = shared_folder(spark, "scd_drivers")
+    for name, before, run_ts in SCD_ROUNDS:
+        known = snapshots.latest_driver_rows(drivers.filter(F.col("session_key") < before))
+        spells.advance(known, table, name, "driver_number", snapshots.CHECK_COLS, snapshots.DRIVER_ATTRS, run_ts)
+    return spells.read(spark, table)
+
+
 def q_lineage_stamp(spark, sf_dir):
     sessions = models(spark, sf_dir)["raw_sessions"].drop("_loaded_at", "_run_id")
     return landing.stamp_lineage(sessions, SCD_RUN_TS, "run-1")
@@ -240,6 +302,9 @@ QUERIES: dict[str, Query] = {
     "lap_presentation": q_lap_presentation,
     "race_rounds": q_race_rounds,
     "dq_report": q_dq_report,
+    "mart_publish": q_mart_publish,
+    "insert_absent_pruned": q_insert_absent_pruned,
+    "scd_drivers_rounds": q_scd_drivers_rounds,
 }
 
 _PIT_SUMS = ("total_stop_time_secs", "total_pit_lane_time_secs")
@@ -248,6 +313,7 @@ _PACE = ("avg_lap_secs", "lap_time_stddev", "median_lap_secs", "gap_to_teammate_
 ROUND_COLS: dict[str, tuple[str, ...]] = {
     "int_race_context": _PIT_SUMS,
     "fct_race_results": _PIT_SUMS,
+    "mart_publish": _PIT_SUMS,
     "fct_lap_times": ("median_lap_secs",),
     "teammate_pairs": ("gap_to_teammate_median_secs",),
     "fct_driver_pace": _PACE,

@@ -4,8 +4,10 @@ Layer → folder routing: ``<root>/staging``, ``<root>/intermediate``, ``<root>/
 ``<root>/snapshots``. Staging models stay lazy (views); the enriched lap table is written
 once and read back, because four marts read it — this cuts the lineage in a shared folder,
 so a lost executor re-reads files instead of recomputing the joins. Marts are full
-rebuilds (overwrite), partitioned by season for pruning. The snapshot is versioned: each
-run writes a new folder and never overwrites the version it reads.
+rebuilds, partitioned by season for pruning. Every build writes a new version of each table
+beside the live one and checks them; the last step is one commit that names all new versions
+(``<root>/releases``), so readers (``built``) see one build's tables or the next one's, and a
+build that fails changes nothing for them.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators import ingest, telemetry
+from pitwall.operators import ingest, telemetry, versions
 from pitwall.plans import enrich, marts, reports, snapshots
 from pitwall.plans.staging import build_staging
 
@@ -50,23 +52,6 @@ def layer_path(root: str, model: str) -> str:
     return f"{root}/{LAYER_OF.get(model, 'staging')}/{model}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = "season_year",
-                order: tuple[str, ...] = ()) -> None:
-    """Overwrite ``path``. Partitioned tables go through a ``rebalance`` on the partition
-    column: AQE then sizes output tasks (advisory partition size), splitting a hot season
-    over several tasks instead of one, and each task writes few files. Rows are sorted
-    inside each task by ``order`` (the model's declared order)."""
-    if partition_by and partition_by in df.columns:
-        w = df.hint("rebalance", partition_by)
-        keys = [c for c in (partition_by, *order) if c in df.columns]
-        w.sortWithinPartitions(*dict.fromkeys(keys)).write.mode("overwrite") \
-         .partitionBy(partition_by).parquet(path)
-    elif order:
-        df.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-
-
 def dq_log_rows(report: DataFrame, run_id: str, checked_at, session_key: int | None = None) -> DataFrame:
     """One run's check results as log rows; ``details`` is JSON text with the column and the
     number of failures. ``session_key`` is the session the run loaded, if it loaded one."""
@@ -81,25 +66,31 @@ def append_dq_log(report: DataFrame, path: str, run_id: str, checked_at, session
     dq_log_rows(report, run_id, checked_at, session_key).write.mode("append").parquet(path)
 
 
+class ChecksFailed(ValueError):
+    """A build that was refused by its data checks; the report is in ``failures``."""
+
+    def __init__(self, failures: list):
+        super().__init__(", ".join(f"{r['table_name']}.{r['column_name']} {r['check_name']}: {r['failures']}" for r in failures))
+        self.failures = failures
+
+
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-          snapshot_version: str | None = None, run_id: str = "build", run_ts=None) -> dict[str, str]:
+          snapshot_version: str | None = None, run_id: str = "build", run_ts=None,
+          required: frozenset = frozenset()) -> dict[str, str]:
     """Build all models from the raw tables; returns model → written path. ``run_ts``
-    (the run's clock time, passed in) stamps the data-quality log."""
+    (the run's clock time, passed in) stamps the data-quality log. A failed check that is in
+    ``required`` (table, column, check) stops the build before its release."""
     run_ts = run_ts or dt.datetime(2000, 1, 1)
-    snapshot_version = snapshot_version or f"build-{uuid.uuid4().hex}"
+    version = snapshot_version or f"build-{uuid.uuid4().hex}"
     stg = build_staging(raw)
     paths: dict[str, str] = {}
 
     def save(name: str, df: DataFrame, partition_by: str | None = "season_year") -> DataFrame:
-        path = layer_path(root, name)
-        if name == "scd_drivers":        # a version is never rewritten
-            path = f"{path}/{snapshot_version}"
-            df.write.mode("errorifexists").parquet(path)
-            paths[name] = path
-            return spark.read.parquet(path)
-        write_table(df, path, partition_by, ORDER_OF.get(name, ()))
-        paths[name] = path
-        return spark.read.parquet(path)
+        table = layer_path(root, name)
+        partition_by = partition_by if partition_by in df.columns else None
+        versions.stage(df, table, version, partition_by, [c for c in ORDER_OF.get(name, ()) if c in df.columns])
+        paths[name] = versions.version_path(table, version)
+        return spark.read.parquet(paths[name])
 
     laps = save("int_laps_enriched", enrich.int_laps_enriched(stg))
     context = save("int_race_context", enrich.int_race_context(stg))
@@ -113,12 +104,23 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     }
     snap = save("scd_drivers", snapshots.scd_drivers_replay(stg), partition_by=None)
     tables["dim_drivers"] = save("dim_drivers", snapshots.dim_drivers(snap), partition_by=None)
-    dq = reports.dq_report({**stg, **tables, "raw_drivers": raw["drivers"]})
-    append_dq_log(dq, layer_path(root, "dq_report"), run_id, run_ts)
-    paths["dq_report"] = layer_path(root, "dq_report")
+    log = layer_path(root, "dq_report")
+    append_dq_log(reports.dq_report({**stg, **tables, "raw_drivers": raw["drivers"]}), log, run_id, run_ts)
+    if required:
+        run = spark.read.parquet(log).filter((F.col("run_id") == run_id) & ~F.col("passed"))
+        failed = [r for r in run.collect() if (r["table_name"], r["column_name"], r["check_name"]) in required]
+        if failed:
+            raise ChecksFailed(failed)
+    versions.release(spark, f"{root}/releases", version, dict(paths))
+    paths["dq_report"] = log
     return paths
 
 
+def built(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the last build that was released."""
+    return versions.released(spark, f"{root}/releases")
+
+
 def snapshot_run(spark: SparkSession, root: str, drivers_stg: DataFrame, run_ts,
                  previous_version: str | None, new_version: str) -> str:
     """One snapshot run: read the stored snapshot version ``previous_version`` (none on the

@@ -47,8 +47,11 @@ def test_conform_union_stamp_and_json_text(spark):
 def test_pipeline_build_writes_layers(spark, small_dir):
     root = _scratch()
     paths = pipeline.build(spark, fixtures.raw_tables(spark, small_dir), root)
-    assert paths["fct_lap_times"] == f"{root}/marts/fct_lap_times"
-    assert paths["int_laps_enriched"] == f"{root}/intermediate/int_laps_enriched"
+    assert os.path.dirname(paths["fct_lap_times"]) == f"{root}/marts/fct_lap_times/versions"
+    assert os.path.dirname(paths["int_laps_enriched"]) == f"{root}/intermediate/int_laps_enriched/versions"
+    built = pipeline.built(spark, root)
+    assert set(built) == set(paths) - {"dq_report"}
+    assert built["fct_driver_season"].inputFiles() == spark.read.parquet(paths["fct_driver_season"]).inputFiles()
     n = spark.read.parquet(paths["fct_driver_season"]).count()
     assert n == catalog.run("fct_driver_season", spark, small_dir).count()
     assert os.path.isdir(f"{root}/marts/fct_lap_times")
