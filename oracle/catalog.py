@@ -40,10 +40,12 @@ FROM raw_drivers WHERE driver_number IS NOT NULL GROUP BY session_key""",
     "worklist_next": "SELECT * FROM worklist_next",
     "worklist_ready": "SELECT * FROM worklist_ready",
     "worklist_backfill": "SELECT * FROM worklist_backfill",
-    "lineage_stamp": """SELECT * EXCLUDE (_loaded_at), TIMESTAMP '2002-06-01 00:00:00' AS _loaded_at,
-       'run-1' AS _run_id FROM raw_sessions""",
-    "nested_json": """SELECT session_key, '{"year":' || year || ',"location":"' || location || '"}' AS place,
-       '[' || meeting_key || ',' || session_key || ']' AS keys FROM raw_sessions""",
+    "lineage_stamp": """SELECT * EXCLUDE (_loaded_at, _run_id), TIMESTAMP '2002-06-01 00:00:00' AS _loaded_at,
+       'run-1' AS _run_id FROM raw_laps""",
+    "nested_json": """SELECT session_key, driver_number, lap_number, date_start,
+       '{"meeting_key":' || meeting_key || coalesce(',"is_pit_out_lap":' || is_pit_out_lap, '')
+         || coalesce(',"lap_number":' || lap_number, '') || '}' AS place,
+       '[' || meeting_key || ',' || session_key || ']' AS keys FROM raw_laps""",
     "gap_text": """SELECT session_key, driver_number,
        CAST(TRY_CAST(gap_to_leader AS DOUBLE) AS VARCHAR) AS gap_to_leader FROM raw_session_results""",
     "run_log": """SELECT 'run-1' AS run_id,
@@ -53,7 +55,7 @@ FROM raw_drivers WHERE driver_number IS NOT NULL GROUP BY session_key""",
        CAST(200001 AS BIGINT) AS session_key,
        CASE WHEN column_name IS NULL THEN '{"failures":' ELSE '{"column_name":"' || column_name || '","failures":' END
          || failures || '}' AS details
-FROM dq_report WHERE table_name IN ('stg_meetings', 'stg_sessions', 'stg_drivers', 'stg_pit', 'stg_stints')""",
+FROM dq_report""",
     "lap_presentation": "SELECT * FROM lap_presentation",
     "race_rounds": "SELECT * FROM race_rounds",
     "dq_report": "SELECT * FROM dq_report",

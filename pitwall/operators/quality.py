@@ -9,7 +9,10 @@ Checks (with the meaning of "failures", i.e. the rows a check query would return
 
 All ``not_null`` and ``accepted_values`` checks of a table and its row count share a
 single ``agg`` (one scan); each ``unique`` check is a ``groupBy(column)`` with partial
-aggregation. The report has one row per check: table, column, check, failures, passed.
+aggregation. Where a table is written anyway, ``watch`` names the counts to observe while it is
+written: ``not_null`` and ``non_empty`` then need no scan at all, and the two checks on distinct
+values read their one column of the stored table.
+The report has one row per check: table, column, check, failures, passed.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,22 +41,40 @@ def _rows(table: str, labels: list[tuple]) -> list:
     return [F.lit(table).alias("table_name"), F.explode(F.array(*items)).alias("_r")]
 
 
-def table_report(df: DataFrame, spec: TableChecks) -> list[DataFrame]:
+def watch(spec: TableChecks) -> list[Column]:
+    """Counts to observe while the table is written: null values of each watched column."""
+    return [F.count_if(F.col(c).isNull()).alias(f"nn_{c}") for c in spec.not_null]
+
+
+def _accepted(spec: TableChecks) -> list[tuple]:
+    """(column, aggregate): distinct values outside the list."""
+    return [(c, F.count_distinct(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.col(c))))
+            for c, values in spec.accepted.items()]
+
+
+def table_report(df: DataFrame, spec: TableChecks, observed: dict[str, int] | None = None) -> list[DataFrame]:
+    """``observed``: ``rows`` and the counts of :func:`watch`, taken while ``df`` was written."""
     aggs, labels = [], []
-    for c in spec.not_null:
-        aggs.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"nn_{c}"))
-        labels.append((c, "not_null", f"nn_{c}"))
-    for c, values in spec.accepted.items():
-        bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.col(c))
-        aggs.append(F.count_distinct(bad).alias(f"av_{c}"))
+    if observed is None:
+        counts = [*watch(spec), *([F.count(F.lit(1)).alias("rows")] if spec.non_empty else [])]
+    else:
+        counts = [F.lit(observed[f"nn_{c}"]).alias(f"nn_{c}") for c in spec.not_null]
+        counts += [F.lit(observed["rows"]).alias("rows")] if spec.non_empty else []
+    labels += [(c, "not_null", f"nn_{c}") for c in spec.not_null]
+    for c, outside in _accepted(spec):
+        aggs.append(outside.alias(f"av_{c}"))
         labels.append((c, "accepted_values", f"av_{c}"))
     if spec.non_empty:
-        aggs.append(F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias("ne"))
         labels.append((None, "non_empty", "ne"))
     out = []
-    if aggs:
-        out.append(df.agg(*aggs).select(*_rows(spec.table, labels))
-                     .select("table_name", "_r.column_name", "_r.check_name", "_r.failures"))
+    if labels:
+        if observed is None:
+            one = df.agg(*counts, *aggs)
+        else:                             # only columns with accepted values are read, if any
+            one = (df.agg(*aggs) if aggs else df.sparkSession.range(1)).select("*", *counts)
+        one = one.withColumn("ne", (F.col("rows") == 0).cast("int")) if spec.non_empty else one
+        out.append(one.select(*_rows(spec.table, labels))
+                      .select("table_name", "_r.column_name", "_r.check_name", "_r.failures"))
     for c in spec.unique:
         dup = (df.filter(F.col(c).isNotNull()).groupBy(c).count()
                  .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("n")))
@@ -62,7 +83,8 @@ def table_report(df: DataFrame, spec: TableChecks) -> list[DataFrame]:
     return out
 
 
-def report(tables: dict[str, DataFrame], specs: Sequence[TableChecks]) -> DataFrame:
-    parts = [p for s in specs for p in table_report(tables[s.table], s)]
+def report(tables: dict[str, DataFrame], specs: Sequence[TableChecks],
+           observed: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    parts = [p for s in specs for p in table_report(tables[s.table], s, (observed or {}).get(s.table))]
     rep = reduce(lambda a, b: a.unionByName(b), parts)
     return rep.withColumn("passed", F.col("failures") == 0)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 COMMIT = "number long, version string, rows long, facts map<string, string>"
@@ -68,11 +68,11 @@ def commit(spark: SparkSession, path: str, version: str, rows: int | None, facts
 
 
 def stage(df: DataFrame, path: str, version: str, partition_by: str | None = None, order: Sequence[str] = (),
-          check: Callable[[DataFrame], None] | None = None) -> int:
-    """Writes a version without committing it; rows written. ``check`` gets what was written and
-    raises to refuse it."""
+          check: Callable[[DataFrame], None] | None = None, watch: Sequence[Column] = ()) -> dict[str, int]:
+    """Writes a version without committing it. ``check`` gets what was written and raises to refuse
+    it. Returns ``rows`` and the counts ``watch``, observed by the write job itself."""
     target, counted = version_path(path, version), Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"), *watch)
     if partition_by:
         rows = rows.hint("rebalance", partition_by)
     keys = list(dict.fromkeys([*([partition_by] if partition_by else []), *order]))
@@ -82,7 +82,7 @@ def stage(df: DataFrame, path: str, version: str, partition_by: str | None = Non
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
     if check:
         check(df.sparkSession.read.schema(df.schema).parquet(target))
-    return counted.get["rows"]
+    return counted.get
 
 
 def publish(df: DataFrame, path: str, version: str, partition_by: str | None = None, order: Sequence[str] = (),
@@ -90,7 +90,7 @@ def publish(df: DataFrame, path: str, version: str, partition_by: str | None = N
     """Writes, checks and commits a version; the commit's number. On any error nothing is
     committed, and the table stays as it was."""
     spark = df.sparkSession
-    return commit(spark, path, version, stage(df, path, version, partition_by, order, check))
+    return commit(spark, path, version, stage(df, path, version, partition_by, order, check)["rows"])
 
 
 def release(spark: SparkSession, path: str, version: str, tables: dict[str, str]) -> int:

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators import ingest, keyed, quality, spells, telemetry, versions
+from pitwall.operators import ingest, keyed, spells, telemetry, versions
 from pitwall.plans import enrich, marts, pipeline, reports, snapshots, worklist
 from pitwall.plans.lazy import Lazy
 from pitwall.plans.staging import build_staging
@@ -32,10 +32,13 @@ SCD_RUN_TS = "2002-06-01 00:00:00"   # second round's run time
 WORKLIST_NOW = "2000-06-01 16:00:00"
 BACKFILL_YEAR = 2000
 
-def models(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = ()) -> Lazy:
+def models(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = (),
+           observed: dict[str, dict[str, int]] | None = None) -> Lazy:
     """The model graph; models named in ``stored`` are written to the shared folder once, for
-    reports that read them repeatedly."""
-    raw = fixtures.derived_tables(spark, sf_dir)
+    reports that read them repeatedly (``lap_base``: the derivation all raw tables start from).
+    ``observed`` gets the counts their write jobs took."""
+    base = materialize(spark, fixtures.lap_base(spark, sf_dir), "lap_base") if "lap_base" in stored else None
+    raw = fixtures.derived_tables(spark, sf_dir, base)
     stg = build_staging(raw)
     graph: dict[str, Lazy] = {}
 
@@ -84,7 +87,8 @@ def models(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = ()) -> La
             fixtures.calendar_feed(raw["sessions"]), fixtures.existing_schedule(raw["sessions"])),
     })
     for name in stored:
-        builders[name] = lambda build=builders[name], name=name: materialize(spark, build(), name)
+        if name in builders:
+            builders[name] = lambda build=builders[name], name=name: materialize(spark, build(), name, observed)
     graph["m"] = Lazy(builders)
     return graph["m"]
 
@@ -155,15 +159,15 @@ def q_race_rounds(spark, sf_dir):
                                 "stg_session_results": m["stg_session_results"]})
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str,
+                observed: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back (a
     lineage cut that survives executor loss; columnar, so readers prune columns)."""
-    import uuid
-
-    from pitwall.session import checkpoint_dir
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pitwall-materialized/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    folder = shared_folder(spark, name)
+    counts = versions.stage(df, folder, "once", watch=reports.watched(name) if observed is not None else ())
+    if observed is not None:
+        observed[name] = counts
+    return spark.read.schema(df.schema).parquet(versions.version_path(folder, "once"))
 
 
 DQ_TABLES = ("stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
@@ -172,11 +176,16 @@ DQ_TABLES = ("stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_sti
              "raw_drivers")
 
 
+DQ_STORED = ("lap_base", "int_laps_enriched", "stg_drivers", "fct_race_results", "fct_lap_times", "fct_pit_strategy",
+             "fct_driver_season", "fct_driver_pace", "dim_drivers")
+
+
 def q_dq_report(spark, sf_dir):
-    """Checks over every model. The marts are written first: the checks read what is stored."""
-    m = models(spark, sf_dir, stored=("int_laps_enriched", "stg_drivers", "fct_race_results", "fct_lap_times",
-                                      "fct_pit_strategy", "fct_driver_season", "fct_driver_pace", "dim_drivers"))
-    return reports.dq_report({t: m[t] for t in DQ_TABLES})
+    """Checks over every model. The marts are written first, and their write jobs take the counts."""
+    observed: dict[str, dict[str, int]] = {}
+    m = models(spark, sf_dir, stored=DQ_STORED, observed=observed)
+    tables = {t: m[t] for t in DQ_TABLES}
+    return reports.dq_report(tables, observed)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -242,14 +251,16 @@ def q_scd_drivers_rounds(spark, sf_dir):
 
 
 def q_lineage_stamp(spark, sf_dir):
-    sessions = models(spark, sf_dir)["raw_sessions"].drop("_loaded_at", "_run_id")
-    return landing.stamp_lineage(sessions, SCD_RUN_TS, "run-1")
+    """Every lap of the feed, stamped by its run."""
+    laps = models(spark, sf_dir)["raw_laps"].drop("_loaded_at", "_run_id")
+    return landing.stamp_lineage(laps, SCD_RUN_TS, "run-1")
 
 
 def q_nested_json(spark, sf_dir):
-    """A feed with a record and a list column → text columns."""
-    feed = models(spark, sf_dir)["raw_sessions"].select(
-        "session_key", F.struct("year", "location").alias("place"), F.array("meeting_key", "session_key").alias("keys"))
+    """The lap feed with a record and a list column → text columns."""
+    feed = models(spark, sf_dir)["raw_laps"].select(
+        *LAP_KEYS, "date_start", F.struct("meeting_key", "is_pit_out_lap", "lap_number").alias("place"),
+        F.array("meeting_key", "session_key").alias("keys"))
     return landing.nested_to_json(feed)
 
 
@@ -266,10 +277,7 @@ def q_run_log(spark, sf_dir):
 
 
 def q_dq_log(spark, sf_dir):
-    m = models(spark, sf_dir)
-    tables = {t: m[t] for t in ("stg_meetings", "stg_sessions", "stg_drivers", "stg_pit", "stg_stints")}
-    specs = [s for s in reports.DQ_SPECS if s.table in tables]
-    return pipeline.dq_log_rows(quality.report(tables, specs), "run-1", SCD_RUN_TS, SCD_CUTOFF_SESSION)
+    return pipeline.dq_log_rows(q_dq_report(spark, sf_dir), "run-1", SCD_RUN_TS, SCD_CUTOFF_SESSION)
 
 
 QUERIES: dict[str, Query] = {

@@ -84,11 +84,13 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     version = snapshot_version or f"build-{uuid.uuid4().hex}"
     stg = build_staging(raw)
     paths: dict[str, str] = {}
+    observed: dict[str, dict[str, int]] = {}
 
     def save(name: str, df: DataFrame, partition_by: str | None = "season_year") -> DataFrame:
         table = layer_path(root, name)
         partition_by = partition_by if partition_by in df.columns else None
-        versions.stage(df, table, version, partition_by, [c for c in ORDER_OF.get(name, ()) if c in df.columns])
+        order = [c for c in ORDER_OF.get(name, ()) if c in df.columns]
+        observed[name] = versions.stage(df, table, version, partition_by, order, watch=reports.watched(name))
         paths[name] = versions.version_path(table, version)
         return spark.read.parquet(paths[name])
 
@@ -105,7 +107,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     snap = save("scd_drivers", snapshots.scd_drivers_replay(stg), partition_by=None)
     tables["dim_drivers"] = save("dim_drivers", snapshots.dim_drivers(snap), partition_by=None)
     log = layer_path(root, "dq_report")
-    append_dq_log(reports.dq_report({**stg, **tables, "raw_drivers": raw["drivers"]}), log, run_id, run_ts)
+    append_dq_log(reports.dq_report({**stg, **tables, "raw_drivers": raw["drivers"]}, observed), log, run_id, run_ts)
     if required:
         run = spark.read.parquet(log).filter((F.col("run_id") == run_id) & ~F.col("passed"))
         failed = [r for r in run.collect() if (r["table_name"], r["column_name"], r["check_name"]) in required]

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions.columns import (COMPOUNDS, compound_colour, format_lap_time,
                                        is_valid_lap, pct_off_pace, race_points)
-from pitwall.operators.quality import TableChecks, report
+from pitwall.operators.quality import TableChecks, report, watch
 from pitwall.plans.marts import session_lap_stats
 
 # The declared tests of the warehouse (49) plus the runtime non-empty check.
@@ -38,8 +38,14 @@ DQ_SPECS = (
 )
 
 
-def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
-    return report(tables, DQ_SPECS)
+def dq_report(tables: dict[str, DataFrame], observed: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """``observed``: per table that was just written, the counts taken by its write job."""
+    return report(tables, DQ_SPECS, observed)
+
+
+def watched(table: str) -> list[Column]:
+    """The counts that the write job of a table is to observe."""
+    return next((watch(s) for s in DQ_SPECS if s.table == table), [])
 
 
 def lap_presentation(laps: DataFrame) -> DataFrame:

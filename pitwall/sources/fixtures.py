@@ -282,9 +282,10 @@ RAW_NAMES = ("meetings", "sessions", "drivers", "laps", "stints", "pit", "sessio
              "car_data_lap_agg")
 
 
-def derived_tables(spark: SparkSession, sf_dir: str) -> Lazy:
-    """Every fixture table as a lazy derivation from the star schema (nothing written)."""
-    base = once(lambda: lap_base(spark, sf_dir))
+def derived_tables(spark: SparkSession, sf_dir: str, stored_base: DataFrame | None = None) -> Lazy:
+    """Every fixture table as a lazy derivation from the star schema (nothing written), or from a
+    stored :func:`lap_base`, where one query reads most of them."""
+    base = once(lambda: lap_base(spark, sf_dir) if stored_base is None else stored_base)
     raw = {
         "meetings": lambda: raw_meetings(base()),
         "sessions": lambda: raw_sessions(base()),
