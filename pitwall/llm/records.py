@@ -24,8 +24,10 @@ executor leaves no half record. Number of files: bytes of text over ``FILE_BYTES
 back whole, one at a time per task; prefix sums over files (one row each) give ``start``.
 
 Encoding. The tokenizer drops white space, and no rule of it looks across white space, so the ids
-of a text are those of its runs of other characters in order (tested on whole texts). A worker has
-the library encode each distinct run once and remembers the ids of up to ``KNOWN_RUNS`` runs.
+of a text are those of its runs of other characters in order; nor does one look from a letter to a
+sentence mark after it, so a run's ids are those of its core and of the marks at its end (tested on
+whole texts). A worker has the library encode each distinct part once and remembers the ids of up
+to ``KNOWN_PARTS`` parts; texts are put together from them by array operations.
 
 Defined results: a null or empty text is the end id alone; a null id comes first; rows that repeat
 an id are ordered by text hash, equal rows give equal records; very long texts are encoded in runs
@@ -36,17 +38,16 @@ other columns cannot clash. A wrong checksum or a truncated file raises ``ValueE
 from __future__ import annotations
 
 import os
-import re
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,15 +58,15 @@ from pitwall.session import checkpoint_dir
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 FILE_BYTES = 16 << 20           # text per record file
-KNOWN_RUNS = 1 << 19            # runs of one text block more than these: a worker forgets all
+KNOWN_PARTS = 1 << 20           # parts a worker remembers; beyond, it forgets all
+BLOCK_BYTES = 16 << 20          # text encoded at once inside a task; one text is never cut
+MARKS = ".,;:!?"
 
 MASK = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 SEQUENCE = struct.Struct("<?qB")
 TAIL = struct.Struct("<Ic")
 NEWLINE = b"\n"
-GAP = re.compile(r"[\x20\t-\r]+")
-SEPARATOR = re.compile(r"[\x1c-\x1f]")    # white space to str.split, not to the tokenizer
 
 ENTRY = "file string, position long, offset long, length long, doc_id long, n_tokens long, earlier long"
 SEQUENCES = "doc_id long, start long, n_tokens long, ids binary"
@@ -128,27 +129,64 @@ class Encoder:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self.width = 2 if max(self._tokenizer.get_vocab_size(), end_id) <= 1 << 16 else 4
-        self._kind = "H" if self.width == 2 else "I"
-        self._end = self._bytes([end_id])
-        self._known: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        out = array(self._kind, ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        runs = [GAP.split(t) if SEPARATOR.search(t) else t.split() for t in texts]
-        if len(self._known) > KNOWN_RUNS:
-            self._known = {}
-        known = self._known
-        new = list({r for text in runs for r in text if r not in known})
-        for i in range(0, len(new), 4096):
-            found = self._tokenizer.encode_batch_fast(new[i:i + 4096], add_special_tokens=False)
-            known.update(zip(new[i:i + 4096], [self._bytes(e.ids) for e in found], strict=True))
-        ids_of = known.__getitem__
-        return [b"".join([*map(ids_of, text), self._end]) for text in runs]
+        self._kind = np.dtype(f"<u{self.width}")
+        self._end = np.asarray([end_id], self._kind).tobytes()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known: the empty part only. Part k has the ids ``pool[first[k]:first[k] + size[k]]``."""
+        self._parts = pa.array([""])
+        self._pool = np.empty(0, self._kind)
+        self._first, self._size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _learn(self, parts: pa.Array) -> None:
+        """The library encodes each of the new parts."""
+        texts, ids = parts.to_pylist(), []
+        for i in range(0, len(texts), 4096):
+            ids += [e.ids for e in self._tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._first = np.concatenate([self._first, len(self._pool) + np.cumsum(size) - size])
+        self._size = np.concatenate([self._size, size])
+        self._pool = np.concatenate([self._pool, np.fromiter(chain.from_iterable(ids), self._kind, int(size.sum()))])
+        self._parts = pa.concat_arrays([self._parts, parts])
+
+    def _numbers(self, parts: pa.Array) -> np.ndarray:
+        """The number of each part, new ones learnt."""
+        at = pc.index_in(parts, value_set=self._parts)
+        if at.null_count:
+            missing = pc.is_null(at)
+            new, known = parts.filter(missing).unique(), len(self._parts)
+            self._learn(new)
+            at = at.fill_null(-1).to_numpy().copy()
+            at[missing.to_numpy(zero_copy_only=False)] = known + pc.index_in(parts.filter(missing), value_set=new).to_numpy()
+            return at
+        return at.to_numpy()
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        if len(self._parts) > KNOWN_PARTS:
+            self._forget()
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        core, marks = split_runs(coded.dictionary)
+        both = self._numbers(pa.concat_arrays([core, marks]))
+        run = coded.indices.to_numpy()
+        parts = np.empty(2 * len(run), np.int64)
+        parts[0::2], parts[1::2] = both[:len(core)][run], both[len(core):][run]
+        n = self._size[parts]
+        ends = np.cumsum(n)
+        out = self._pool[np.arange(int(n.sum())) + np.repeat(self._first[parts] - (ends - n), n)]
+        offsets = words.offsets.to_numpy().astype(np.int64)
+        bounds = np.concatenate([[0], ends])[2 * (offsets - offsets[0])]
+        return [out[a:b].tobytes() + self._end for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def split_runs(runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(cores, sentence marks at their ends) of runs; no marks where the core does not end in a
+    letter. The tokenizer splits there anyway, and no letter composes with such a mark."""
+    core = pc.utf8_rtrim(runs, characters=MARKS)
+    split = pc.and_(pc.not_equal(core, runs), pc.match_substring_regex(core, r"\p{L}$"))
+    marks = pc.replace_substring_regex(runs.filter(split), rf"(?s)^.*[^{MARKS}]", "")
+    return pc.if_else(split, core, runs), pc.replace_with_mask(pa.array([""] * len(runs)), split, marks)
 
 
 @lru_cache(1)
@@ -168,24 +206,20 @@ def frames(path: str, end_id: int):
     @F.arrow_udf("binary")
     def framed(doc_id: pa.Array, text: pa.Array) -> pa.Array:
         encoder, out = shared_encoder(path, end_id), []
-        for start, texts in text_runs(text):
-            ids = encoder.encode(texts)
-            out += [frame(doc_id[start + i].as_py(), x, encoder.width) for i, x in enumerate(ids)]
+        for start, texts in runs_of(text):
+            out += [frame(doc_id[start + i].as_py(), ids, encoder.width) for i, ids in enumerate(encoder.encode(texts))]
         return pa.array(out, pa.binary())
     return framed
 
 
-def text_runs(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """(index of the first row, texts) for runs of rows of about ``limit`` characters."""
-    texts, first, size = [], 0, 0
-    for i, value in enumerate(column):
-        texts.append(value.as_py() or "")
-        size += len(texts[-1])
-        if size >= limit:
-            yield first, texts
-            texts, first, size = [], i + 1, 0
-    if texts:
-        yield first, texts
+def runs_of(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(index of the first row, texts) for slices of about ``limit`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    i = 0
+    while i < len(sizes):
+        j = max(i + 1, i + int(np.searchsorted(np.cumsum(sizes[i:]), limit)))
+        yield i, column.slice(i, j - i)
+        i = j
 
 
 # --- data sets --------------------------------------------------------------------------

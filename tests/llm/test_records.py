@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pitwall.llm import queries, records
@@ -40,7 +41,10 @@ ODD = ["a\x1cb \x1d\x1e", "no break em 　wide", "it's I'LL we 've", "é ́m
 
 def test_runs_give_the_ids_of_whole_texts(tokenizer):
     encoder = records.Encoder(records.tokenizer_path())
-    for text, ids in zip(ODD, encoder.encode(ODD), strict=True):
+    odd = ODD + [f"{w}{m}" for w in ("dog", "DON'T", "É", "x'", "9", "a.b", "it's", "<|endoftext|>", "e\u0301")
+                 for m in (".", ",", "!?", "...", ";:", "'.", ".'", ".\u0338")]
+    odd += [" ".join(odd), "\n".join(odd[::-1])]
+    for text, ids in zip(odd, encoder.encode(pa.array(["left out", *odd]).slice(1)), strict=True):
         assert np.frombuffer(ids, "<u2").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
