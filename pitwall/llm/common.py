@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +73,15 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first row, texts as UTF-8) for runs of rows of about ``limit`` bytes; a
-    null text is empty."""
-    rows = [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+    null text is empty. Only one run's texts are copied out of the column at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     i = 0
-    while i < len(rows):
-        j, size = i + 1, len(rows[i])
-        while j < len(rows) and size + len(rows[j]) <= limit:
-            size += len(rows[j])
+    while i < len(sizes):
+        j, size = i + 1, int(sizes[i])
+        while j < len(sizes) and size + int(sizes[j]) <= limit:
+            size += int(sizes[j])
             j += 1
-        yield i, rows[i:j]
+        yield i, [x or b"" for x in column.slice(i, j - i).cast(pa.binary()).to_pylist()]
         i = j
 
 

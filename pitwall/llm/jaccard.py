@@ -56,13 +56,16 @@ from pitwall.llm.common import chunks, cut, mix, own_names, read_table, shingle_
 SHINGLE = 4
 PERCENT = 85
 SMALL, PIVOTS = 8, 8
-LEAF, LEAF_SHINGLES = 8192, 8_000_000
+LEAF, LEAF_SHINGLES = 8192, 2_000_000
+SLAB = 500_000             # shingles compared with one set at once
 CLASSES, FINE_CLASSES = 128, 2048      # pivot sets of the contracted space
 FINE_FROM = 1500           # shingles from which a document has the finer counts too
 SKETCH_BITS = 22           # counters of the sketch of shingle frequencies
 SKETCH_PARTS = 64
 FILTER_BITS = 26           # bits of the filter that spares unneeded sets
 MOST_PIVOTS = 64
+SEEN = 1 << 17             # sets a task remembers to emit copies once
+BROADCAST_IDS = 1 << 17    # rows that go, up to which their keys are broadcast
 SHRINK = 0.75
 PAIR, RARE, FREQUENT = 0, 1, 2
 
@@ -105,35 +108,43 @@ def _batch(schema: str, *arrays) -> pa.RecordBatch:
 # --- classes and the sketch -------------------------------------------------------------
 
 def measure(docs: DataFrame, n: int) -> DataFrame:
-    """Rows (part null, doc_id, n, fp, blob = class counts) per document, and per task and part
-    of the sketch (part, blob = counters)."""
+    """Rows (part null, doc_id, mark, n, fp, blob = class counts) per document, and per task and
+    part of the sketch (part, blob = counters)."""
+    schema = "part int, doc_id long, mark long, n int, fp long, blob binary"
+    names = "part doc_id mark n fp blob"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         held, size = [], 0
+
+        def count():
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            sketch[found] += times.astype(np.uint32)
+
         for batch in batches:
             ns, fps, blobs = [], [], []
-            for _, texts in chunks(batch.column(1)):
+            for _, texts in chunks(batch.column(2)):
                 for s in shingle_sets(texts, n):
                     ns.append(len(s))
                     fps.append(fingerprint(s))
                     blobs.append(counts(s))
                     held.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
                     size += len(s)
-                if size > 2_000_000:
-                    sketch += np.bincount(np.concatenate(held), minlength=len(sketch))
+                if size > SLAB:
+                    count()
                     held, size = [], 0
-            yield _batch("part doc_id n fp blob", pa.nulls(len(ns), pa.int32()), batch.column(0).cast(pa.int64()),
+            yield _batch(names, pa.nulls(len(ns), pa.int32()), batch.column(0), batch.column(1),
                          pa.array(ns, pa.int32()), pa.array(fps, pa.int64()), pa.array(blobs, pa.binary()))
         if held:
-            sketch += np.bincount(np.concatenate(held), minlength=len(sketch))
+            count()
         if sketch.any():
             parts = np.minimum(sketch, 65535).astype(np.uint16).reshape(SKETCH_PARTS, -1)
-            k = SKETCH_PARTS
-            yield _batch("part doc_id n fp blob", pa.array(range(k), pa.int32()), pa.nulls(k, pa.int64()),
-                         pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()),
-                         pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary()))
+            for k, part in enumerate(parts):
+                yield _batch(names, pa.array([k], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                             pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
+                             pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "part int, doc_id long, n int, fp long, blob binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(run, schema)
 
 
 def frequent(measured: DataFrame) -> np.ndarray:
@@ -176,7 +187,7 @@ def first_shingles(docs: DataFrame, many: np.ndarray, n: int, percent: int) -> D
                     fp = fingerprint(s)
                     if not len(s) or fp in seen:
                         continue
-                    if len(seen) > 500_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     seen.add(fp)
                     take = len(s) - (percent * len(s) + 99) // 100 + 1
@@ -402,10 +413,17 @@ def needed_sets(docs: DataFrame, classes: DataFrame, fps: DataFrame, n: int) ->
 
 def _commons(one: np.ndarray, others: list[np.ndarray], n: np.ndarray) -> np.ndarray:
     """Shingles that ``one`` has in common with each of ``others`` (of sizes ``n``)."""
-    pool = np.concatenate(others)
-    at = np.searchsorted(one, pool)
-    at[at == len(one)] = 0
-    return np.add.reduceat((one[at] == pool).astype(np.int64), np.cumsum(n) - n)
+    out = np.empty(len(others), np.int64)
+    ends = np.cumsum(n)
+    a = 0
+    while a < len(others):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - n[a] + SLAB)))
+        pool = np.concatenate(others[a:b])
+        at = np.searchsorted(one, pool)
+        at[at == len(one)] = 0
+        out[a:b] = np.add.reduceat((one[at] == pool).astype(np.int64), ends[a:b] - n[a:b] - (ends[a] - n[a]))
+        a = b
+    return out
 
 
 def join_region(fps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -667,9 +685,10 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         before = state
 
 
-def join_documents(spark: SparkSession, docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
-                   small: int = SMALL, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, text) → doc_id, n_shingles, component_id."""
+def classes_of(spark: SparkSession, docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
+               small: int = SMALL, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) → rows (doc_id, mark = hash of the text, n, fp), one per document, and the
+    component of every non-empty set: (fp, root, component_id)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = cut(spark, measure(docs, n), "jaccard-documents")
     rows = measured.filter("part IS NULL")
@@ -690,42 +709,68 @@ def join_documents(spark: SparkSession, docs: DataFrame, n: int = SHINGLE, perce
     roots = (classes.select("fp", "rep").join(found.withColumnRenamed("node", "fp"), "fp", "left")
                     .withColumn("root", F.coalesce("root", "fp")))
     ids = roots.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = roots.select("fp", "root").join(ids, "root").select("fp", "component_id")
+    return rows.select("doc_id", "mark", "n", "fp"), roots.select("fp", "root").join(ids, "root")
+
+
+def join_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, text) → doc_id, n_shingles, component_id."""
+    rows, found = classes_of(spark, docs, **options)
     own = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"),
                                       F.col("doc_id").alias("component_id"))
-    return (rows.filter("n > 0").join(by_fp, "fp")
+    return (rows.filter("n > 0").join(found, "fp")
                 .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id").unionByName(own))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """One document of each component: the one with the smallest id. Rows that repeat an id
-    are one document; rows without an id cannot be named and stay."""
+    """One document of each component: the one with the smallest id, without an id only where no
+    other has one; of several texts under that id the one with the smallest hash; of several rows
+    with that id and text the least in the order of their columns. Documents without a word are
+    linked with nothing and stay, also where they repeat an id."""
     p = own_names(docs)
-    found = join_documents(spark, docs.select("doc_id", "text"), **options)
-    ids = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(f"{p}id")).agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias(f"{p}kept"), F.count(F.lit(1)).alias(f"{p}rows"))
-    ids = cut(spark, ids, "jaccard-kept")
-    gone = ids.filter(~F.col(f"{p}kept")).select(f"{p}id")
-    # a filter of fixed size says which documents surely stay; only the others meet the table
-    # of ids that go, so few texts are moved
-    shared = spark.sparkContext.broadcast(_bit_filter(gone))
-    schema = docs.schema
-
-    def pick(maybe: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                n = batch.num_columns - 1
-                yield batch.select(range(n)).filter(pa.array(_hits(shared.value, batch.column(n)) == maybe))
-
-        return docs.withColumn(f"{p}spot", _spot(F.col("doc_id").cast("long"))).mapInArrow(run, schema)
-
-    same = F.col("doc_id").cast("long") == F.col(f"{p}id")
-    kept = pick(False).unionByName(pick(True).join(gone, same, "left_anti"))
-    repeated = ids.filter(F.col(f"{p}kept") & (F.col(f"{p}rows") > 1)).select(f"{p}id")
+    rows, found = classes_of(spark, docs.select("doc_id", "text"), **options)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "mark")
+    rows = rows.filter("n > 0").join(found.select("fp", "root"), "fp").select("root", key.alias("key"))
+    counted = cut(spark, rows.groupBy("root", "key").agg(F.count(F.lit(1)).alias("rows")), "jaccard-keys")
+    chosen = cut(spark, counted.groupBy("root").agg(F.min("key").alias("key"), F.min_by("rows", "key").alias("rows")),
+                 "jaccard-chosen")
+    gone = cut(spark, counted.join(chosen.select("root", "key"), ["root", "key"], "left_anti").select("key"), "jaccard-gone")
+
+    mine = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                    F.xxhash64("text").alias("mark"))
+    marked = docs.withColumn(f"{p}key", mine)
+    kept = _without(spark, marked, gone.withColumnRenamed("key", f"{p}key"), f"{p}key")
+    repeated = cut(spark, chosen.filter("rows > 1").select(F.col("key").alias(f"{p}key")), "jaccard-repeated")
     if not repeated.isEmpty():
-        once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, same, "left_anti").unionByName(once)
-    return kept
+        once = (_only(spark, kept, repeated, f"{p}key").groupBy(f"{p}key")
+                .agg(F.min(F.struct(*docs.columns)).alias(f"{p}row")).select(f"{p}row.*"))
+        kept = _without(spark, kept, repeated, f"{p}key").select(*docs.columns).unionByName(once)
+    return kept.select(*docs.columns)
+
+
+def _without(spark: SparkSession, docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``docs`` whose key is not among ``keys``. Up to ``BROADCAST_IDS`` keys are broadcast; more
+    of them meet only the documents that a filter of fixed size cannot pass, so that most texts
+    are not moved."""
+    if keys.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(keys), name, "left_anti")
+    maybe = _maybe(spark, docs, keys, name)
+    return docs.filter(~maybe).unionByName(docs.filter(maybe).join(keys, name, "left_anti"))
+
+
+def _only(spark: SparkSession, docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``docs`` whose key is among ``keys``."""
+    if keys.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(keys), name, "left_semi")
+    return docs.filter(_maybe(spark, docs, keys, name)).join(keys, name, "left_semi")
+
+
+def _maybe(spark: SparkSession, docs: DataFrame, keys: DataFrame, name: str):
+    shared = spark.sparkContext.broadcast(_bit_filter(keys))
+
+    @F.arrow_udf("boolean")
+    def hit(spot: pa.Array) -> pa.Array:
+        return pa.array(_hits(shared.value, spot))
+    return hit(_spot(docs[name]))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

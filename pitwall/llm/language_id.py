@@ -146,34 +146,27 @@ def hits(f: Filter, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def identify(spark: SparkSession, docs: DataFrame, f: Filter) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (share of the text's n-grams that the chosen
-    language holds) under the names ``p + "lang"`` and ``p + "score"``, ``p`` from own_names."""
+    language holds) under the names ``p + "lang"`` and ``p + "score"``, ``p`` from own_names.
+    Only the lower-cased text goes to Python, and two short columns come back."""
     p = own_names(docs)
     shared = spark.sparkContext.broadcast(f)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    source = docs.withColumn(f"{p}low", F.when(letters, F.lower("text")))
-    schema = docs.schema.jsonValue()
-    out_schema = type(docs.schema).fromJson(schema).add(f"{p}lang", "string").add(f"{p}score", "double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("lang string, score double")
+    def found(low: pa.Array) -> pa.Array:
         f = shared.value
-        for batch in batches:
-            langs, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
-            low = batch.column(batch.num_columns - 1)
-            for first, texts in chunks(low):
-                if not f.langs:
-                    continue
-                got, total = hits(f, texts)
-                best = np.where(got.max(1) > 0, got.argmax(1), f.usual)
-                for i in range(len(texts)):
-                    if low[first + i].is_valid:
-                        langs[first + i] = f.langs[best[i]]
-                        scores[first + i] = min(1.0, got[i, best[i]] / max(total[i], 1))
-            arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(langs, pa.string()), pa.array(scores)],
-                                             names=[*docs_names, f"{p}lang", f"{p}score"])
-
-    docs_names = docs.columns
-    return source.mapInArrow(run, out_schema)
+        langs, scores = ["und"] * len(low), np.zeros(len(low))
+        for first, texts in chunks(low) if f.langs else ():
+            got, total = hits(f, texts)
+            best = np.where(got.max(1) > 0, got.argmax(1), f.usual)
+            for i in range(len(texts)):
+                if low[first + i].is_valid:
+                    langs[first + i] = f.langs[best[i]]
+                    scores[first + i] = min(1.0, got[i, best[i]] / max(total[i], 1))
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], names=["lang", "score"])
+
+    both = docs.withColumn(f"{p}both", found(F.when(letters, F.lower("text"))))
+    return both.select(*docs.columns, F.col(f"{p}both.lang").alias(f"{p}lang"), F.col(f"{p}both.score").alias(f"{p}score"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
