@@ -4,13 +4,17 @@ The patterns' findings are labelled credentials. Per kind a stochastic automaton
 from a bounded sample of them: a prefix tree of their symbols, whose states are merged in
 breadth-first order whenever the Hoeffding bound cannot tell their futures apart. A symbol is
 a character class (digit, a-f, g-z, A-F, G-Z) or the punctuation mark itself. Then every
-candidate string of the corpus is scored: its format likelihood is the mean log-probability
-per symbol under a kind's automaton, less that under an automaton of the corpus's other
-strings. It is flagged when it is about as likely as the labelled ones and more likely
-than an ordinary string.
-
-One pass over whole texts gathers base findings and candidates; they are written to the
-shared folder, and fitting and scoring read only that table.
+candidate of the corpus is scored: all runs of at least 8 characters of the assign pattern's
+character set (letters, digits, ``+/_.=-``) that are clear of base spans, whatever they are made
+of; full stops at the end belong to the sentence. A candidate's format likelihood is the mean log-probability per symbol, its end included,
+under a kind's automaton, less that under an automaton of the corpus's other candidates. It is
+flagged when it is about as likely as the labelled ones and more likely than an ordinary string.
+Length is judged by the automaton's end probabilities alone. Both automata are smoothed, so small
+samples, and none, give defined scores. Runs of fewer than 8 characters are not candidates.
+
+Two passes over whole texts: the first keeps, per task, the credentials and ordinary strings with
+the smallest hashes, so that the samples are those of the whole corpus and bounded; the second
+finds and scores.
 
 Defined results: a null or empty text has no span; overlapping candidates of base spans are
 dropped; repeated rows get equal results; without any finding nothing is learnt and only base
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -33,8 +38,10 @@ from pitwall.llm.common import cut, read_table
 
 KINDS = ("assign", "access", "hex")
 SAMPLE = 400               # labelled credentials per kind that an automaton is inferred from
-PLAIN_SAMPLE = 2000        # ordinary candidates for the background automaton
-MIN_CANDIDATE = 16
+PLAIN_SAMPLE = 20_000      # ordinary candidates for the background automaton
+SAMPLE_CHARS = 256         # longer strings are not learnt from (they are scored like all others)
+MIN_CANDIDATE = 8
+ALPHABET = 11              # symbols: five character classes and six marks
 HOEFFDING = 0.05           # confidence of the merge test
 SLACK = 0.15               # nats per symbol below the least likely labelled credential
 MIN_GAIN = 0.25            # nats per symbol above the background
@@ -43,8 +50,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
                      re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CANDIDATE)
-_DIGIT = re.compile(r"[0-9]")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}[A-Za-z0-9+/_=-]" % (MIN_CANDIDATE - 1))
 
 _SYMBOLS = str.maketrans("0123456789" "abcdef" "ghijklmnopqrstuvwxyz" "ABCDEF" "GHIJKLMNOPQRSTUVWXYZ",
                          "0" * 10 + "a" * 6 + "g" * 20 + "A" * 6 + "G" * 20)
@@ -67,16 +73,9 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, taken: list) -> list[tuple[int, int, str]]:
-    """Strings of credential characters with a digit and a letter, clear of base spans."""
-    if not _DIGIT.search(text):
-        return []
-    out = []
-    for m in _CANDIDATE.finditer(text):
-        s = m[0]
-        if _DIGIT.search(s) and any(c.isalpha() for c in s):
-            if not any(m.start() < e and b < m.end() for b, _, e, _ in taken):
-                out.append((m.start(), m.end(), s))
-    return out
+    """(start, end, string) of runs of credential characters, clear of base spans."""
+    found = [(m.start(), m.end(), m[0]) for m in _CANDIDATE.finditer(text)]
+    return [c for c in found if not any(c[0] < e and b < c[1] for b, _, e, _ in taken)] if taken else found
 
 
 # --- inference --------------------------------------------------------------------------
@@ -95,9 +94,7 @@ class Automaton:
     moves: tuple
     ends: tuple
     miss: float
-    floor: float                        # least mean log-probability of the labelled strings
-    shortest: int
-    longest: int
+    floor: float                        # least mean log-probability of the strings it was inferred from
 
     def mean_log(self, symbols: str) -> float:
         state, total = 0, 0.0
@@ -146,7 +143,7 @@ def _fold(a: _State, b: _State) -> None:
 
 
 def infer(strings: list[str]) -> Automaton:
-    """Automaton of symbol strings (at least one)."""
+    """Automaton of symbol strings; of none, all symbols and the end are equally likely."""
     root = _State()
     for s in sorted(strings):
         state = root
@@ -174,31 +171,28 @@ def infer(strings: list[str]) -> Automaton:
             else:
                 red.append(child)
     number = {id(s): i for i, s in enumerate(red)}
-    kinds = len({c for s in strings for c in s}) + 1
     moves, ends = [], []
     for s in red:
-        total = s.end + sum(s.seen.values()) + 0.5 * kinds
+        total = s.end + sum(s.seen.values()) + 0.5 * (ALPHABET + 1)
         moves.append({c: (number[id(t)], math.log((s.seen[c] + 0.5) / total)) for c, t in s.to.items()})
         ends.append(math.log((s.end + 0.5) / total))
-    miss = math.log(0.5 / (len(strings) + 0.5 * kinds)) * 2
-    lengths = [len(s) for s in strings]
-    raw = Automaton(tuple(moves), tuple(ends), miss, 0.0, min(lengths), max(lengths))
-    floor = min(raw.mean_log(s) for s in strings)
-    return Automaton(raw.moves, raw.ends, miss, floor, raw.shortest, raw.longest)
+    miss = math.log(0.5 / (len(strings) + 0.5 * (ALPHABET + 1)))
+    raw = Automaton(tuple(moves), tuple(ends), miss, 0.0)
+    return Automaton(raw.moves, raw.ends, miss, min((raw.mean_log(s) for s in strings), default=0.0))
 
 
 @dataclass(frozen=True)
 class Formats:
     """Per kind its automaton (or None), and the background's."""
     kinds: tuple
-    plain: Automaton | None
+    plain: Automaton
 
     def kind_of(self, symbols: str) -> int | None:
         """The kind whose format the string has, if any."""
         best, found = -math.inf, None
-        plain = self.plain.mean_log(symbols) if self.plain else -math.inf
+        plain = self.plain.mean_log(symbols)
         for k, a in enumerate(self.kinds):
-            if a is None or not a.shortest <= len(symbols) <= a.longest:
+            if a is None:
                 continue
             p = a.mean_log(symbols)
             if p >= a.floor - SLACK and p - plain >= MIN_GAIN and p > best:
@@ -206,71 +200,82 @@ class Formats:
         return found
 
 
-def fit(found: DataFrame) -> Formats:
-    """``found`` as :func:`gather` writes it. Samples are the strings with the smallest hash;
-    the background are candidates, i.e. strings that no pattern calls a credential."""
-    def sample(column, n, where=None):
-        rows = found.select(F.explode(column).alias("s"))
-        rows = rows.filter(where) if where is not None else rows
-        rows = rows.select(F.col("s.value").alias("v")).distinct()
-        rows = rows.orderBy(F.xxhash64("v"), "v").limit(n).collect()
-        return [r["v"].translate(_SYMBOLS) for r in rows]
+class Smallest:
+    """The ``size`` distinct strings with the smallest hashes."""
+
+    def __init__(self, size: int):
+        self.size, self.held, self.limit = size, {}, 1 << 32
 
-    kinds = []
-    for k in range(len(KINDS)):
-        strings = sample("base", SAMPLE, F.col("s.kind") == k)
-        kinds.append(infer(strings) if strings else None)
-    plain = sample("candidates", PLAIN_SAMPLE)
-    return Formats(tuple(kinds), infer(plain) if len(plain) >= SAMPLE else None)
+    def add(self, value: str) -> None:
+        if len(value) > SAMPLE_CHARS:
+            return
+        mark = zlib.crc32(value.encode())
+        if mark < self.limit:
+            self.held[value] = mark
+            if len(self.held) >= 2 * self.size:
+                self.trim()
 
+    def trim(self) -> list[tuple[int, str]]:
+        least = sorted((m, v) for v, m in self.held.items())[:self.size]
+        if len(least) == self.size:
+            self.held, self.limit = {v: m for m, v in least}, least[-1][0] + 1
+        return least
 
-GATHERED = ("base array<struct<start:int,kind:int,stop:int,value:string>>, "
-            "candidates array<struct<start:int,stop:int,value:string>>")
 
+PLAIN = len(KINDS)
+
+
+def fit(docs: DataFrame) -> Formats:
+    """From (doc_id, text). Samples are the strings with the smallest hashes; the background are
+    candidates, i.e. strings that no pattern calls a credential."""
+    sizes = [SAMPLE] * len(KINDS) + [PLAIN_SAMPLE]
 
-def gather(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) → doc_id, base spans, candidates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()),
-                                        ("stop", pa.int32()), ("value", pa.string())]))
-        cand_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())]))
+        samples = [Smallest(n) for n in sizes]
         for batch in batches:
-            base, cand = [], []
             for text in batch.column(1):
                 t = text.as_py() or ""
-                b = base_spans(t)
-                base.append([{"start": s, "kind": k, "stop": e, "value": v} for s, k, e, v in b])
-                cand.append([{"start": s, "stop": e, "value": v} for s, e, v in candidates(t, b)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, base_type), pa.array(cand, cand_type)],
-                                             names=["doc_id", "base", "candidates"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {GATHERED}")
+                base = base_spans(t)
+                for _, kind, _, value in base:
+                    samples[kind].add(value)
+                for _, _, value in candidates(t, base):
+                    samples[PLAIN].add(value)
+        for kind, sample in enumerate(samples):
+            least = sample.trim()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * len(least), pa.int32()), pa.array([m for m, _ in least], pa.int64()),
+                 pa.array([v for _, v in least], pa.string())], names=["kind", "mark", "value"])
+
+    each = cut(docs.sparkSession, docs.select("doc_id", "text").mapInArrow(run, "kind int, mark long, value string"),
+               "secret-samples").distinct()
+    strings = [[r["value"].translate(_SYMBOLS) for r in each.filter(F.col("kind") == k).orderBy("mark", "value")
+                .limit(n).collect()] for k, n in enumerate(sizes)]
+    return Formats(tuple(infer(x) if x else None for x in strings[:PLAIN]), infer(strings[PLAIN]))
 
 
 def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, text) → doc_id, base and learned: arrays of (start, kind, stop)."""
-    found = cut(spark, gather(docs), "secret-findings")
-    shared = spark.sparkContext.broadcast(fit(found))
+    shared = spark.sparkContext.broadcast(fit(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind_of = lru_cache(maxsize=100_000)(shared.value.kind_of)
-        out_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
+        formats = shared.value
+        kind_of = lru_cache(maxsize=100_000)(formats.kind_of)
+        learns = any(formats.kinds)
+        spans = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
-            learned = []
-            for spans in batch.column(2):
-                row = []
-                for s in spans.as_py() or []:
-                    k = kind_of(s["value"].translate(_SYMBOLS))
-                    if k is not None:
-                        row.append({"start": s["start"], "kind": k, "stop": s["stop"]})
-                learned.append(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(learned, out_type)],
+            base, learned = [], []
+            for text in batch.column(1):
+                t = text.as_py() or ""
+                b = base_spans(t)
+                base.append([{"start": s, "kind": k, "stop": e} for s, k, e, _ in b])
+                scored = ((s, e, kind_of(v.translate(_SYMBOLS))) for s, e, v in candidates(t, b)) if learns else ()
+                learned.append([{"start": s, "kind": k, "stop": e} for s, e, k in scored if k is not None])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, spans), pa.array(learned, spans)],
                                              names=["doc_id", "base", "learned"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    base = GATHERED.split(", ")[0]
-    return found.mapInArrow(run, f"doc_id {kind}, {base}, learned array<struct<start:int,kind:int,stop:int>>")
+    found = "array<struct<start:int,kind:int,stop:int>>"
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, base {found}, learned {found}")
 
 
 def _joined(spans):

@@ -177,6 +177,31 @@ def brute_spans(text):
     return [f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in sorted(spans)]
 
 
+def plain_score(automaton, text):
+    """Mean log-probability per symbol, the end included, one symbol at a time."""
+    kinds = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ABCDEF", "A")}
+    state, logs = 0, []
+    for c in text:
+        c = kinds.get(c) or ("g" if "g" <= c <= "z" else "G" if "G" <= c <= "Z" else c)
+        if state is None or c not in automaton.moves[state]:
+            state = None
+            logs.append(automaton.miss)
+        else:
+            state, p = automaton.moves[state][c]
+            logs.append(p)
+    return (sum(logs) + (automaton.miss if state is None else automaton.ends[state])) / (len(text) + 1)
+
+
+def test_samples_and_background_of_any_size():
+    keep = secrets.Smallest(5)
+    values = [f"s{i % 40}" for i in range(500)]
+    for v in values:
+        keep.add(v)
+    assert [v for _, v in keep.trim()] == sorted(set(values), key=lambda v: (zlib.crc32(v.encode()), v))[:5]
+    none, one = secrets.infer([]), secrets.infer(["00000000"])
+    assert none.mean_log("0a0a") == none.mean_log("gggg") < one.mean_log("00000000")
+
+
 def test_secrets(spark, table, odd_rows, tmp_path):
     rng = random.Random(4)
     hexed = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
@@ -190,6 +215,8 @@ def test_secrets(spark, table, odd_rows, tmp_path):
         (502, f"the key {hexed(30)} was printed", None, None),              # like the labelled ones
         (503, "see release-notes-2024-part-one or chapter-12-of-the-manual", None, None),
         (504, None, None, None), (505, "", None, None), (505, "", None, None),
+        (506, f"rotated to ASIA{upper(16)}, not {hexed(18)}.", None, None),     # an unlabelled one of two kinds
+        (507, f"only {hexed(9)} and {'1' * 40} and {hexed(60)} remain", None, None),
     ]
     odd_rows = [(None if i is None else i + 1000, *rest) for i, *rest in odd_rows]
     docs = table(rows + odd_rows)
@@ -206,6 +233,21 @@ def test_secrets(spark, table, odd_rows, tmp_path):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s.startswith(k) for s in spans) for k in ("assign", "access", "hex"))
     by = {r.doc_id: r.spans for r in got}
     assert "like_" in by[502] and "8:38" in by[502]
+    assert "like_access:11:31" in by[506] and ":37:55" in by[506]
+    # learned spans are those of a plain scorer over every run of the character set
+    formats = secrets.fit(docs)
+    for i, t, _, _ in rows + odd_rows:
+        base = [tuple(map(int, s.split(":")[1:])) for s in brute_spans(t)]
+        want = set()
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{7,}[A-Za-z0-9+/_=-]", t or ""):
+            if all(m.end() <= a or b <= m.start() for a, b in base):
+                p = [None if a is None else plain_score(a, m[0]) for a in (*formats.kinds, formats.plain)]
+                able = [k for k in range(3) if p[k] is not None and p[k] >= formats.kinds[k].floor - secrets.SLACK
+                        and p[k] - p[3] >= secrets.MIN_GAIN]
+                if able:
+                    kind = secrets.KINDS[max(able, key=lambda k: (p[k], -k))]
+                    want.add(f"like_{kind}:{m.start()}:{m.end()}")
+        assert {s for s in by[i].split(",") if s.startswith("like_")} == want
     assert by[503] == "" and by[504] == ""
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert secrets.op10_secret_scan(spark, f"{tmp_path}/none").collect() == []
@@ -264,16 +306,17 @@ def test_decontamination_equals_brute_force(spark, table, odd_rows):
         w = clean_words(t or "")
         for k, x in item.items():
             m, n = len(x), min(5, len(x))
+            m = min(m, len(w))           # a shorter document is one window
             for a in range(len(w) - m + 1):
                 run = {tuple(w[j:j + n]) for j in range(a, a + m - n + 1)}
                 if run & sets[k] and weighted(sets, run)[k] >= 0.8 - 1e-9:
                     want.add((i, k))
     found = decontaminate.find(spark, docs, bench).collect()
     got = {(r.doc_id, r.item_id) for r in found}
-    assert got <= want
-    # the radius admits all of these, exact copies (distance 0) always
-    assert len(got) >= 0.97 * len(want) > 40
-    assert {(r.doc_id, r.item_id) for r in found if r.similarity == 1.0} and all(r.hamming <= 15 for r in found)
+    assert got == want == similar_windows([(i, clean_words(t or "")) for i, t, _, _ in rows],
+                                          {k: clean_words(" ".join(x)) for k, x in item.items()}) and len(want) > 40
+    assert {(r.doc_id, r.item_id) for r in found if r.similarity == 1.0}
+    assert all(r.hamming <= decontaminate.RADIUS for r in found)
     clean = decontaminate.keep_clean(spark, docs, bench)
     assert clean.columns == docs.columns
     assert clean.count() == sum((i not in {g[0] for g in got}) for i, *_ in rows)
@@ -310,7 +353,7 @@ def similar_windows(texts, item):
     return want
 
 
-def test_windows_beyond_the_radius_are_found(spark):
+def test_edits_down_to_the_threshold_are_found(spark, monkeypatch):
     rng = random.Random(12)
     item = {k: [f"i{k}w{rng.randrange(500)}" for _ in range(38)] for k in range(20)}
     texts = []
@@ -323,7 +366,10 @@ def test_windows_beyond_the_radius_are_found(spark):
     found = decontaminate.find(spark, docs, bench).collect()
     want = similar_windows(texts, item)
     assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 300
-    assert any(r.hamming > decontaminate.RADIUS for r in found)
+    assert 15 < max(r.hamming for r in found) <= decontaminate.RADIUS
+    # the index is what names candidates: without its entries nothing is found
+    monkeypatch.setattr(decontaminate, "_listed", lambda prints, which, b: (np.zeros(257, np.int64), np.empty(0, np.int32)))
+    assert decontaminate.find(spark, docs, bench).collect() == []
 
 
 def test_documents_shorter_than_the_item(spark):
