@@ -31,17 +31,27 @@ MAX_WORD_DISTANCE = 0.45
 WINDOW = 5
 POOLED = "*"
 
-CLASSES = {                # everything that is not in the class
-    "upper": r"[^\p{Lu}]+",
-    "lower": r"[^\p{Ll}]+",
-    "digit": r"[^0-9]+",
-    "mark": r"""[^.,;:!?'"()-]+""",
-    "symbol": r"[^#*$%&|<>]+",
+BLANK = "blank"
+CLASSES = {                # disjoint runs, the usual ones first: each is taken out of what the others left
+    "lower": r"\p{Ll}+",
+    BLANK: SPACE,
+    "mark": r"""[.,;:!?'"()-]+""",
+    "upper": r"\p{Lu}+",
+    "digit": r"[0-9]+",
+    "symbol": r"[#*$%&|<>]+",
 }
 
 
-def _left_of(text: Column, pattern: str) -> Column:
-    return F.length(F.regexp_replace(text, pattern, "")).cast("long")
+def class_counts(d: DataFrame, text: str) -> DataFrame:
+    """Characters of ``text`` per class, and ``rest`` for all others. After the first passes little
+    of the text is left to search."""
+    left = text
+    for i, (name, pattern) in enumerate(CLASSES.items()):
+        after = f"left{i}"
+        d = d.withColumn(after, F.regexp_replace(left, pattern, ""))
+        d = d.withColumn(name, (F.length(left) - F.length(after)).cast("long"))
+        left = after
+    return d.withColumn("rest", F.length(left).cast("long"))
 
 
 def words_of(text: Column) -> Column:
@@ -56,11 +66,11 @@ def _covered(starts: Column) -> Column:
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, words, class counts and the base rule's figures."""
+    """doc_id, lang, hashes of the words, class counts and the base rule's figures."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", "lang", text.alias("text")).withColumn("words", words_of(F.col("text")))
-    d = d.withColumn("n_words", F.size("words").cast("long"))
-    d = d.withColumn("hash", F.transform("words", lambda x: F.xxhash64(x)))
+    d = class_counts(docs.select("doc_id", "lang", text.alias("text")), "text")
+    d = d.withColumn("hash", F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x)))
+    d = d.withColumn("n_words", F.size("hash").cast("long"))
     h = F.col("hash")
     d = d.withColumn("windows", F.when(F.col("n_words") >= WINDOW, F.transform(
         F.slice(h, F.lit(1), F.greatest(F.col("n_words").cast("int") - (WINDOW - 1), F.lit(0))),
@@ -74,11 +84,9 @@ def base_measures(docs: DataFrame) -> DataFrame:
                  | (x["x"] == F.get(s, i + 1)["x"]).eqNullSafe(True)), lambda x: x["i"])))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     d = d.withColumn("lines", lines)
-    word_chars = _left_of(F.col("text"), SPACE)
     return d.select(
-        "doc_id", "lang", "words", "n_words", word_chars.alias("word_chars"),
-        (F.length("text") - word_chars).alias("blank"),
-        *[_left_of(F.col("text"), p).alias(c) for c, p in CLASSES.items()],
+        "doc_id", "lang", "hash", "n_words", (F.length("text") - F.col(BLANK)).cast("long").alias("word_chars"),
+        *CLASSES, "rest",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_covered(F.col("found")), F.lit(0)).cast("long").alias("n_repeat_words"))
 
@@ -110,12 +118,12 @@ def js_distance(p: Column, q: Column) -> Column:
                        lambda s: F.round(F.sqrt(F.greatest(s / 2, F.lit(0.0))), 6))
 
 
-def _class_counts() -> list[Column]:
-    known = [F.col(c) for c in (*CLASSES, "blank")]
-    rest = F.col("word_chars") + F.col("blank")
-    for c in known:
-        rest = rest - c
-    return [*known, rest]
+FIGURES = ("upper", "lower", "digit", "mark", "symbol", BLANK, "rest")
+
+
+def times_of(hashes: str, word: Column) -> Column:
+    """How often a word's hash is among the hashes; null for a null word."""
+    return (F.size(hashes) - F.size(F.array_remove(hashes, word))).cast("long")
 
 
 def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -128,20 +136,17 @@ def judge(spark: SparkSession, docs: DataFrame) -> DataFrame:
     m = base_measures(docs)
     joined = m.join(named, m["lang"] == named["ref"], "left").join(pooled, F.lit(True), "left")
     common = F.coalesce("common", "pooled")
-    joined = joined.select(*m.columns, F.coalesce("ref", F.lit(POOLED)).alias("ref"), common.alias("common"),
-                           F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" ")).alias("spaced"))
-    spaced = F.col("spaced")
-    hits = F.transform("common", lambda c: (
-        (F.length(spaced) - F.length(F.replace(spaced, F.concat(F.lit(" "), c["word"], F.lit(" ")), F.lit(""))))
-        / (F.length(c["word"]) + 2)).cast("long"))
+    joined = joined.select(*m.columns, F.coalesce("ref", F.lit(POOLED)).alias("ref"), common.alias("common"))
+    joined = joined.withColumn("marks", F.transform("common", lambda c: F.xxhash64(c["word"])))
+    hits = F.slice(F.array(*[times_of("hash", F.get("marks", F.lit(i))) for i in range(COMMON)]), F.lit(1), F.size("marks"))
     narrow = joined.select(
         "doc_id", "ref", "n_words", "word_chars", F.col("symbol").alias("n_symbols"), "n_dup_lines",
-        "n_repeat_words", F.array(*_class_counts()).alias("classes"),
+        "n_repeat_words", F.array(*FIGURES).alias("classes"),
         F.when(F.col("n_words") >= MIN_WORDS_COMMON, hits).alias("hits"),
         F.transform("common", lambda c: c["share"]).alias("shares"))
     narrow = cut(spark, narrow, "quality-figures")
 
-    n = len(CLASSES) + 2
+    n = len(FIGURES)
     sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(n)]
     every = narrow.groupBy("ref").agg(*sums)
     total = sum((F.col(f"c{i}") for i in range(1, n)), F.col("c0"))
