@@ -9,6 +9,7 @@ with probability about 2^-64 per pair.
 from __future__ import annotations
 
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ from pitwall.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+BATCH_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 19          # text handled at once inside a task; one text is never cut
 
 
@@ -38,6 +40,12 @@ def cut(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` in this session: rows of text differ a thousandfold
+    in size, so a limit in rows does not bound a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def own_names(df: DataFrame, *names: str) -> str:
     """A prefix that no column of ``df`` starts with, for helper columns."""
     prefix = "_w"
@@ -62,6 +70,20 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def give_back(run):
+    """A task function over batches that returns unused memory to the system when it ends: idle
+    workers are kept for the next task, and several share an executor's memory."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # only the GNU library has it
+            if trim is not None:
+                trim(0)
+    return wrapped
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     h = h ^ (h >> np.uint64(32))

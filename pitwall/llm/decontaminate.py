@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import chunks, read_table, shingle_hashes, word_hashes
+from pitwall.llm.common import bounded_batches, chunks, read_table, shingle_hashes, word_hashes
 
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
@@ -258,6 +258,7 @@ FOUND = "item_id long, first_word int, n_words int, hamming int, similarity doub
 
 def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text) → a row per document and item that it holds."""
+    bounded_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = spark.createDataFrame([], f"doc_id {kind}, {FOUND}")
     for items in item_blocks(benchmark):
@@ -292,6 +293,7 @@ def _clean(shared):
 
 def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item. Only their lower-cased text goes to Python."""
+    bounded_batches(spark)
     for items in item_blocks(benchmark):
         docs = docs.filter(_clean(spark.sparkContext.broadcast(items))(F.lower("text")))
     return docs

@@ -51,7 +51,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import chunks, cut, mix, own_names, read_table, shingle_hashes, word_hashes
+from pitwall.llm.common import (bounded_batches, chunks, cut, give_back, mix, own_names, read_table,
+                                shingle_hashes, word_hashes)
 
 SHINGLE = 4
 PERCENT = 85
@@ -144,7 +145,7 @@ def measure(docs: DataFrame, n: int) -> DataFrame:
                              pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
                              pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()))
 
-    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(give_back(run), schema)
 
 
 def frequent(measured: DataFrame) -> np.ndarray:
@@ -202,7 +203,7 @@ def first_shingles(docs: DataFrame, many: np.ndarray, n: int, percent: int) -> D
                     yield _batch("shingle fp n many", np.concatenate(out).view(np.int64), np.concatenate(fps),
                                  np.concatenate(ns), np.concatenate(flags))
 
-    return docs.select("text").mapInArrow(run, "shingle long, fp long, n int, many boolean")
+    return docs.select("text").mapInArrow(give_back(run), "shingle long, fp long, n int, many boolean")
 
 
 def _neighbours(shingle, fp, n, percent: int, small: int):
@@ -356,9 +357,7 @@ def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                  .select("a", "b", "na", "nb", "ca", "cb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
             k = batch.num_rows
             v = Vectors(batch.column(4).to_pylist() + batch.column(5).to_pylist())
             sizes = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
@@ -369,7 +368,7 @@ def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(d * (100 + percent) <= (100 - percent) * sizes)
             yield _batch("a b", batch.column(0).filter(ok), batch.column(1).filter(ok))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(give_back(run), "a long, b long")
 
 
 def _spot(key):
@@ -407,7 +406,7 @@ def needed_sets(docs: DataFrame, classes: DataFrame, fps: DataFrame, n: int) ->
                 yield _batch("fp shingles", pa.array([fingerprint(s) for s in sets], pa.int64()),
                              pa.array([s.tobytes() for s in sets], pa.binary()))
 
-    sets = docs.select(at.alias("spot"), "text").mapInArrow(run, "fp long, shingles binary")
+    sets = docs.select(at.alias("spot"), "text").mapInArrow(give_back(run), "fp long, shingles binary")
     return sets.join(fps, "fp", "left_semi").dropDuplicates(["fp"])
 
 
@@ -689,6 +688,7 @@ def classes_of(spark: SparkSession, docs: DataFrame, n: int = SHINGLE, percent:
                small: int = SMALL, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text) → rows (doc_id, mark = hash of the text, n, fp), one per document, and the
     component of every non-empty set: (fp, root, component_id)."""
+    bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = cut(spark, measure(docs, n), "jaccard-documents")
     rows = measured.filter("part IS NULL")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import chunks, fold_of, mix, own_names, read_table
+from pitwall.llm.common import bounded_batches, chunks, fold_of, give_back, mix, own_names, read_table
 
 MAX_DOCS = 1500            # labelled documents per language, about
 MAX_LANGS = 64
@@ -98,7 +98,7 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS) -> Filter:
     spot = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = (labelled.join(F.broadcast(rates.select("lang", "rate")), "lang").filter(spot < F.col("rate"))
                       .select("lang", F.lower("text").alias("text")))
-    counts = (sample.mapInArrow(_count_grams, "lang string, gram long, n long")
+    counts = (sample.mapInArrow(give_back(_count_grams), "lang string, gram long, n long")
                     .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     by_gram = (counts.filter(F.col("n") >= MIN_COUNT).join(F.broadcast(sums), "lang")
@@ -148,6 +148,7 @@ def identify(spark: SparkSession, docs: DataFrame, f: Filter) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (share of the text's n-grams that the chosen
     language holds) under the names ``p + "lang"`` and ``p + "score"``, ``p`` from own_names.
     Only the lower-cased text goes to Python, and two short columns come back."""
+    bounded_batches(spark)
     p = own_names(docs)
     shared = spark.sparkContext.broadcast(f)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -52,14 +52,14 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import read_table
+from pitwall.llm.common import bounded_batches, read_table
 from pitwall.session import checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 FILE_BYTES = 16 << 20           # text per record file
 KNOWN_PARTS = 1 << 20           # parts a worker remembers; beyond, it forgets all
-BLOCK_BYTES = 16 << 20          # text encoded at once inside a task; one text is never cut
+BLOCK_BYTES = 8 << 20           # text encoded at once inside a task; one text is never cut
 MARKS = ".,;:!?"
 
 MASK = 0xA282EAD8
@@ -228,6 +228,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str | None = None, en
                   file_bytes: int = FILE_BYTES) -> None:
     """Writes ``folder``/data and ``folder``/index."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
     order = ["doc_id", "mark", "row"]
