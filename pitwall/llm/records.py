@@ -60,6 +60,7 @@ END_ID = 2
 FILE_BYTES = 16 << 20           # text per record file
 KNOWN_PARTS = 1 << 20           # parts a worker remembers; beyond, it forgets all
 BLOCK_BYTES = 8 << 20           # text encoded at once inside a task; one text is never cut
+BROADCAST_FILES = 1 << 15       # files whose index summary is broadcast (100 bytes a file)
 MARKS = ".,;:!?"
 
 MASK = 0xA282EAD8
@@ -271,29 +272,31 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): the records that the index names, read from the files by
-    offset and checked; ids as little-endian unsigned 32-bit integers."""
-    places = read_index(spark, folder).groupBy("file").agg(
-        F.collect_list(F.struct("offset", "start", "n_tokens")).alias("places"))
+    """(doc_id, start, n_tokens, ids): all records, read from the files in order and checked, also
+    against the index; ids as little-endian unsigned 32-bit integers. The index gives each file's
+    first ``start`` and number of records, one row a file; up to ``BROADCAST_FILES`` of them go to
+    the files, so that no content is moved."""
+    known = read_index(spark, folder).groupBy("file").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("n"))
+    if known.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        known = F.broadcast(known)
     files = spark.read.format("binaryFile").load(f"{folder}/data").select(
         F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return files.join(places, "file").select("content", "places").mapInArrow(_by_offset, SEQUENCES)
+    return files.join(known, "file").select("content", "start", "n").mapInArrow(_in_order, SEQUENCES)
 
 
-def _by_offset(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
     for batch in batches:
-        for content, places in zip(batch.column(0), batch.column(1), strict=True):
-            data, rows = content.as_buffer(), []
-            for place in places:
-                place = place.as_py()
-                doc_id, ids, _ = read_record(data, place["offset"])
-                if len(ids) != place["n_tokens"]:
-                    raise ValueError(f"the index and the record at byte {place['offset']} differ")
-                rows.append((doc_id, place["start"], len(ids), ids.tobytes()))
+        for content, start, n in zip(*batch.columns, strict=True):
+            start, rows, seen = start.as_py(), [], 0
+            for _, _, doc_id, ids in records(content.as_buffer()):
+                rows.append((doc_id, start, len(ids), ids.tobytes()))
+                start, seen = start + len(ids), seen + 1
                 if len(rows) == 1024:
                     yield _batch(rows, kinds)
                     rows = []
+            if seen != n.as_py():
+                raise ValueError(f"a file has {seen} records, the index names {n.as_py()}")
             yield _batch(rows, kinds)
 
 
@@ -317,7 +320,7 @@ class RecordReader:
 
 
 def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents encoded, written as records with their index, and read back by it."""
+    """All documents encoded, written as records with their index, and read back with it."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pitwall-llm/records-{uuid.uuid4().hex}"
     write_records(read_table(spark, sf_dir, "documents"), folder)
     return read_records(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -2,25 +2,30 @@
 
 Every record hashes into one of ``SLOTS`` virtual slots, whatever the number of shards. Bytes
 and rows are summed per slot, and a versioned map says which shard holds which slot. To
-rebalance or grow, the map is edited: slots move, records never hash anew.
+rebalance or grow, the map is edited: slots move, records never hash anew. Versions of the map are
+stored beside each other (``save_map``); readers take the newest (``load_map``), and ``rebalance``
+edits it and stores the next.
 
 The map has a fixed number of entries (8,192), so building it on the driver and broadcasting
 it are bounded whatever the corpus. The law is ``bytes``: shards have nearly equal bytes.
 
 Defined results: a null text has size 8 and checksum 0; a null doc_id hashes like any value;
 repeated rows share a slot and get different positions; an empty table gives no rows. Columns
-of the input with clashing names are kept by :func:`place`, which names its own columns.
+of the input with clashing names are kept by :func:`place` as ``input_<name>``.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.common import cut, own_names, read_table
+from pitwall.session import checkpoint_dir
 
 SLOTS = 8192
 SHARDS = 24
@@ -74,11 +79,41 @@ def edit_map(old: SlotMap, sizes: dict[int, int], shards: int) -> SlotMap:
     return SlotMap(old.version + 1, tuple(shard_of))
 
 
-def map_table(spark: SparkSession, m: SlotMap) -> DataFrame:
-    """The map as a table (version, virtual_slot, shard): append each version to one Parquet
-    table and read the newest."""
-    return spark.createDataFrame([(m.version, i, s) for i, s in enumerate(m.shard_of)],
-                                 "version int, virtual_slot int, shard int")
+MAP = "version int, virtual_slot int, shard int"
+
+
+def save_map(spark: SparkSession, m: SlotMap, path: str) -> None:
+    """Stores a version of the map as a new part of the table at ``path``; versions are never
+    changed. One writer at a time: a version that exists already is an error."""
+    rows = spark.createDataFrame([(m.version, i, s) for i, s in enumerate(m.shard_of)], MAP)
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{path}/map-{m.version:08d}")
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> SlotMap | None:
+    """The newest stored version, or the given one; None where nothing is stored."""
+    try:
+        table = spark.read.schema(MAP).parquet(f"{path}/map-{'*' if version is None else f'{version:08d}'}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = table.agg(F.max("version")).first()[0]
+    rows = table.filter(F.col("version") == newest).orderBy("virtual_slot").collect()      # SLOTS rows
+    if [r["virtual_slot"] for r in rows] != list(range(len(rows))):
+        raise ValueError(f"version {newest} of the map at {path} is not whole")
+    return SlotMap(newest, tuple(r["shard"] for r in rows))
+
+
+def rebalance(spark: SparkSession, docs: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS) -> SlotMap:
+    """The stored map, edited for the bytes that ``docs`` have per slot now and for ``shards``, and
+    stored as the next version; the first version where nothing is stored."""
+    size, crc = text_size(F.col("text")), text_crc(F.col("text"))
+    sized = docs.select(slot_of([F.col("doc_id"), crc, size], slots).alias("s"), size.alias("b"))
+    sizes = {i: b for i, (b, _) in slot_sizes(sized, "s", "b").items()}
+    old = load_map(spark, path)
+    new = first_map(sizes, shards, slots) if old is None else edit_map(old, sizes, shards)
+    save_map(spark, new, path)
+    return new
 
 
 def slot_of(identity: list[Column], slots: int = SLOTS) -> Column:
@@ -105,8 +140,9 @@ def place(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, slots: int
 
     Returns doc_id, size, text_crc32, law, shard, slot (position within the shard, from 0
     without gaps), grown_shard (null under this law), virtual_slot, map_version. With ``keep``
-    the input's columns come first and those that clash with a result column are left out of
-    the result's own. ``slot_map`` is the stored map; None builds its first version.
+    the input's columns come first; one that clashes with a result column is named
+    ``input_<name>``, since the result's names always hold the result. ``slot_map`` is the stored
+    map (:func:`load_map`); None builds its first version.
     """
     p = own_names(docs)
     size, crc, slot = f"{p}size", f"{p}crc", f"{p}slot"
@@ -131,8 +167,10 @@ def place(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, slots: int
         "grown_shard": F.lit(None).cast("int"), "virtual_slot": F.col(slot),
         "map_version": F.col(f"{p}v"),
     }
-    have = docs.columns if keep else []
-    return out.select(*have, *[c.alias(n) for n, c in result.items() if n not in have])
+    taken = {n.lower() for n in result if n != "doc_id"}
+    have = [F.col(c).alias(f"input_{c}" if c.lower() in taken else c) for c in docs.columns] if keep else []
+    names = {c.lower() for c in docs.columns} - taken if keep else set()
+    return out.select(*have, *[c.alias(n) for n, c in result.items() if n not in names])
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
@@ -142,4 +180,8 @@ def write_shards(placed: DataFrame, path: str) -> None:
 
 
 def op3_shard_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return place(spark, read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """All documents under the first stored version of their map."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pitwall-llm/slot-map-{uuid.uuid4().hex}"
+    rebalance(spark, docs, path)
+    return place(spark, docs, slot_map=load_map(spark, path))

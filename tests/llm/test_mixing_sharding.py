@@ -1,6 +1,9 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from pitwall.llm import mixing, sharding
 
 
@@ -67,7 +70,12 @@ def test_places(spark, table, odd_rows):
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
     docs = table(odd_rows)
     kept = sharding.place(spark, docs, keep=True)
-    assert kept.columns[:len(docs.columns)] == docs.columns and kept.count() == len(odd_rows)
+    # the result's names hold the result; the input's columns of such names are kept beside them
+    clash = {"size", "slot", "shard"}
+    assert kept.columns[:len(docs.columns)] == [f"input_{c}" if c in clash else c for c in docs.columns]
+    for r in kept.collect():
+        assert r.input_shard == "shard" and isinstance(r.shard, int) and r["size"] == len((r.text or "").encode()) + 8
+    assert kept.count() == len(odd_rows)
     assert sharding.place(spark, docs.limit(0)).collect() == []
 
 
@@ -93,3 +101,37 @@ def test_map_is_edited_not_remade():
     fewer = sharding.edit_map(m, sizes, 23)
     assert set(fewer.shard_of) == set(range(23))
     assert all(fewer.shard_of[i] == m.shard_of[i] for i in sizes if m.shard_of[i] < 23)
+
+
+def test_map_is_stored_and_edited(spark, table, odd_rows, tmp_path):
+    path, docs = f"file://{tmp_path}/map", table([r for r in odd_rows if r[0] != 9] + [(100 + i, "x" * i, "en", "a") for i in range(200)])
+    assert sharding.load_map(spark, path) is None
+    first = sharding.rebalance(spark, docs, path, shards=4, slots=64)
+    assert first.version == 1 and sharding.load_map(spark, path) == first
+    second = sharding.rebalance(spark, docs, path, shards=5, slots=64)
+    assert second.version == 2 and sharding.load_map(spark, path) == second
+    assert sharding.load_map(spark, path, 1) == first                     # old versions stay
+    assert set(second.shard_of) == set(range(5))
+    with pytest.raises(Exception, match="(?i)exist"):
+        sharding.save_map(spark, second, path)
+    before, after = (sharding.place(spark, docs, slots=64, slot_map=m).collect() for m in (first, second))
+    for rows, m in ((before, first), (after, second)):
+        # the assignment: each record in the shard that the map names for its slot
+        assert all(r.shard == m.shard_of[r.virtual_slot] and r.map_version == m.version for r in rows)
+        slots = defaultdict(list)
+        for r in rows:
+            slots[r.shard].append(r.slot)
+        assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    key = lambda rows: Counter((r.doc_id, r.text_crc32, r.virtual_slot) for r in rows)
+    assert key(before) == key(after)                                      # records never hash anew
+
+
+def test_first_map_is_the_plain_greedy_one():
+    rng = random.Random(3)
+    sizes = {i: rng.randint(0, 900) for i in range(200) if i % 3}
+    shard_of, load = [i % 7 for i in range(256)], [0] * 7
+    for slot in sorted(sizes, key=lambda i: (-sizes[i], i)):
+        least = min(range(7), key=lambda s: (load[s], s))
+        shard_of[slot] = least
+        load[least] += sizes[slot]
+    assert sharding.first_map(sizes, 7, 256).shard_of == tuple(shard_of)
