@@ -5,7 +5,8 @@ so the model is a short list of (feature, weight) that every task gets by broadc
 most ``2**BITS`` entries whatever the corpus.
 
 The classifier is fitted on a bounded sample: at most ``MAX_ROWS`` labelled documents, those
-with the smallest hash of their id, each with its whole text. Scoring covers whole texts of
+with the smallest hash of their id, each with its whole text, as far as their feature lists take
+``MAX_FEATURE_BYTES``. Scoring covers whole texts of
 all documents.
 
 Defined results: a null or empty text has no feature and scores the bias alone; a document
@@ -22,13 +23,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import chunks, fold_of, mix, read_table, word_hashes
+from pitwall.llm.common import chunks, cut, fold_of, mix, read_table, word_hashes
 
 BITS = 20
 MAX_ROWS = 8000
+MAX_FEATURE_BYTES = 1 << 28      # of the fitted documents' feature lists, 4 bytes a feature
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 1.0
 FOLDS = 5
@@ -99,16 +101,21 @@ def _train(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Fit on the documents whose id is outside the held-out fold. One task trains: it holds
-    ``max_rows`` feature lists."""
+    """Fit on the documents whose id is outside the held-out fold. One task trains: it holds at
+    most ``max_rows`` feature lists and ``MAX_FEATURE_BYTES`` of them, in the order of the ids'
+    hashes. Of several texts under one id the one with the smallest hash is learnt from."""
     wanted = (labels.filter((fold_of(F.col("doc_id"), FOLDS) != 0) & F.col("toxic").isNotNull())
                     .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
                     .withColumn("spot", F.xxhash64(F.lit("toxicity"), "doc_id"))
                     .orderBy("spot", "doc_id").limit(max_rows))
-    sample = (docs.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    sample = (docs.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "spot", "toxic")
+                  .agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
                   .select("spot", "toxic", "text"))
-    table = (sample.mapInArrow(_encode, "spot long, toxic int, x binary")
-                   .withColumn("one", F.lit(0)).groupBy("one").applyInPandas(_train, "i long, w double")).toPandas()
+    encoded = cut(docs.sparkSession, sample.mapInArrow(_encode, "spot long, toxic int, x binary"), "toxicity-sample")
+    sizes = encoded.select("spot", "toxic", F.length("x").alias("size")).withColumn(
+        "so_far", F.sum("size").over(Window.orderBy("spot", "toxic")))                 # max_rows rows
+    held = sizes.filter(F.col("so_far") <= MAX_FEATURE_BYTES).select("spot", "toxic").distinct()
+    table = (encoded.join(held, ["spot", "toxic"], "left_semi").withColumn("one", F.lit(0)).groupBy("one").applyInPandas(_train, "i long, w double")).toPandas()
     table = table.sort_values("i")
     bias = float(table.loc[table["i"] < 0, "w"].sum()) if len(table) else -np.inf
     table = table[table["i"] >= 0]

@@ -67,8 +67,72 @@ def test_filter_holds_every_gram():
     assert total[1] == 0 and hit[2].sum() == 0
 
 
+def test_hits_are_popcounts_less_false_positives():
+    """The bit-sliced counts against one n-gram, one slot and one language at a time."""
+    rng = np.random.default_rng(5)
+    for langs in (3, 20):
+        masks = rng.integers(0, 2**min(langs, 8), 1 << language_id.SLOT_BITS, dtype=np.uint64)
+        masks = (masks.astype(np.uint8) if langs <= 8 else masks | (masks << np.uint64(12)))
+        rate = rng.random(langs) * 0.5
+        f = language_id.Filter(tuple(f"l{i:02}" for i in range(langs)), masks, rate)
+        texts = [b"", b"a", "größe und äpfel".encode(), b"12 ab34cd,  x", b"word " * 300, b"\n\t .."]
+        hit, total = language_id.hits(f, texts)
+        for t, got, n in zip(texts, hit, total):
+            low = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in t)
+            padded = b"   " + low + b"   "
+            grams = [padded[i:i + 4] for i in range(len(padded) - 3) if padded[i + 1] != 32]
+            assert n == len(grams)
+            for lang in range(langs):
+                seen = 0
+                for g in grams:
+                    slots = language_id._slots(np.array([int.from_bytes(g, "little")], np.uint32))
+                    seen += all(int(masks[int(s[0])]) >> lang & 1 for s in slots)
+                want = max(0.0, (seen - len(grams) * rate[lang]) / (1 - rate[lang]))
+                assert abs(got[lang] - want) < 1e-9
+
+
 # --- toxicity ---------------------------------------------------------------------------
 
+def plain_ftrl(rows, labels, epochs):
+    """FTRL-proximal with dictionaries, one coordinate at a time."""
+    a, b, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        limit = 0.0 if i == "bias" else l1
+        if abs(z[i]) <= limit:
+            return 0.0
+        return -(z[i] - math.copysign(limit, z[i])) / ((b + math.sqrt(n[i])) / a + l2)
+    for _ in range(epochs):
+        for x, y in zip(rows, labels):
+            on = [*x, "bias"]
+            w = {i: weight(i) for i in on}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in on:
+                step = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / a
+                z[i] += g - step * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in list(z)}
+
+
+def test_ftrl_equals_the_plain_one():
+    rng = random.Random(9)
+    rows = [sorted(rng.sample(range(60), 8)) + ([70] if i % 3 == 0 else []) for i in range(200)]
+    labels = [float(i % 3 == 0) for i in range(200)]
+    want = plain_ftrl(rows, labels, toxicity.EPOCHS)
+    got = toxicity.ftrl([np.array(r) for r in rows], np.array(labels))
+    assert abs(got.bias - want.pop("bias")) < 1e-9
+    assert got.index.tolist() == sorted(i for i, w in want.items() if w)
+    assert all(abs(w - want[i]) < 1e-9 for i, w in zip(got.index.tolist(), got.weight))
+
+
+def test_repeated_ids_are_learnt_the_same_way(spark, table):
+    rows = [(i, f"{'bad' if i % 2 else 'good'} text {i}", None, None) for i in range(80)]
+    rows += [(i, f"other text {i}", None, None) for i in range(0, 80, 3)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    models = [toxicity.fit(table(order).repartition(n), labels) for order, n in ((rows, 1), (rows[::-1], 5))]
+    assert models[0].index.tolist() == models[1].index.tolist() and models[0].bias == models[1].bias
+
 def test_toxicity(spark, table, odd_rows):
     rng = random.Random(2)
     words = [f"word{k}" for k in range(200)]
