@@ -1,12 +1,22 @@
 """Licence scan: Dice coefficient over word bigrams, with DataFrame functions only.
 
-A text's units are its lines, and its paragraphs of several lines. Each unit and each template
+A text's units are its lines, its paragraphs of several lines, and windows for notices that share
+their line with other text. Each unit and each template
 is normalised alike: lower case, numbers as ``0``, everything else that is not a letter as a
 blank. With ``a`` and ``b`` distinct bigrams the Dice coefficient is ``2c / (a + b)`` and
 ``c <= min(a, b)``, so a template can only match a unit whose number of bigrams lies between
 ``b·t / (2 - t)`` and ``b·(2 - t) / t``. These bounds prune units before any bigram is made
 (a unit of ``w`` words has at most ``w - 1``) and templates per unit afterwards.
 
+A window of a template has as many words as the template and is laid so that one of the template's
+anchors, a bigram, is where the template has it. With a Dice coefficient of at least ``t`` a window
+holds at least ``b·t / (2 - t)`` of the template's bigrams, so it holds one of any ``b - b·t / (2 - t)
++ 1`` of them: these are the anchors. Per document and template the best window counts, if no line or
+paragraph of the document matches that template. Words are rarely those of notices, so a text is
+searched for windows only if it contains a keyword; keywords touch so many bigrams of each template
+that no match is without one. A notice with words missing or added before its first anchor and
+between all others is judged by shifted windows and may fall below ``t``.
+
 Templates are a fixed list, so they travel as literals. Nothing is shuffled.
 
 Defined results: a null, empty or licence-free text gives no rows; a unit that matches several
@@ -16,14 +26,17 @@ their row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import read_table
+from pitwall.llm.common import own_names, read_table
 
 MIN_DICE = 0.7
+LETTER = "[a-zß-ɏ]"        # of normal words
 
 # Names and wording of public licence notices.
 TEMPLATES = {
@@ -70,14 +83,45 @@ def normal_words(text: str) -> list[str]:
     return re.sub(r"[^a-z0ß-ɏ]+", " ", text).strip().split(" ")
 
 
-def template_bigrams(templates: dict[str, str]) -> dict[str, list[str]]:
+@dataclass(frozen=True)
+class Notice:
+    """A template's words, its distinct bigrams, and its anchors with their places."""
+    words: int
+    grams: tuple[str, ...]
+    anchors: tuple[tuple[str, int], ...]
+
+
+def fewest_shared(bigrams: int, dice: float) -> int:
+    """Bigrams that a unit shares at least with a template of ``bigrams`` that it matches."""
+    return math.ceil(bigrams * dice / (2 - dice) - 1e-9)
+
+
+def notices(templates: dict[str, str], dice: float) -> dict[str, Notice]:
+    """Anchors are the bigrams with the longest words, as often as they occur."""
     out = {}
     for name, text in sorted(templates.items()):
         w = normal_words(text)
-        out[name] = sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
+        run = [f"{a} {b}" for a, b in zip(w, w[1:])]
+        grams = sorted(set(run))
+        first = sorted(grams, key=lambda g: (-len(g), g))[:len(grams) - fewest_shared(len(grams), dice) + 1]
+        out[name] = Notice(len(w), tuple(grams), tuple((g, q) for q, g in enumerate(run) if g in first))
     return out
 
 
+def keywords(every: dict[str, Notice], dice: float) -> list[str]:
+    """Words of which every unit that matches a template holds one: the longest words, until more
+    bigrams hold one than a match can lack."""
+    chosen: set[str] = set()
+    for notice in every.values():
+        names = sorted({x for g in notice.grams for x in g.split(" ")}, key=lambda x: (-len(x), x))
+        lacking = len(notice.grams) - fewest_shared(len(notice.grams), dice)
+        for name in [None, *names]:
+            chosen |= {name} - {None, "0"}
+            if sum(any(x in chosen for x in g.split(" ")) for g in notice.grams) > lacking:
+                break
+    return sorted(chosen)
+
+
 def words(text: Column) -> Column:
     text = F.regexp_replace(F.lower(text), r"[0-9]+(\.[0-9]+)*", " 0 ")
     return F.array_remove(F.split(text, r"[^a-z0ß-ɏ]+"), "")
@@ -93,8 +137,10 @@ def _let(value: Column, body) -> Column:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
-    """(doc_id, text) → doc_id, unit ('line' or 'paragraph'), unit_no (from 0), template, dice."""
-    grams = template_bigrams(TEMPLATES if templates is None else templates)
+    """(doc_id, text) → doc_id, unit ('line', 'paragraph' or 'window'), unit_no (from 0; of a window
+    its first word), template, dice."""
+    every_notice = notices(TEMPLATES if templates is None else templates, min_dice)
+    grams = {name: n.grams for name, n in every_notice.items()}
     fewest = min(bounds(len(g), min_dice)[0] for g in grams.values())
     most = max(bounds(len(g), min_dice)[1] for g in grams.values())
     low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
@@ -124,11 +170,47 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, min_dice: flo
         return F.transform(pieces, lambda x, i: F.struct(
             F.lit(kind).alias("unit"), i.alias("unit_no"), matched(x).alias("best")))
 
+    def windows(text):
+        noted = F.array(*[F.struct(F.lit(name).alias("template"), F.lit(n.words).alias("words"), F.array(*map(F.lit, n.grams)).alias("grams"),
+                                   F.array(*[F.struct(F.lit(g).alias("g"), F.lit(q).alias("q")) for g, q in n.anchors]).alias("anchors"))
+                          for name, n in every_notice.items()])
+        anchors = F.array(*map(F.lit, sorted({g for n in every_notice.values() for g, _ in n.anchors})))
+
+        def best_of(run, hits, t):
+            last = F.size(run) + 1 - t["words"]
+            starts = F.array_sort(F.array_distinct(F.flatten(F.transform(t["anchors"], lambda a: F.transform(
+                F.filter(hits, lambda h: h["g"] == a["g"]), lambda h: F.greatest(F.lit(0), F.least(h["i"] - a["q"], last)))))))
+            scored = F.transform(starts, lambda s: _let(
+                F.array_distinct(F.slice(run, s + 1, t["words"] - 1)), lambda u: F.struct(
+                    (2.0 * F.size(F.array_intersect(u, t["grams"])) / (F.size(u) + F.size(t["grams"]))).alias("dice"),
+                    s.alias("start"))))
+            none = F.struct(F.lit(-1.0).alias("dice"), F.lit(0).alias("start"))
+            top = F.when(last >= 0, F.aggregate(scored, none, lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a)))
+            return _let(top, lambda x: F.struct(F.lit("window").alias("unit"), x["start"].alias("unit_no"),
+                                                F.struct(x["dice"].alias("dice"), t["template"].alias("template")).alias("best")))
+
+        def of_run(run):
+            hits = F.filter(F.transform(run, lambda g, i: F.struct(g.alias("g"), i.alias("i"))),
+                            lambda h: F.array_contains(anchors, h["g"]))
+            return _let(hits, lambda h: F.when(F.size(h) > 0, F.transform(noted, lambda t: best_of(run, h, t))))
+
+        run = _let(words(text), lambda w: F.when(F.size(w) > 1, F.transform(
+            F.slice(w, F.lit(1), F.size(w) - 1), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1)))))
+        worth = F.lower(text).rlike(rf"(?<!{LETTER})(?:{'|'.join(keywords(every_notice, min_dice))})(?!{LETTER})")
+        return F.when(worth, _let(run, of_run))
+
+    def found(units):
+        return F.filter(units, lambda x: x["best"]["dice"] >= min_dice)
+
     text = F.col("text")
     paragraphs = F.transform(F.split(text, r"\n[\x20\x09\r]*\n\s*"),
                              lambda x: F.when(F.contains(F.trim(x), F.lit("\n")), x))
-    every = F.concat(units("line", F.split(text, "\n")), units("paragraph", paragraphs))
-    u = docs.select("doc_id", F.explode(F.filter(every, lambda x: x["best"]["dice"] >= min_dice)).alias("u"))
+    p = own_names(docs)
+    d = docs.select("doc_id", F.concat(found(units("line", F.split(text, "\n"))), found(units("paragraph", paragraphs)))
+                    .alias(f"{p}units"), found(windows(text)).alias(f"{p}windows"))
+    alone = F.filter(f"{p}windows", lambda x: ~F.exists(f"{p}units", lambda y: y["best"]["template"] == x["best"]["template"]))
+    every = F.concat(f"{p}units", F.coalesce(alone, F.slice(f"{p}units", 1, 0)))
+    u = d.select("doc_id", F.explode(every).alias("u"))
     return u.select("doc_id", "u.unit", F.col("u.unit_no").cast("int").alias("unit_no"),
                     F.col("u.best.template").alias("template"), F.round("u.best.dice", 6).alias("dice"))
 
@@ -138,11 +220,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    """Lines and paragraphs against every template, without the size bounds."""
-    rows = ",\n  ".join(f"('{name}', {[*g]!r})" for name, g in template_bigrams(TEMPLATES).items())
+    """Lines, paragraphs and anchored windows against every template, without the size bounds and
+    without keywords."""
+    every = notices(TEMPLATES, MIN_DICE)
+    rows = ",\n  ".join(f"('{name}', {n.words}, {[*n.grams]!r})" for name, n in every.items())
+    anchors = ",\n  ".join(f"('{name}', '{g}', {q})" for name, n in every.items() for g, q in n.anchors)
+    normal = """list_filter(string_split_regex(regexp_replace(lower({0}),
+         '[0-9]+(\\.[0-9]+)*', ' 0 ', 'g'), '[^a-z0\\x{{df}}-\\x{{24f}}]+'), lambda x: x <> '')"""
     return f"""
-WITH templates(template, g) AS (VALUES
+WITH templates(template, m, g) AS (VALUES
   {rows}),
+anchors(template, a, q) AS (VALUES
+  {anchors}),
 pieces AS (
   SELECT doc_id, 'line' AS unit, unnest(string_split(text, chr(10))) AS piece,
          unnest(range(len(string_split(text, chr(10))))) AS unit_no FROM documents
@@ -152,19 +241,34 @@ pieces AS (
            unnest(string_split_regex(text, '\\n[\\x20\\x09\\r]*\\n\\s*')) AS piece,
            unnest(range(len(string_split_regex(text, '\\n[\\x20\\x09\\r]*\\n\\s*')))) AS unit_no FROM documents)
   WHERE contains(trim(piece), chr(10))),
-w AS (
-  SELECT doc_id, unit, unit_no, list_filter(string_split_regex(regexp_replace(lower(piece),
-         '[0-9]+(\\.[0-9]+)*', ' 0 ', 'g'), '[^a-z0\\x{{df}}-\\x{{24f}}]+'), lambda x: x <> '') AS w FROM pieces),
+w AS (SELECT doc_id, unit, unit_no, {normal.format("piece")} AS w FROM pieces),
 b AS (
   SELECT doc_id, unit, unit_no,
          list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM w WHERE len(w) > 1),
 d AS (
   SELECT doc_id, unit, unit_no, t.template,
          2.0::DOUBLE * len(list_intersect(b.g, t.g)) / (len(b.g) + len(t.g)) AS dice
-  FROM b, templates t WHERE len(b.g) <= 4 * len(t.g))
-SELECT doc_id, unit, unit_no::INTEGER AS unit_no, template, round(dice, 6) AS dice
-FROM d WHERE dice >= {MIN_DICE}
-QUALIFY row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC, template) = 1
+  FROM b, templates t WHERE len(b.g) <= 4 * len(t.g)),
+pieced AS (
+  SELECT doc_id, unit, unit_no::INTEGER AS unit_no, template, round(dice, 6) AS dice
+  FROM d WHERE dice >= {MIN_DICE}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC, template) = 1),
+t AS (SELECT doc_id, row_number() OVER () AS r, {normal.format("text")} AS w FROM documents),
+v AS (SELECT doc_id, r, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS run FROM t WHERE len(w) > 1),
+o AS (SELECT r, unnest(run) AS a, unnest(range(len(run))) AS i FROM v),
+starts AS (
+  SELECT DISTINCT o.r, template, greatest(0, least(o.i - q, len(v.run) + 1 - m)) AS s
+  FROM o JOIN anchors USING (a) JOIN templates USING (template) JOIN v ON v.r = o.r WHERE len(v.run) + 1 >= m),
+cut AS (
+  SELECT v.doc_id, s.r, s.template, s.s, t.g, list_distinct(v.run[s.s + 1:s.s + t.m - 1]) AS u
+  FROM starts s JOIN v ON v.r = s.r JOIN templates t ON t.template = s.template),
+windows AS (
+  SELECT doc_id, r, template, s, 2.0::DOUBLE * len(list_intersect(u, g)) / (len(u) + len(g)) AS dice FROM cut
+  QUALIFY row_number() OVER (PARTITION BY r, template ORDER BY dice DESC, s) = 1)
+SELECT * FROM pieced
+UNION ALL
+SELECT doc_id, 'window', s::INTEGER, template, round(dice, 6) FROM windows x
+WHERE dice >= {MIN_DICE} AND NOT EXISTS (SELECT 1 FROM pieced y WHERE y.doc_id = x.doc_id AND y.template = x.template)
 """
 
 

@@ -468,6 +468,31 @@ def test_licenses(spark, table, odd_rows):
     assert licenses.scan(table(odd_rows).limit(0)).collect() == []
 
 
+def test_inline_notices(spark, table, odd_rows):
+    """Notices that share their line with other text; every planted one of each template is found."""
+    rng = random.Random(3)
+    other = lambda n: " ".join(f"{rng.choice('bdfgkm')}o{rng.choice('xyz')}{rng.randrange(9)}a" for _ in range(n))
+    rows, want = [(1, "Copyright (c) 2020 John Doe. Released under the MIT License.", None, None)], {(1, "mit")}
+    for k, (name, text) in enumerate(licenses.TEMPLATES.items()):
+        rows.append((100 + k, f"{other(30)} {text} {other(40)}", None, None))
+        edited = text.split(" ")
+        edited[-1] = "changed"
+        rows.append((200 + k, f"{other(60)}, {' '.join(edited)} {other(200)}\n{other(5)}", None, None))
+        want |= {(100 + k, name), (200 + k, name)}
+    rows += [(300, "the license of this software is not known, and no permission is granted by anyone", None, None)]
+    got = licenses.scan(table(rows + odd_rows)).collect()
+    found = {(r.doc_id, r.template) for r in got if r.unit == "window"}
+    lines = {(r.doc_id, r.template) for r in got if r.unit != "window"}
+    every = licenses.notices(licenses.TEMPLATES, licenses.MIN_DICE)
+    short = {n for n, x in every.items() if len(x.grams) < 6}               # one edit may take them below 0.7
+    assert {w for w in want if w[0] < 200 or w[1] not in short} <= found | lines
+    assert not found & lines and 300 not in {i for i, _ in found | lines}
+    keys = set(licenses.keywords(every, licenses.MIN_DICE))
+    for x in every.values():                                                # no match is without a keyword
+        without = sum(not keys & set(g.split(" ")) for g in x.grams)
+        assert without < licenses.fewest_shared(len(x.grams), licenses.MIN_DICE)
+
+
 def test_quality_rules(spark, table, odd_rows):
     rng = random.Random(9)
     common, rare = ["the", "of", "and", "to"], [f"wo{chr(97 + k % 26)}{chr(97 + k // 26)}rd" for k in range(300)]
