@@ -74,11 +74,13 @@ def write_absent(batch: DataFrame, target_path: str, keys: Sequence[str], order:
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table plus a grand total (``rollup``); total row labelled 'TOTAL'."""
-    tagged = reduce(lambda a, b: a.unionByName(b),
-                    [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
-    return tagged.rollup("table_name").agg(
-        F.count(F.lit(1)).alias("row_count"),
+    """Rows per table that has any, plus a grand total; total row labelled 'TOTAL'. Each table is
+    counted on its own, and the total is that of the counts."""
+    counts = reduce(lambda a, b: a.unionByName(b),
+                    [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+                     for name, df in tables.items()]).filter("n > 0")
+    return counts.rollup("table_name").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.grouping("table_name").alias("_g")).select(
         F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("table_name")).alias("table_name"),
         "row_count")
