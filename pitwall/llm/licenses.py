@@ -108,12 +108,16 @@ def notices(templates: dict[str, str], dice: float) -> dict[str, Notice]:
     return out
 
 
+# Words of any English text, which are poor keywords.
+FUNCTION_WORDS = frozenset("a an and any are as at be by can for from if in is it not of on or that the this to use with you".split())
+
+
 def keywords(every: dict[str, Notice], dice: float) -> list[str]:
-    """Words of which every unit that matches a template holds one: the longest words, until more
-    bigrams hold one than a match can lack."""
+    """Words of which every unit that matches a template holds one: the longest words, function
+    words last, until more bigrams hold one than a match can lack."""
     chosen: set[str] = set()
     for notice in every.values():
-        names = sorted({x for g in notice.grams for x in g.split(" ")}, key=lambda x: (-len(x), x))
+        names = sorted({x for g in notice.grams for x in g.split(" ")}, key=lambda x: (x in FUNCTION_WORDS, -len(x), x))
         lacking = len(notice.grams) - fewest_shared(len(notice.grams), dice)
         for name in [None, *names]:
             chosen |= {name} - {None, "0"}
@@ -192,7 +196,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, min_dice: flo
         def of_run(run):
             hits = F.filter(F.transform(run, lambda g, i: F.struct(g.alias("g"), i.alias("i"))),
                             lambda h: F.array_contains(anchors, h["g"]))
-            return _let(hits, lambda h: F.when(F.size(h) > 0, F.transform(noted, lambda t: best_of(run, h, t))))
+            return F.when(F.arrays_overlap(run, anchors), _let(hits, lambda h: F.transform(noted, lambda t: best_of(run, h, t))))
 
         run = _let(words(text), lambda w: F.when(F.size(w) > 1, F.transform(
             F.slice(w, F.lit(1), F.size(w) - 1), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1)))))
