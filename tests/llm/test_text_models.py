@@ -493,6 +493,20 @@ def test_inline_notices(spark, table, odd_rows):
         assert without < licenses.fewest_shared(len(x.grams), licenses.MIN_DICE)
 
 
+def test_only_texts_with_a_keyword_are_taken_apart(spark, table, odd_rows):
+    rows = [(1, "no notice here\n" * 9 + "RELEASED under the MIT License.", None, None), (2, "plain words " * 50, None, None),
+            (3, "lines of prose\n\nLicensed under CC\nBY-NC 4.0.", None, None)]
+    scanned = licenses.scan(table(rows + odd_rows))
+    got = {(r.doc_id, r.unit, r.unit_no, r.template) for r in scanned.collect()}
+    assert {(1, "line", 9, "mit"), (3, "paragraph", 1, "cc-by-nc")} <= got and 2 not in {g[0] for g in got}
+    plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Filter" in line and "RLIKE" in line for line in plan.splitlines())
+    # a template without words that could be keywords: all texts are looked at
+    numbers = {"numbers": "1 2 3 4 5 6"}
+    got = licenses.scan(table([(1, "x y\n9 8 7 6", None, None), (2, "x y z", None, None)]), numbers).collect()
+    assert [(r.doc_id, r.unit, r.unit_no) for r in got] == [(1, "line", 1)]
+
+
 def test_quality_rules(spark, table, odd_rows):
     rng = random.Random(9)
     common, rare = ["the", "of", "and", "to"], [f"wo{chr(97 + k % 26)}{chr(97 + k // 26)}rd" for k in range(300)]
