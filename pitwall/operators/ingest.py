@@ -2,8 +2,8 @@
 
 ``insert_absent`` is "INSERT … ON CONFLICT DO NOTHING" as a set operation:
 
-1. inside the batch, the first row per key wins — ``min_by`` over the arrival order, an
-   aggregate, so re-sent copies collapse map-side before the shuffle;
+1. inside the batch, the first row per key wins — row number 1 in arrival order, which Spark
+   also keeps per map task (window group limit), so re-sent copies collapse before the shuffle;
 2. a left anti join on the key against the target drops keys already stored;
 3. the survivors are appended (a new file set under the table; nothing is rewritten).
 
@@ -17,18 +17,19 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per non-NULL key: the smallest under ``order`` (then the whole row)."""
-    fields = [c for c in batch.columns if c not in keys]
+    fields = [c for c in batch.columns if c not in keys and c not in order]
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    row = F.struct(*[F.col(c) for c in fields])
-    picked = (batch.filter(has_key).groupBy(*keys)
-                   .agg(F.min_by(row, F.struct(*[F.col(c) for c in order], row)).alias("_r"))
-                   .select(*keys, *[F.col("_r")[c].alias(c) for c in fields]))
+    n = "_n"
+    while n in batch.columns:
+        n += "_"
+    arrival = Window.partitionBy(*keys).orderBy(*order, *fields)
+    picked = batch.filter(has_key).withColumn(n, F.row_number().over(arrival)).filter(F.col(n) == 1)
     return picked.select(*batch.columns).unionByName(batch.filter(~has_key))
 
 
