@@ -125,11 +125,13 @@ def append_absent(batch: DataFrame, path: str, batch_id: str, keys: Sequence[str
     if _or_none(spark.read.parquet, f"{path}/index/{batch_id}") is not None:
         return {"sent": 0, "inserted": 0, "rejected": 0, "files": len(files(spark, path)), "files_read": 0}
     received = Observation()
-    seen = batch.observe(received, F.count(F.lit(1)).alias("sent"), F.count_if(~_has_key(keys)).alias("rejected"))
+    sums = (F.count(F.lit(1)).alias("sent"), F.count_if(~_has_key(keys)).alias("rejected"))
+    seen = batch.observe(received, *sums)
     staged = f"{path}/staged/{batch_id}"
     first = first_per_key(seen, keys, order)
     (first if null_keys == "insert" else first.filter(_has_key(keys))).write.mode("overwrite").parquet(staged)
     rows = spark.read.schema(batch.schema).parquet(staged)
+    staged_any = not rows.isEmpty()
     total, asked = 0, []
     if known is not None:
         total = known.select("file").distinct().count()
@@ -143,7 +145,9 @@ def append_absent(batch: DataFrame, path: str, batch_id: str, keys: Sequence[str
         f"{path}/index/{batch_id}")
     # the index has all rows; a count observed in the write job would hold those sampled for the ranges twice
     inserted = spark.read.parquet(f"{path}/index/{batch_id}").agg(F.sum("rows").alias("n")).first()["n"] or 0
-    counts = {**received.get, "inserted": inserted}
+    # Spark drops the observation of a plan that it finds empty while it runs
+    counts = {**received.get} if staged_any else batch.agg(*sums).first().asDict()
+    counts["inserted"] = inserted
     if null_keys == "insert":
         counts["rejected"] = 0
     return {**counts, "files": total, "files_read": len(asked)}

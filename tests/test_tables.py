@@ -141,6 +141,47 @@ def test_no_file_with_a_key_is_missing_from_the_candidates(spark):
         assert holding <= set(keyed.candidate_files(probe, keyed.index(spark, path), ["s", "d", "l"]))
 
 
+def test_files_of_an_append_are_ranges_of_the_key(spark):
+    """An index entry per file and session that meet: about files + sessions, not files x sessions."""
+    path, keys = _scratch() + "/t", ["s", "d", "l"]
+    batch = spark.range(0, 4000, 1, 4).selectExpr("id % 40 AS s", "CAST(id DIV 40 % 4 AS INT) AS d", "CAST(id DIV 160 AS INT) AS l",
+                                                  "'v' AS v", "0L AS t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert keyed.append_absent(batch, path, "one", keys, ["t"])["inserted"] == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = len(keyed.files(spark, path))
+    assert files > 1 and keyed.index(spark, path).count() <= 40 + files
+    some = batch.filter("s = 7")
+    assert len(keyed.candidate_files(some, keyed.index(spark, path), keys)) < files
+    assert keyed.append_absent(batch, path, "again", keys, ["t"])["inserted"] == 0
+
+
+@pytest.mark.parametrize("keys", [["s"], ["s", "d"], ["s", "d", "l"]])
+def test_index_bounds_equal_those_of_whole_keys(spark, keys):
+    rng = random.Random(5)
+    rows = [tuple(rng.choice([None, *range(4)]) for _ in range(3)) + (i % 3,) for i in range(400)]
+    df = spark.createDataFrame(rows, "s long, d int, l int, file int")
+    df = df.withColumn("has", keyed._has_key(keys)).withColumn("lead", F.when(F.col("has"), F.col("s")))
+    want = {}
+    for s, d, l, file in rows:
+        key = (s, d, l)[:len(keys)]
+        n, some = want.setdefault((file, None if None in key else s), [0, []])
+        want[file, None if None in key else s] = [n + 1, some if None in key else [*some, key[1:] or (0,)]]
+    got = {(r.file, r.lead): [r.rows, r.low and tuple(r.low), r.high and tuple(r.high)] for r in keyed._ranges(df, keys).collect()}
+    assert got == {k: [n, min(some, default=None), max(some, default=None)] for k, (n, some) in want.items()}
+
+
+def test_first_row_per_key_sorts_once_and_collapses_copies_first(spark):
+    rows = [(1, None, "b"), (1, 2, "a"), (1, None, "a"), (2, 5, None), (2, 5, "z"), (2, 5, None), (None, 1, "x"), (None, 1, "x")]
+    first = ingest.first_per_key(spark.createDataFrame(rows, "k int, o int, v string"), ["k"], ["o"])
+    assert sorted(map(tuple, first.collect()), key=repr) == sorted([(1, None, "a"), (2, 5, None), (None, 1, "x"), (None, 1, "x")], key=repr)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")   # kept per task first
+
+
 def test_replayed_and_broken_batches(spark):
     path = _scratch() + "/t"
     batch = spark.range(10).selectExpr("id AS k", "0 AS t")
