@@ -78,7 +78,7 @@ def stage(df: DataFrame, path: str, version: str, partition_by: str | None = Non
     keys = list(dict.fromkeys([*([partition_by] if partition_by else []), *order]))
     if keys:
         rows = rows.sortWithinPartitions(*[F.asc_nulls_last(c) for c in keys])
-    writer = rows.write.mode("errorifexists")
+    writer = rows.write.mode("errorifexists").option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
     if check:
         check(df.sparkSession.read.schema(df.schema).parquet(target))

@@ -35,9 +35,11 @@ BACKFILL_YEAR = 2000
 def models(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = (),
            observed: dict[str, dict[str, int]] | None = None) -> Lazy:
     """The model graph; models named in ``stored`` are written to the shared folder once, for
-    reports that read them repeatedly (``lap_base``: the derivation all raw tables start from).
+    reports that read them repeatedly (``lap_base``: the numbered laps all raw tables start from).
+    Spark knows the size of a stored table when it plans a join, of a derived one only after the
+    other side may have been shuffled; so small tables that are joined to all laps are stored too.
     ``observed`` gets the counts their write jobs took."""
-    base = materialize(spark, fixtures.lap_base(spark, sf_dir), "lap_base") if "lap_base" in stored else None
+    base = materialize(spark, fixtures.numbered_laps(spark, sf_dir), "lap_base") if "lap_base" in stored else None
     raw = fixtures.derived_tables(spark, sf_dir, base)
     stg = build_staging(raw)
     graph: dict[str, Lazy] = {}
@@ -49,9 +51,11 @@ def models(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = (),
     builders.update({n: (lambda n=n: stg[n]) for n in stg})
     builders.update({
         "stint_interval_join": lambda: enrich.laps_with_stints(b("stg_laps"), b("stg_stints")),
-        "int_laps_enriched": lambda: enrich.int_laps_enriched(stg),
-        "int_race_context": lambda: enrich.int_race_context(stg),
-        "fct_lap_times": lambda: marts.fct_lap_times(b("int_laps_enriched")),
+        "int_laps_enriched": lambda: enrich.int_laps_enriched(graph["m"]),
+        "int_race_context": lambda: enrich.int_race_context(graph["m"]),
+        "session_lap_stats": lambda: marts.session_lap_stats(b("int_laps_enriched")),
+        "driver_best_lap": lambda: marts.driver_best_lap(b("int_laps_enriched")),
+        "fct_lap_times": lambda: marts.fct_lap_times(b("int_laps_enriched"), b("session_lap_stats"), b("driver_best_lap")),
         "fct_race_results": lambda: marts.fct_race_results(b("int_race_context"),
                                                            b("int_laps_enriched")),
         "race_points_rows": lambda: marts.race_points_rows(b("fct_race_results")),
@@ -63,7 +67,7 @@ def models(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = (),
         "tyre_degradation": lambda: marts.tyre_degradation(b("int_laps_enriched")),
         "compound_sequence": lambda: marts.compound_sequence(b("stg_stints")),
         "pit_stop_numbers": lambda: marts.pit_stop_numbers(b("stg_pit")),
-        "fct_pit_strategy": lambda: marts.fct_pit_strategy(stg, b("int_laps_enriched")),
+        "fct_pit_strategy": lambda: marts.fct_pit_strategy(graph["m"], b("int_laps_enriched")),
         # telemetry
         "car_data": lambda: landing.typed_car_data(raw["car_data"]),
         "lap_starts": lambda: landing.typed_lap_starts(raw["lap_starts"]),
@@ -149,8 +153,18 @@ def q_worklist_backfill(spark, sf_dir):
                                       BACKFILL_YEAR, WORKLIST_NOW)
 
 
+# what a query needs that joins all enriched laps to aggregates of them
+LAPS_STORED = ("lap_base", "stg_stints", "stg_drivers", "stg_sessions", "int_laps_enriched", "session_lap_stats",
+               "driver_best_lap")
+
+
+def q_fct_lap_times(spark, sf_dir):
+    return models(spark, sf_dir, stored=LAPS_STORED)["fct_lap_times"]
+
+
 def q_lap_presentation(spark, sf_dir):
-    return reports.lap_presentation(models(spark, sf_dir)["int_laps_enriched"])
+    m = models(spark, sf_dir, stored=LAPS_STORED)
+    return reports.lap_presentation(m["int_laps_enriched"], m["session_lap_stats"])
 
 
 def q_race_rounds(spark, sf_dir):
@@ -176,8 +190,8 @@ DQ_TABLES = ("stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_sti
              "raw_drivers")
 
 
-DQ_STORED = ("lap_base", "int_laps_enriched", "stg_drivers", "fct_race_results", "fct_lap_times", "fct_pit_strategy",
-             "fct_driver_season", "fct_driver_pace", "dim_drivers")
+DQ_STORED = (*LAPS_STORED, "fct_race_results", "fct_lap_times", "fct_pit_strategy", "fct_driver_season",
+             "fct_driver_pace", "dim_drivers")
 
 
 def q_dq_report(spark, sf_dir):
@@ -344,9 +358,10 @@ QUERIES: dict[str, Query] = {
     **{n: _model(n) for n in (
         "stg_meetings", "stg_sessions", "stg_drivers", "stg_laps", "stg_stints", "stg_pit",
         "stg_session_results", "stg_car_data_lap_agg", "stint_interval_join",
-        "int_laps_enriched", "int_race_context", "fct_lap_times", "fct_race_results",
+        "int_laps_enriched", "int_race_context", "fct_race_results",
         "season_running_totals", "fct_driver_season", "teammate_pairs", "fct_driver_pace",
         "tyre_degradation", "compound_sequence", "pit_stop_numbers", "fct_pit_strategy")},
+    "fct_lap_times": q_fct_lap_times,
     "telemetry_asof": q_telemetry_asof,
     "telemetry_lap_agg": _model("telemetry_lap_agg"),
     "gear_changes": q_gear_changes,

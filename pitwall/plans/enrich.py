@@ -34,8 +34,10 @@ def int_laps_enriched(stg: dict[str, DataFrame], max_ratio: float | None = None)
     ``is_valid_lap`` = timed and not a pit-out lap. ``max_ratio`` (off by default, as in the
     reference's code) also rejects laps slower than ``max_ratio`` × the session median of
     timed laps (e.g. 1.3 for safety-car laps); the median is a per-session aggregate
-    joined back, not a window over the session."""
-    laps = laps_with_stints(stg["stg_laps"], stg["stg_stints"])
+    joined back, not a window over the session.
+
+    The telemetry, as large as the laps, is joined first: its join shuffles bare laps, and the
+    small tables meet the result without another shuffle where Spark knows that they are small."""
     drivers = stg["stg_drivers"].select(
         "driver_number", "session_key", "driver_name", "driver_code", "team_name", "team_colour")
     sessions = stg["stg_sessions"].select(
@@ -45,9 +47,10 @@ def int_laps_enriched(stg: dict[str, DataFrame], max_ratio: float | None = None)
         "session_key", "driver_number", "lap_number", "avg_speed", "max_speed", "avg_throttle",
         "avg_rpm", "max_rpm", "avg_brake", "drs_usage_pct", "gear_changes",
         "has_sufficient_telemetry")
+    driven = stg["stg_laps"].join(tele, ["session_key", "driver_number", "lap_number"], "left")
+    laps = laps_with_stints(driven, stg["stg_stints"])
     j = (laps.join(drivers, ["session_key", "driver_number"], "left")
-             .join(sessions, "session_key", "left")
-             .join(tele, ["session_key", "driver_number", "lap_number"], "left"))
+             .join(sessions, "session_key", "left"))
     valid = col("has_timing") & ~col("is_pit_out_lap")
     if max_ratio is not None:
         medians = (laps.filter(col("has_timing")).groupBy(col("session_key").alias("_m_session"))

@@ -33,10 +33,13 @@ def driver_best_lap(laps: DataFrame) -> DataFrame:
         F.min(F.when(col("is_valid_lap"), col("lap_duration"))).alias("driver_fastest_lap_secs"))
 
 
-def fct_lap_times(laps: DataFrame) -> DataFrame:
-    timed = laps.filter(col("has_timing"))
-    j = (timed.join(session_lap_stats(laps), "session_key", "left")
-              .join(driver_best_lap(laps), ["session_key", "driver_number"], "left"))
+def fct_lap_times(laps: DataFrame, stats: DataFrame | None = None, best: DataFrame | None = None) -> DataFrame:
+    """``stats`` and ``best``: the two aggregates where they are stored. Spark then knows that they
+    are small before it would shuffle the laps for them."""
+    stats = session_lap_stats(laps) if stats is None else stats
+    best = driver_best_lap(laps) if best is None else best
+    j = (laps.filter(col("has_timing")).join(stats, "session_key", "left")
+             .join(best, ["session_key", "driver_number"], "left"))
     return j.select(
         "session_key", "meeting_key", "season_year", "country_name", "circuit_name",
         "driver_number", "driver_name", "driver_code", "team_name", "lap_number",

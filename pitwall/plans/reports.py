@@ -48,10 +48,11 @@ def watched(table: str) -> list[Column]:
     return next((watch(s) for s in DQ_SPECS if s.table == table), [])
 
 
-def lap_presentation(laps: DataFrame) -> DataFrame:
+def lap_presentation(laps: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Timed laps with display columns: lap time text, strict validity (time > 0 too),
-    compound colour, and % off the session's fastest valid lap."""
-    timed = laps.filter(F.col("has_timing")).join(session_lap_stats(laps), "session_key", "left")
+    compound colour, and % off the session's fastest valid lap (``stats``, where it is stored)."""
+    stats = session_lap_stats(laps) if stats is None else stats
+    timed = laps.filter(F.col("has_timing")).join(stats, "session_key", "left")
     return timed.select(
         "session_key", "driver_number", "lap_number", "compound",
         format_lap_time("lap_duration").alias("lap_time_text"),

@@ -55,26 +55,31 @@ def _plus_seconds(ts: Column, secs: Column) -> Column:
     return F.timestamp_add("SECOND", secs, ts)
 
 
-def lap_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem with its race coordinates and lap times in ms."""
+def numbered_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem with its session, driver and lap order ``rn``. Only given columns are
+    shuffled; :func:`lap_base` derives the rest."""
+    yr, mo = F.year("l_shipdate"), F.month("l_shipdate")
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_shipdate")
-    yr, mo = F.year("l_shipdate"), F.month("l_shipdate")
-    df = li.select(
-        "*",
-        yr.alias("yr"), mo.alias("mo"),
+        "l_returnflag", "l_shipdate",
         (yr * 100 + mo).cast("long").alias("sk"),
-        (F.col("l_suppkey") % 20 + 1).cast("int").alias("dn"),
+        (F.col("l_suppkey") % 20 + 1).cast("int").alias("dn"))
+    # Lap order inside (session, driver); the sort tuple is unique per lineitem row.
+    w = Window.partitionBy("sk", "dn").orderBy(
+        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return li.withColumn("rn", F.row_number().over(w))
+
+
+def lap_base(numbered: DataFrame) -> DataFrame:
+    """The numbered laps with their year, month and lap times in ms."""
+    df = numbered.select(
+        "*",
+        F.year("l_shipdate").alias("yr"), F.month("l_shipdate").alias("mo"),
         (25000 + (13 * F.col("l_partkey") + 7 * F.col("l_linenumber")) % 6000).alias("s1_ms"),
         (28000 + (17 * F.col("l_orderkey")) % 7000).alias("s2_ms"),
         (27000 + (29 * F.col("l_suppkey") + 3 * F.col("l_orderkey")) % 7000).alias("s3_ms"),
     )
-    # Lap order inside (session, driver); the sort tuple is unique per lineitem row.
-    w = Window.partitionBy("sk", "dn").orderBy(
-        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return (df.withColumn("rn", F.row_number().over(w))
-              .withColumn("dur_ms", F.col("s1_ms") + F.col("s2_ms") + F.col("s3_ms")))
+    return df.withColumn("dur_ms", F.col("s1_ms") + F.col("s2_ms") + F.col("s3_ms"))
 
 
 def _lineage(yr: Column, mo: Column, day: int) -> list[Column]:
@@ -282,10 +287,10 @@ RAW_NAMES = ("meetings", "sessions", "drivers", "laps", "stints", "pit", "sessio
              "car_data_lap_agg")
 
 
-def derived_tables(spark: SparkSession, sf_dir: str, stored_base: DataFrame | None = None) -> Lazy:
+def derived_tables(spark: SparkSession, sf_dir: str, numbered: DataFrame | None = None) -> Lazy:
     """Every fixture table as a lazy derivation from the star schema (nothing written), or from a
-    stored :func:`lap_base`, where one query reads most of them."""
-    base = once(lambda: lap_base(spark, sf_dir) if stored_base is None else stored_base)
+    stored :func:`numbered_laps`, where one query reads most of them."""
+    base = once(lambda: lap_base(numbered_laps(spark, sf_dir) if numbered is None else numbered))
     raw = {
         "meetings": lambda: raw_meetings(base()),
         "sessions": lambda: raw_sessions(base()),

@@ -182,6 +182,17 @@ def test_first_row_per_key_sorts_once_and_collapses_copies_first(spark):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")   # kept per task first
 
 
+# --- marts --------------------------------------------------------------------------------
+
+def test_laps_meet_stored_aggregates_without_a_shuffle(spark, small_dir):
+    laps = catalog.q_fct_lap_times(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert laps.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in laps and "Window" not in laps
+    m = catalog.models(spark, small_dir, stored=("lap_base", "stg_stints", "stg_drivers", "stg_sessions"))
+    enriched = m["int_laps_enriched"]._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in enriched.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 4 and "lap_number" in joins[-1] and "lap_start" not in joins[-1]   # the telemetry first
+
+
 def test_replayed_and_broken_batches(spark):
     path = _scratch() + "/t"
     batch = spark.range(10).selectExpr("id AS k", "0 AS t")
