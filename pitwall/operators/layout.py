@@ -31,8 +31,12 @@ def order_key(order: Sequence[str]) -> Column:
 def layout(stored: DataFrame, order: Sequence[str]) -> DataFrame:
     """One row: rows, overlaps (files whose lowest key is below the highest of a file before),
     unordered (rows below their predecessor in the file)."""
-    at = stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
-                       order_key(order).alias("key"))
+    path = F.col("_metadata.file_path").alias("path")
+    # rows are dealt and sorted by a file's number, not by its long path; one row a file is sent
+    names = sorted(r["path"] for r in stored.select(path).distinct().collect())
+    numbers = stored.sparkSession.createDataFrame(list(enumerate(names)), "file int, path string")
+    at = (stored.select(path, F.col("_metadata.row_index").alias("row"), order_key(order).alias("key"))
+          .join(F.broadcast(numbers), "path").select("file", "row", "key"))
     before = F.lag("key").over(Window.partitionBy("file").orderBy("row"))
     files = (at.withColumn("down", (before > F.col("key")).cast("long"))
              .groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"),

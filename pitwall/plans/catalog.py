@@ -298,7 +298,8 @@ def q_schema_discover(spark, sf_dir):
 
 def q_mart_layout(spark, sf_dir):
     """Every mart stored in its declared order, and what is found when it is read back."""
-    m = models(spark, sf_dir, stored=DQ_STORED)
+    # the lap mart is read once, by its ordered write, so it is not stored before
+    m = models(spark, sf_dir, stored=tuple(n for n in DQ_STORED if n != "fct_lap_times"))
     out = None
     for name, order in pipeline.ORDER_OF.items():
         folder = shared_folder(spark, name)

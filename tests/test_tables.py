@@ -193,6 +193,15 @@ def test_laps_meet_stored_aggregates_without_a_shuffle(spark, small_dir):
     assert len(joins) == 4 and "lap_number" in joins[-1] and "lap_start" not in joins[-1]   # the telemetry first
 
 
+def test_lap_mart_is_written_once_for_its_layout(spark, small_dir):
+    from pitwall.session import checkpoint_dir
+    top = f"{checkpoint_dir(spark)}/pitwall-tables"
+    had = {f for f in os.listdir(top)} if os.path.isdir(top) else set()
+    found = {r.model: r for r in catalog.q_mart_layout(spark, small_dir).collect()}
+    assert set(found) == set(pipeline.ORDER_OF) and all(r.rows > 0 and (r.overlaps, r.unordered) == (0, 0) for r in found.values())
+    assert len([f for f in set(os.listdir(top)) - had if f.startswith("fct_lap_times-")]) == 1
+
+
 def test_replayed_and_broken_batches(spark):
     path = _scratch() + "/t"
     batch = spark.range(10).selectExpr("id AS k", "0 AS t")
